@@ -91,3 +91,16 @@ def nearest_level(df: DataFrame, level: str, wanted: float) -> DataFrame:
         F.min(F.struct(F.abs(F.col(level) - F.lit(wanted)), F.col(level).alias("pick"))).alias("m")
     ).select(F.col("m.pick").alias(level))
     return df.join(F.broadcast(best), level, "left_semi")  # exactly one row
+
+
+def snapshot(df: DataFrame, index: int = 1, time: str = "time") -> DataFrame:
+    """Rows of one time step, counted from 0 over the distinct steps."""
+    steps = df.select(time).distinct().orderBy(time).limit(index + 1)
+    pick = steps.agg(F.max(time).alias(time))
+    return df.join(F.broadcast(pick), time, "left_semi")  # exactly one row
+
+
+def first_steps(df: DataFrame, n: int, time: str = "time") -> DataFrame:
+    """Rows of the first ``n`` time steps."""
+    steps = df.select(time).distinct().orderBy(time).limit(n)
+    return df.join(F.broadcast(steps), time, "left_semi")  # n rows

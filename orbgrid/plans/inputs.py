@@ -121,7 +121,7 @@ def sources(spark: SparkSession, d: str) -> DataFrame:
             (u % N_LAT).alias("lat_j"),
             (e % N_LON).alias("lon_i"),
         )
-        .agg(F.avg("value").alias("value"))
+        .agg(F.avg(F.sqrt("value")).alias("value"))
         .withColumns(
             {
                 "cell_methods": F.when(F.col("averaged"), F.array(F.lit("mean"))).otherwise(
@@ -138,7 +138,7 @@ SOURCES_SQL = f"""src AS (
   SELECT 'run' || (user_id % 4) AS expt, event_type AS field_name, 'm01s0' || (user_id % 3) AS stash,
          user_id % 2 = 1 AS averaged, user_id % 5 = 4 AS deep,
          date_trunc('hour', ts)::TIMESTAMP AS "time",
-         user_id % {N_LAT} AS lat_j, event_id % {N_LON} AS lon_i, avg(value) AS value,
+         user_id % {N_LAT} AS lat_j, event_id % {N_LON} AS lon_i, avg(sqrt(value)) AS value,
          'u' || substr(event_type, 1, 1) AS units
   FROM events GROUP BY ALL)"""
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -28,3 +32,24 @@ def build_session(app: str = "orbgrid", master: str | None = None, **conf: str)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """A new folder for intermediate tables, in the cluster's shared folder.
+
+    That is ``spark.checkpoint.dir`` of the session.  Only a local session
+    without the setting gets a folder of its own.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/orbgrid-{os.urandom(8).hex()}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="orbgrid-")
+
+
+def lineage_cutter(spark: SparkSession) -> Callable[..., DataFrame]:
+    """A function that stores a DataFrame reliably and returns it without its history."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    return lambda df, *_: df.checkpoint()
