@@ -63,7 +63,7 @@ def latlon(spark: SparkSession, d: str, time: str = "year") -> DataFrame:
             (F.lit(-85.0) + 10.0 * (F.col("l_partkey") % N_LAT)).alias("lat"),
             (F.lit(5.0) + 10.0 * (F.col("l_orderkey") % N_LON)).alias("lon"),
         )
-        .agg(F.avg("l_quantity").alias("v"))
+        .agg(F.avg(F.sqrt("l_quantity")).alias("v"))
     )
 
 
@@ -71,7 +71,7 @@ def latlon_sql(time: str = "year") -> str:
     return f"""ll AS (
   SELECT date_trunc('{time}', l_shipdate)::TIMESTAMP AS "time",
          -85e0 + 10e0 * (l_partkey % {N_LAT}) AS lat, 5e0 + 10e0 * (l_orderkey % {N_LON}) AS lon,
-         avg(l_quantity) AS v
+         avg(sqrt(l_quantity)) AS v
   FROM lineitem GROUP BY ALL)"""
 
 

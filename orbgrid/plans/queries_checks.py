@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -378,12 +378,11 @@ def catalog_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     f"""WITH {CELLS_SQL} SELECT "time", variable, healpix_index >> 2 AS healpix_index, round(max(v) - min(v), 6) AS v FROM ev GROUP BY ALL"""
 )
 def block_reducer(spark: SparkSession, d: str) -> DataFrame:
-    """A caller's own reducer over the children of each cell."""
-    @F.pandas_udf("double")
-    def spread(v: pd.Series) -> float:
-        return float(v.max() - v.min())
+    """A caller's own array reducer over the children of each cell."""
+    def spread(blocks: np.ndarray) -> np.ndarray:
+        return np.nanmax(blocks, axis=-1) - np.nanmin(blocks, axis=-1)
 
-    return pyr.coarsen_with(cells(spark, d), ["time", "variable"], "v", spread).select(
+    return pyr.coarsen_blocks(cells(spark, d), ["time", "variable"], "v", spread).select(
         "time", "variable", "healpix_index", r6("v")
     )
 
@@ -411,7 +410,7 @@ def source_fields(spark: SparkSession, d: str) -> DataFrame:
         (base + F.make_dt_interval(hours=(year - 1995) * 12 + month - 1)).cast("timestamp_ntz").alias("time"),
         (F.lit(-85.0) + 10.0 * (F.col("l_partkey") % 18)).alias("lat"),
         (F.lit(5.0) + 10.0 * (F.col("l_orderkey") % 36)).alias("lon"),
-    ).agg(F.avg("l_quantity").alias("q"), F.avg("l_tax").alias("t"))
+    ).agg(F.avg(F.sqrt("l_quantity")).alias("q"), F.avg("l_tax").alias("t"))
     pairs = F.array(
         F.struct(F.lit("a").alias("stream"), F.lit("quantity").alias("field_name"), F.lit("m01s01").alias("stash"), F.col("q").alias("value")),
         F.struct(F.lit("b").alias("stream"), F.lit("tax").alias("field_name"), F.lit("m01s02").alias("stash"), F.col("t").alias("value")),
@@ -427,7 +426,7 @@ def source_fields(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_RUN_SQL = f"""WITH {latlon_sql('month').replace('avg(l_quantity) AS v', 'avg(l_quantity) AS qty, avg(l_quantity) + avg(l_tax) AS "sum"')},
+_RUN_SQL = f"""WITH {latlon_sql('month').replace('avg(sqrt(l_quantity)) AS v', 'avg(sqrt(l_quantity)) AS qty, avg(sqrt(l_quantity)) + avg(l_tax) AS "sum"')},
 fld AS (SELECT TIMESTAMP '2020-01-20' + to_hours(((year("time") - 1995) * 12 + month("time") - 1)::INT) AS "time", {src_id_sql(GRID)} AS src_id, qty, "sum" FROM ll),
 {weights_sql(GRID, ZOOM)},
 hp AS (SELECT "time", healpix_index, sum(qty * w)::FLOAT AS qty, sum("sum" * w)::FLOAT AS "sum" FROM fld JOIN wts USING (src_id) GROUP BY ALL HAVING count(*) = 3),

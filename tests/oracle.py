@@ -25,7 +25,7 @@ def connect(sf_dir: str):
 
 def _plain(v):
     if isinstance(v, float):
-        return "NULL" if math.isnan(v) else repr(v + 0.0)
+        return "NULL" if math.isnan(v) else repr(v)
     if isinstance(v, datetime):
         return v.replace(tzinfo=None).isoformat()
     return "NULL" if v is None else str(v)
