@@ -112,7 +112,7 @@ _SNAP_SQL = """snap AS (SELECT * FROM ev WHERE "time" = (SELECT max("time") FROM
 
 
 @register(
-    f"""WITH {CELLS_SQL}, {_SNAP_SQL} SELECT variable, count(v) AS n_valid, {NPIX} AS n_expected,
+    f"""WITH {CELLS_SQL}, {_SNAP_SQL} SELECT variable, count(v) AS n_valid, {NPIX}::BIGINT AS n_expected,
 round(1 - count(v) / {NPIX}::DOUBLE, 6) AS missing_fraction FROM snap GROUP BY ALL"""
 )
 def missing_fraction(spark: SparkSession, d: str) -> DataFrame:
@@ -297,7 +297,7 @@ def report_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 rg AS (SELECT sim, count(*) AS n FROM comp JOIN done USING (sim, cycle) GROUP BY 1),
 co AS (SELECT sim, count(DISTINCT cycle) AS n FROM man WHERE stream = 'view' GROUP BY 1),
 cr AS (SELECT DISTINCT sim FROM man WHERE stream = 'error')
-SELECT sim, 60 AS expected_num_inputs, num_inputs, cr.sim IS NOT NULL AS created, coalesce(rg.n, 0) AS num_regrids_done,
+SELECT sim, 60::BIGINT AS expected_num_inputs, num_inputs, cr.sim IS NOT NULL AS created, coalesce(rg.n, 0) AS num_regrids_done,
 round(coalesce(co.n, 0) * 100e0 / 60, 6) AS coarsen, round(num_inputs * 100e0 / 60, 6) AS inputs, round(coalesce(rg.n, 0) * 100e0 / num_inputs, 6) AS regrid
 FROM ni LEFT JOIN rg USING (sim) LEFT JOIN co USING (sim) LEFT JOIN cr USING (sim)"""
 )
