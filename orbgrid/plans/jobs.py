@@ -110,16 +110,17 @@ def regrid_group(
     for s in group.specs:
         by_grid.setdefault(grid_of(s.short), []).append(s.short)
     zoom = experiment.max_zoom
-    out_keys = ["sim", "cycle", "variable", "time", "time_idx", "level"]
+    out_keys = ["sim", "cycle", "variable", "time_idx", "level"]
     parts = []
     for grid, names in by_grid.items():
         weights = cached_weights(store, grid, zoom)
         field = grid.with_src_id(long.filter(F.col("variable").isin(names)))
-        parts.append(apply_weights(field, weights, grid, npix(zoom), out_keys, ["value"]))
+        parts.append(apply_weights(field, weights, grid, npix(zoom), out_keys, ["value"], pack="time_idx"))
     start = F.lit(group.axis.start).cast("timestamp_ntz")
     hours = F.timestamp_diff("HOUR", start, F.col("cycle"))
     return reduce(DataFrame.unionByName, parts).withColumns(
         {
+            "time": group.axis.stamp_at("time_idx"),
             "freq": F.lit(group.store),
             "zoom": F.lit(zoom),
             "block": F.floor(hours / F.lit(float(CYCLE_HOURS))).cast("bigint"),

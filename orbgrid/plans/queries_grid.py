@@ -163,9 +163,14 @@ def regrid_with_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 @register(f"{_regrid_sql('month')} {_PLAIN}")
 def regrid_tiled(spark: SparkSession, d: str) -> DataFrame:
-    """The same through the plan for weights too large to broadcast."""
-    out = regrid(latlon(spark, d, "month"), GRID, ZOOM, ["time"], ["v"], strategy="tiled", tile=6)
-    return out.select("time", "healpix_index", r6("v"))
+    """The same through the plan for large weights, twelve months side by side."""
+    field = latlon(spark, d, "month").withColumn("month", 12 * F.year("time") + F.month("time") - 1)
+    out = regrid(field, GRID, ZOOM, ["month"], ["v"], strategy="tiled", tile=6, pack="month")
+    first = F.make_timestamp_ntz(
+        F.floor(F.col("month") / 12.0).cast("int"), (F.col("month") % 12 + 1).cast("int"),
+        F.lit(1), F.lit(0), F.lit(0), F.lit(0),
+    )
+    return out.select(first.alias("time"), "healpix_index", r6("v"))
 
 
 def _region(spark: SparkSession, d: str) -> DataFrame:

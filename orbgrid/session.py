@@ -17,6 +17,8 @@ SETTINGS = {
     # Joins whose small side turns out small are switched to broadcast from
     # the measured shuffle size, never from an estimate alone.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Sides that are already partitioned by a part of the join keys stay put.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Arrow batches for the one place user Python runs (block reducers).
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -53,3 +55,13 @@ def lineage_cutter(spark: SparkSession) -> Callable[..., DataFrame]:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
     return lambda df, *_: df.checkpoint()
+
+
+def keep_copartitioning(spark: SparkSession) -> None:
+    """Let joins use a partitioning by a part of their keys.
+
+    Spark would otherwise shuffle both sides again by all keys.  Plans that
+    place their rows themselves rely on it, whoever made the session.
+    """
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(key, SETTINGS[key])

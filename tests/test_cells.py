@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orbgrid.functions.axes import GridAxis, LatLonGrid, detect_grid
 from orbgrid.functions.healpix import chunk_id, npix, parent, with_lonlat, zoom_from_nside
 from orbgrid.operators.regional import active_cells, cells_in_extent
-from orbgrid.operators.regrid import regrid
+from orbgrid.operators.regrid import apply_weights, regrid
 from orbgrid.operators.weights import build_weights, explode_corners
 
 
@@ -100,20 +100,34 @@ def test_regional_linear_field_both_latitude_orders(spark, lat):
     assert np.allclose(got.v, got.lat - 2 * lon)
 
 
+@pytest.mark.parametrize("pack", [None, "time"])
 @pytest.mark.parametrize("tile", [3, 7, 64])
 @pytest.mark.parametrize("grid", [GLOBAL, LatLonGrid(GridAxis(-40.0, 4.0, 21), GridAxis(30.0, 5.0, 17), regional=True)])
-def test_tiled_plan_equals_broadcast_plan(spark, grid, tile):
+def test_tiled_plan_equals_broadcast_plan(spark, grid, tile, pack):
     field = grid_field(spark, grid, F.when(F.rand(3) > 0.05, F.sin(F.col("lat")) * F.col("lon")))
-    field = field.withColumn("time", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn(
+    field = field.withColumn("time", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(5), F.lit(30)))).withColumn(
         "v", F.col("v") + F.col("time")
     ).cache()
     a = regrid(field, grid, 3, ["time"], ["v"], strategy="broadcast").toPandas()
-    b = regrid(field, grid, 3, ["time"], ["v"], strategy="tiled", tile=tile).toPandas()
+    b = regrid(field, grid, 3, ["time"], ["v"], strategy="tiled", tile=tile, pack=pack).toPandas()
     key = ["time", "healpix_index"]
     a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
     assert len(a) and a[key].equals(b[key]) and np.allclose(a.v, b.v)
 
 
+def test_tiled_plan_shuffles_each_side_once(spark):
+    """Join and sum run where the tiles were put."""
+    field = GLOBAL.with_src_id(grid_field(spark, GLOBAL, F.col("lat")))
+    w = build_weights(spark, GLOBAL, 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = apply_weights(field, w, GLOBAL, npix(3), ["time"], ["v"], strategy="tiled", tile=5, pack="time")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 2
+
+
 def test_missing_corner_makes_cell_missing(spark):
     full = grid_field(spark, GLOBAL, F.lit(1.0))
     holes = GLOBAL.with_src_id(full).withColumn("v", F.when(F.col("src_id") != 100, F.col("v")))
