@@ -80,7 +80,8 @@ def _apply_tiled(
     # Few tiles: split each of them by the field's other keys as well, so the
     # number of independent groups always exceeds the number of tasks.
     slots = max(1, -(-4 * partitions // n_tiles))
-    place = ["_tile", "_slot"]
+    # One column, so that constants in it cannot be folded out of the placing.
+    place = "_place"
 
     run = [k for k in keys if k != pack]
     if pack is not None:
@@ -94,28 +95,30 @@ def _apply_tiled(
         )
         run = [*run, "_run"]
     slot = F.pmod(F.xxhash64(*run), F.lit(slots)).cast("int") if run else F.lit(0)
-    left = field.select(
-        *run, "src_id", *values, *(["_lane"] if pack else []), slot.alias("_slot"),
-        F.explode(_halo_tiles(grid, tile, per_row)).alias("_tile"),
-    ).repartition(partitions, *place)
+    left = field.withColumns(
+        {"_slot": slot, "_tile": F.explode(_halo_tiles(grid, tile, per_row))}
+    ).select(
+        *run, "src_id", *values, *(["_lane"] if pack else []),
+        (F.col("_tile") * slots + F.col("_slot")).alias(place),
+    ).repartition(partitions, place)
 
-    right = weights.withColumn("_tile", _tile(F.col("j0"), F.col("i0"), tile, per_row))
-    right = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    right = explode_corners(right.repartition(partitions, *place), *place)
+    first = _tile(F.col("j0"), F.col("i0"), tile, per_row) * slots
+    right = weights.withColumn(place, F.explode(F.sequence(first, first + (slots - 1))))
+    right = explode_corners(right.repartition(partitions, place), place)
 
     if pack is None:
-        joined = left.join(right, [*place, "src_id"])
-        return _weighted(joined, [*place, *run, "healpix_index"], values).drop(*place)
+        joined = left.join(right, [place, "src_id"])
+        return _weighted(joined, [place, *run, "healpix_index"], values).drop(place)
 
     # Steps side by side: one join row and one hash entry serve LANES steps.
     # A missing step is NaN here, which makes the whole sum NaN.
     cells = [(v, n, f"_{v}_{n}") for v in values for n in range(LANES)]
-    packed = left.groupBy(*place, *run, "src_id").agg(
+    packed = left.groupBy(place, *run, "src_id").agg(
         *[F.max(F.when(F.col("_lane") == n, F.col(v).cast("double"))).alias(c) for v, n, c in cells]
     )
-    joined = packed.join(right, [*place, "src_id"])
+    joined = packed.join(right, [place, "src_id"])
     missing = F.lit(float("nan"))
-    sums = joined.groupBy(*place, *run, "healpix_index").agg(
+    sums = joined.groupBy(place, *run, "healpix_index").agg(
         F.count(F.lit(1)).alias("_corners"),
         *[F.sum(F.coalesce(c, missing) * F.col("w")).alias(c) for _, _, c in cells],
     ).filter(F.col("_corners") == 3)

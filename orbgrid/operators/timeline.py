@@ -26,6 +26,36 @@ def shift_halfpast(
     )
 
 
+def settle_times(
+    df: DataFrame, series: list[str], time: str = "time", full: int = 13, max_series: int | None = None
+) -> DataFrame:
+    """Trim and shift the times of source fields in one pass.
+
+    The first of exactly ``full`` steps is dropped, and what remains moves to
+    the full hour if all of it is stamped at half past.  Only the distinct
+    steps of each series are looked at, and one small join applies the result.
+    """
+    steps = df.select(*series, time).distinct()
+    stats = steps.groupBy(*series).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.struct(F.col(time), is_halfpast(time).alias("half"))).alias("_first"),
+        F.count_if(is_halfpast(time)).alias("_half"),
+    )
+    surplus = F.col("_n") == full
+    first_half = F.col("_first.half").cast("int")
+    kept = F.when(surplus, F.col("_n") - 1).otherwise(F.col("_n"))
+    kept_half = F.when(surplus, F.col("_half") - first_half).otherwise(F.col("_half"))
+    stats = stats.select(
+        *series,
+        F.when(surplus, F.col("_first")[time]).alias("_drop"),
+        F.when(kept == kept_half, 30).otherwise(0).alias("_shift"),
+    )
+    out = attach(df, stats, series, max_rows=max_series, row_bytes=256)
+    out = out.filter(F.col("_drop").isNull() | (F.col(time) != F.col("_drop")))
+    moved = F.when(F.col("_shift") > 0, shift_minutes(time, 30)).otherwise(F.col(time))
+    return out.withColumn(time, moved).drop("_drop", "_shift")
+
+
 def snap_time(df: DataFrame, axis: TimeAxis, tolerance_minutes: float = 5.0, time: str = "time") -> DataFrame:
     """Nearest axis stamp by arithmetic; ``on_axis`` is strict in the tolerance."""
     idx = axis.nearest_index(time)

@@ -12,10 +12,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbgrid.functions.axes import PRESSURE_LEVELS_HPA, LatLonGrid, TimeAxis, hpa_to_pa
+from orbgrid.functions.axes import PRESSURE_LEVELS_HPA, LatLonGrid, hpa_to_pa
 from orbgrid.functions.healpix import npix
 from orbgrid.operators.joins import attach
 from orbgrid.operators.mapping import (
+    FieldRule,
     inventory,
     map_variables,
     require_exactly_one,
@@ -25,7 +26,7 @@ from orbgrid.operators.pyramid import at_first_step, coarsen, coverage_weights,
 from orbgrid.operators.quality import QualityError
 from orbgrid.operators.regional import active_cells, gather_regional
 from orbgrid.operators.regrid import apply_weights, regrid
-from orbgrid.operators.timeline import shift_halfpast, snap_time, trim_first
+from orbgrid.operators.timeline import settle_times, snap_time
 from orbgrid.operators.vertical import interpolate_levels
 from orbgrid.plans.config import MODEL_LEVEL_PRESSURE, Experiment, GroupSpec, space_chunk, time_chunk
 from orbgrid.sources.manifest import coverage_gate
@@ -53,21 +54,60 @@ def mark_done(store: CellStore, task: str, sim: str, rows: DataFrame, part: str)
 # --- regridding --------------------------------------------------------------
 
 
-def group_fields(fields: DataFrame, group: GroupSpec) -> DataFrame:
-    """Source rows of a group, without the surplus first step of some cycles."""
-    mine = fields.filter(group.constraint())
-    return trim_first(mine, ["sim", "cycle", "field_name", "stash", "cell_methods"])
+SERIES = ["sim", "cycle", "field_name", "stash", "cell_methods"]
 
 
-def on_pressure_levels(fields: DataFrame, group: GroupSpec, keys: list[str]) -> DataFrame:
+def group_rules(group: GroupSpec) -> list[FieldRule]:
+    """Source fields a group reads."""
+    rules = [r for s in group.specs for r in s.fields]
+    if any(s.levels_to_pressure for s in group.specs):
+        rules.append(MODEL_LEVEL_PRESSURE)
+    return rules
+
+
+def group_fields(
+    fields: DataFrame, group: GroupSpec, max_series: int | None = None, tolerance_minutes: float = 5.0
+) -> DataFrame:
+    """Source rows of a group with their place on its time axis (``time_idx``).
+
+    Times are settled on the source rows, before anything is combined or
+    interpolated; a time that fits no stamp of the axis fails the job.
+    """
+    wanted = reduce(lambda a, b: a | b, [r.predicate() for r in group_rules(group)])
+    mine = settle_times(fields.filter(group.constraint() & wanted), SERIES, max_series=max_series)
+    snapped = snap_time(mine, group.axis, tolerance_minutes)
+    idx = F.when(F.col("on_axis"), F.col("time_idx")).otherwise(
+        F.raise_error(F.concat(F.lit("source time off the axis: "), F.col("time").cast("string")))
+    )
+    return snapped.withColumn("time_idx", idx.cast("bigint")).drop("time", "snapped", "on_axis")
+
+
+def require_same_times(source: DataFrame, group: GroupSpec) -> None:
+    """Model-level variables must have the times of the pressure field.
+
+    Steps of a variable before the first one of pressure are surplus and are
+    not counted.  Only distinct steps are compared.
+    """
+    step = ["sim", "cycle", "time_idx"]
+    there = [F.max(s.fields[0].predicate()).alias(s.short) for s in group.specs]
+    steps = source.groupBy(*step).agg(F.max(MODEL_LEVEL_PRESSURE.predicate()).alias("_p"), *there)
+    first = steps.filter("_p").groupBy("sim", "cycle").agg(F.min("time_idx").alias("_t0"))
+    checked = steps.join(first, ["sim", "cycle"], "left").filter(
+        F.col("_t0").isNull() | (F.col("time_idx") >= F.col("_t0"))
+    )
+    wrong = reduce(lambda a, b: a | b, [F.col(s.short) != F.col("_p") for s in group.specs])
+    bad = checked.filter(wrong).select("cycle", "time_idx").limit(5).collect()
+    if bad:
+        raise QualityError("model-level and pressure times differ: " + ", ".join(str(tuple(r)) for r in bad))
+
+
+def on_pressure_levels(source: DataFrame, group: GroupSpec, keys: list[str]) -> DataFrame:
     """Model-level variables of a group on the pressure axis.
 
     Values and pressure meet in one aggregation per grid point and level; the
     vertical step then finds its columns already in place.
     """
     names = [s.short for s in group.specs]
-    grouped = fields.filter(group.constraint())
-    source = trim_first(grouped, ["sim", "cycle", "field_name", "stash", "cell_methods"])
     column = [k for k in keys if k != "level"]
     picked = [F.max(F.when(s.fields[0].predicate(), F.col("value"))).alias(s.short) for s in group.specs]
     pressure = F.max(F.when(MODEL_LEVEL_PRESSURE.predicate(), F.col("value"))).alias("p")
@@ -78,33 +118,25 @@ def on_pressure_levels(fields: DataFrame, group: GroupSpec, keys: list[str]) ->
     return wide.select(*column, (F.col("level") / hpa_to_pa(F.lit(1))).alias("level"), F.inline(pairs))
 
 
-def on_axis(df: DataFrame, axis: TimeAxis, tolerance_minutes: float = 5.0) -> DataFrame:
-    """Snapped times; a time that fits no stamp fails the job."""
-    shifted = shift_halfpast(df, ["sim", "cycle", "variable"])
-    snapped = snap_time(shifted, axis, tolerance_minutes)
-    stamp = F.when(F.col("on_axis"), F.col("snapped")).otherwise(
-        F.raise_error(F.concat(F.lit("source time off the axis: "), F.col("time").cast("string")))
-    )
-    return snapped.withColumn("time", stamp.cast("timestamp_ntz")).drop("snapped", "on_axis", "halfpast")
-
-
 def regrid_group(
     fields: DataFrame,
     group: GroupSpec,
     experiment: Experiment,
     grid_of: Callable[[str], LatLonGrid],
     store: CellStore,
+    max_series: int | None = None,
 ) -> DataFrame:
     """Cells of all variables of a group at the top zoom, ready for the store.
 
     ``grid_of`` names the grid of a variable, as winds sit on staggered ones.
     """
-    keys = ["sim", "cycle", "time", "level", "lat", "lon"]
+    keys = ["sim", "cycle", "time_idx", "level", "lat", "lon"]
+    source = group_fields(fields, group, max_series)
     if any(s.levels_to_pressure for s in group.specs):
-        long = on_pressure_levels(fields, group, keys)
+        require_same_times(source, group)
+        long = on_pressure_levels(source, group, keys)
     else:
-        long = map_variables(group_fields(fields, group), group.specs, keys)
-    long = on_axis(long, group.axis)
+        long = map_variables(source, group.specs, keys)
 
     by_grid: dict[LatLonGrid, list[str]] = {}
     for s in group.specs:
@@ -147,15 +179,18 @@ def regrid_cycles(
         (F.col("sim") == experiment.key) & F.col("cycle").isin([F.lit(c).cast("timestamp_ntz") for c in todo])
     )
     for group in experiment.groups:
-        inv = inventory(mine.filter(group.constraint()), ["sim"])
+        inv = inventory(mine.filter(group.constraint()), ["sim"]).persist()
         require_exactly_one(inv, group.specs, ["sim"])
-        store.write_region(regrid_group(mine, group, experiment, grid_of, store))
+        # Fields x cycles bounds the series whose times are settled.
+        max_series = inv.count() * len(todo)
+        store.write_region(regrid_group(mine, group, experiment, grid_of, store, max_series))
         catalog = variable_catalog(inv, group.specs, ["sim"])
         store.write_table(
             catalog.withColumns({"freq": F.lit(group.store), "group": F.lit(group.name)}),
             "variables",
             ["sim", "freq", "group"],
         )
+        inv.unpersist()
     _require_written(store, experiment, todo)
     rows = store.spark.createDataFrame([(c, c.strftime("%Y%m%dT%H")) for c in todo], "cycle timestamp_ntz, p string")
     mark_done(store, "regrid", experiment.key, rows, "p")

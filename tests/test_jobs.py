@@ -232,6 +232,30 @@ def test_times_off_the_axis_fail(spark, tmp_path):
         jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, CellStore(spark, str(tmp_path)))
 
 
+def test_surplus_first_step_is_dropped(spark, tmp_path):
+    """Thirteen steps from midnight on, then twelve stamped at half past."""
+    exp, store = one_group(), CellStore(spark, str(tmp_path))
+    fields = source_fields(spark, exp).filter(F.col("cycle") == F.lit(T0).cast("timestamp_ntz"))
+    half = fields.withColumn("time", F.date_trunc("hour", "time").cast("timestamp_ntz") + F.make_dt_interval(mins=F.lit(30)))
+    extra = fields.filter(F.hour("time") == 0).withColumn("time", F.lit(T0).cast("timestamp_ntz"))
+    both = half.union(extra)
+    jobs.regrid_cycles(both, all_cycles(both), exp, lambda _: GRID, store)
+    got = store.scan().agg(F.min("time"), F.max("time"), F.count_distinct("time")).first()
+    assert tuple(got) == (T0 + timedelta(hours=1), T0 + timedelta(hours=12), 12)
+
+
+def test_level_times_must_match(global_run):
+    exp, fields, store, _ = global_run
+    late = F.col("time") > F.lit(T0 + timedelta(hours=20)).cast("timestamp_ntz")
+    early = F.col("time") < F.lit(T0 + timedelta(hours=2)).cast("timestamp_ntz")
+    group = next(g for g in exp.groups if g.name == "3d_ml")
+    ok = jobs.group_fields(fields.filter(~((F.col("field_name") == "air_pressure") & early)), group)
+    jobs.require_same_times(ok, group)  # surplus steps before the first pressure step
+    bad = jobs.group_fields(fields.filter(~((F.col("field_name") == "air_pressure") & late)), group)
+    with pytest.raises(QualityError, match="times differ"):
+        jobs.require_same_times(bad, group)
+
+
 def test_all_missing_is_not_marked_done(spark, tmp_path):
     exp, store = one_group(), CellStore(spark, str(tmp_path))
     fields = source_fields(spark, exp).withColumn("value", F.lit(None).cast("double"))
