@@ -93,6 +93,29 @@ def override(specs: Sequence[VariableSpec], changes: dict[str, dict | None]) ->
     return tuple(out)
 
 
+def _operand_tags(specs: Sequence[VariableSpec]) -> Column:
+    """Array of the operands a source row may serve; NULL where it does not.
+
+    Rules are looked up by field name first, so that a row is held against
+    the few rules of its own field only.
+    """
+    by_name: dict[str | None, list[Column]] = {}
+    for spec in specs:
+        for n, rule in enumerate(spec.fields):
+            tag = F.struct(F.lit(spec.short).alias("variable"), F.lit(n).alias("operand"))
+            by_name.setdefault(rule.name, []).append(F.when(rule.predicate(), tag))
+    unnamed = by_name.pop(None, [])
+    rest = F.array(*unnamed) if unnamed else F.lit(None)
+    if not by_name:
+        return rest
+    names = iter(by_name.items())
+    first, tags = next(names)
+    cases = F.when(F.col("field_name") == first, F.array(*tags, *unnamed))
+    for name, tags in names:
+        cases = cases.when(F.col("field_name") == name, F.array(*tags, *unnamed))
+    return cases.otherwise(rest)
+
+
 def map_variables(df: DataFrame, specs: Sequence[VariableSpec], keys: list[str], value: str = "value") -> DataFrame:
     """Rows ``keys..., variable, value`` of all ``specs`` in a single scan.
 
@@ -100,13 +123,10 @@ def map_variables(df: DataFrame, specs: Sequence[VariableSpec], keys: list[str],
     it is an operand of.  Single-field variables stay where they are; operands
     of combined variables meet by ``keys``.
     """
-    tags = [
-        F.when(rule.predicate(), F.struct(F.lit(spec.short).alias("variable"), F.lit(n).alias("operand")))
-        for spec in specs
-        for n, rule in enumerate(spec.fields)
-    ]
-    tagged = df.withColumn("_tag", F.explode(F.array_compact(F.array(*tags)))).select(
-        *keys, F.col("_tag.variable").alias("variable"), F.col("_tag.operand").alias("_n"), F.col(value).alias("_v")
+    tagged = (
+        df.withColumn("_tag", F.explode(_operand_tags(specs)))
+        .filter(F.col("_tag").isNotNull())
+        .select(*keys, F.col("_tag.variable").alias("variable"), F.col("_tag.operand").alias("_n"), F.col(value).alias("_v"))
     )
 
     simple = [s for s in specs if len(s.fields) == 1]
