@@ -77,11 +77,14 @@ def interpolate_levels(
         thinned = thin_columns(points.join(long_keys, keys, "left_semi"), keys, p, values, targets)
         points = points.join(long_keys, keys, "left_anti").union(thinned)
 
+    # Targets below each level are counted once, ahead of the ordering.
+    points = points.withColumn("_below", _targets_below(F.col(p), targets))
     w = Window.partitionBy(*keys).orderBy(p)
     ahead = {f"_{v}2": F.lead(v).over(w) for v in values}
     segments = points.withColumns(
         {
             "_p2": F.lead(p).over(w),
+            "_below2": F.lead("_below").over(w),
             "_first": F.lag(p).over(w).isNull(),
             "_last": F.lead(p, 2).over(w).isNull(),
             **ahead,
@@ -89,8 +92,8 @@ def interpolate_levels(
     ).filter(F.col("_p2").isNotNull())
 
     # Targets in [p, p2); the outer segments also take everything beyond.
-    first = F.when(F.col("_first"), F.lit(0)).otherwise(_targets_below(F.col(p), targets))
-    stop = F.when(F.col("_last"), F.lit(len(targets))).otherwise(_targets_below(F.col("_p2"), targets))
+    first = F.when(F.col("_first"), F.lit(0)).otherwise(F.col("_below"))
+    stop = F.when(F.col("_last"), F.lit(len(targets))).otherwise(F.col("_below2"))
     hit = segments.withColumns({"_from": first, "_to": stop - 1}).filter(F.col("_from") <= F.col("_to"))
     hit = hit.withColumn("_k", F.explode(F.sequence("_from", "_to"))).withColumn(
         "_t", F.element_at(F.array(*[F.lit(t) for t in targets]), F.col("_k") + 1)
