@@ -82,6 +82,11 @@ def has_dims(*dims: str) -> Column:
     return F.col("dims") == F.array(*[F.lit(d) for d in dims])
 
 
+def drop_unused(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Without the listed columns, as far as they are there."""
+    return df.drop(*names)
+
+
 def override(specs: Sequence[VariableSpec], changes: dict[str, dict | None]) -> tuple[VariableSpec, ...]:
     """A copy of ``specs`` with some variables changed, or dropped by ``None``."""
     out = []

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbgrid.functions.axes import TimeAxis
+from orbgrid.functions.healpix import npix
 from orbgrid.functions.scalars import is_close
 from orbgrid.operators.joins import attach
 
@@ -24,6 +28,16 @@ NOT_CHECKED = ("weights",)
 ONLY_ALL_MISSING = ("mrsol",)
 
 
+def spine(spark: SparkSession, axis: TimeAxis, zoom: int, levels: Sequence[float] | None = None) -> DataFrame:
+    """Every step, level and cell a dataset should have; generated, not stored."""
+    out = axis.to_df(spark).select("time")
+    if levels is not None:
+        out = out.withColumn("level", F.explode(F.array(*[F.lit(float(x)) for x in levels])))
+    # Spread the few steps before they fan out into cells.
+    first, last = F.lit(0).cast("bigint"), F.lit(npix(zoom) - 1).cast("bigint")
+    return out.repartition(*out.columns).withColumn("healpix_index", F.explode(F.sequence(first, last)))
+
+
 def missing_fraction(df: DataFrame, keys: list[str], value: str, expected: Column | int) -> DataFrame:
     """Share of expected values that are absent or missing.
 

@@ -77,17 +77,21 @@ def trim_first(df: DataFrame, series: list[str], time: str | list[str] = "time",
     return df.withColumn("_stamp", stamp).join(ends, [*series, "_stamp"], "left_anti").drop("_stamp")
 
 
-def trim_last(df: DataFrame, series: list[str], steps: DataFrame, time: str = "time") -> DataFrame:
+def trim_last(
+    df: DataFrame, series: list[str], steps: DataFrame, time: str = "time", max_n: int | None = None
+) -> DataFrame:
     """Keep the last ``n`` steps of every series; ``steps`` holds ``series..., n``.
 
-    Only distinct steps are ranked; the data rows are filtered by the cut-off.
+    Only distinct steps are ranked, and no deeper than the largest ``n``
+    (``max_n``, looked up if not given), so that long series are cut down
+    before they are brought together.
     """
-    distinct = df.select(*series, time).distinct().join(steps, series)
-    # Step numbers grow from the end; rows beyond n are not needed.
-    ranked = distinct.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*series).orderBy(F.col(time).desc()))
-    ).filter(F.col("_rn") <= F.col("n"))
-    cut = ranked.groupBy(*series).agg(F.min(time).alias("_cut"))
+    if max_n is None:
+        max_n = steps.agg(F.max("n")).first()[0] or 0
+    latest = F.row_number().over(Window.partitionBy(*series).orderBy(F.col(time).desc()))
+    ranked = df.select(*series, time).distinct().withColumn("_rn", latest).filter(F.col("_rn") <= int(max_n))
+    kept = ranked.join(steps, series).filter(F.col("_rn") <= F.col("n"))
+    cut = kept.groupBy(*series).agg(F.min(time).alias("_cut"))
     return df.join(cut, series).filter(F.col(time) >= F.col("_cut")).drop("_cut")
 
 

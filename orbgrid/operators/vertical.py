@@ -57,14 +57,14 @@ def interpolate_levels(
     targets: Sequence[float],
     level: str = "level",
     clamp: bool = True,
-    long_column: int | None = None,
+    long_column: int | None = 1000,
 ) -> DataFrame:
     """Values at ``targets`` for every column with at least two levels.
 
-    ``points`` holds one row per column (``keys``) and distinct ``p``.  Model
-    columns have a few dozen levels, so they are ordered in place.  Where
-    nothing bounds their length, give ``long_column``: columns with more
-    levels than that are thinned first, with the same result.
+    ``points`` holds one row per column (``keys``) and distinct ``p``.  Columns
+    are ordered in place; those with more than ``long_column`` levels are
+    thinned first, with the same result.  ``None`` skips the count where the
+    length is bounded, as it is on model levels.
     """
     targets = sorted(float(t) for t in targets)
     points = points.select(*keys, p, *values).filter(F.col(p).isNotNull())

@@ -82,6 +82,16 @@ def group_fields(
     return snapped.withColumn("time_idx", idx.cast("bigint")).drop("time", "snapped", "on_axis")
 
 
+def require_consecutive(source: DataFrame) -> None:
+    """The steps of a field within a cycle must follow each other without a gap."""
+    steps = source.groupBy(*SERIES).agg(
+        F.count_distinct("time_idx").alias("n"), F.min("time_idx").alias("a"), F.max("time_idx").alias("b")
+    )
+    bad = steps.filter(F.col("n") != F.col("b") - F.col("a") + 1).select("field_name", "cycle").limit(5).collect()
+    if bad:
+        raise QualityError("source times have gaps: " + ", ".join(str(tuple(r)) for r in bad))
+
+
 def require_same_times(source: DataFrame, group: GroupSpec) -> None:
     """Model-level variables must have the times of the pressure field.
 
@@ -113,7 +123,7 @@ def on_pressure_levels(source: DataFrame, group: GroupSpec, keys: list[str]) ->
     pressure = F.max(F.when(MODEL_LEVEL_PRESSURE.predicate(), F.col("value"))).alias("p")
     points = source.repartition(*column).groupBy(*column, "level").agg(pressure, *picked)
     targets = [p * 100.0 for p in PRESSURE_LEVELS_HPA]
-    wide = interpolate_levels(points, column, "p", names, targets, level="level", clamp=True)
+    wide = interpolate_levels(points, column, "p", names, targets, level="level", clamp=True, long_column=None)
     pairs = F.array(*[F.struct(F.lit(n).alias("variable"), F.col(n).alias("value")) for n in names])
     return wide.select(*column, (F.col("level") / hpa_to_pa(F.lit(1))).alias("level"), F.inline(pairs))
 
@@ -132,6 +142,7 @@ def regrid_group(
     """
     keys = ["sim", "cycle", "time_idx", "level", "lat", "lon"]
     source = group_fields(fields, group, max_series)
+    require_consecutive(source)
     if any(s.levels_to_pressure for s in group.specs):
         require_same_times(source, group)
         long = on_pressure_levels(source, group, keys)

@@ -13,7 +13,7 @@ from orbgrid.functions.healpix import npix, parent
 from orbgrid.operators import pyramid as pyr
 from orbgrid.operators import quality as ql
 from orbgrid.operators import reports as rp
-from orbgrid.operators.mapping import FieldRule, VariableSpec, has_dims, inventory, override
+from orbgrid.operators.mapping import FieldRule, VariableSpec, drop_unused, has_dims, inventory, override
 from orbgrid.operators.timeline import first_steps, snapshot
 from orbgrid.plans.config import Experiment, GroupSpec
 from orbgrid.plans.inputs import (
@@ -37,8 +37,8 @@ from orbgrid.plans.queries_time import DEMO_SPECS
 from orbgrid.plans.registry import register
 from orbgrid.session import scratch_root
 from orbgrid.sources import manifest as mf
-from orbgrid.sources.store import CellStore, dataset_metadata, read_report, write_report
-from orbgrid.streaming.incremental import run_available
+from orbgrid.sources.store import CellStore, dataset_metadata, for_consumers, read_report, write_report
+from orbgrid.streaming.incremental import complete_in_stream, run_available
 
 NPIX = npix(ZOOM)
 _K = '"time", variable,'
@@ -174,6 +174,36 @@ def dataset_opens(spark: SparkSession, d: str) -> DataFrame:
     return ql.dataset_shape(cells(spark, d), ["variable"])
 
 
+_JANUARY = TimeAxis(datetime(2024, 1, 1), datetime(2024, 1, 31), timedelta(days=1))
+
+
+@register(
+    f"""WITH {CELLS_SQL}, pres AS (SELECT "time", healpix_index, count(*) AS n FROM ev GROUP BY ALL),
+sp AS (SELECT TIMESTAMP '2024-01-01' + to_days(k::INT) AS "time", c AS healpix_index FROM (SELECT unnest(range(31)) AS k), (SELECT unnest(range({NPIX})) AS c))
+SELECT "time", count(*) AS n_cells, count(n) AS n_present, coalesce(sum(n), 0)::BIGINT AS n_values FROM sp LEFT JOIN pres USING ("time", healpix_index) GROUP BY ALL"""
+)
+def spine_completeness(spark: SparkSession, d: str) -> DataFrame:
+    """Cells present on every step of the axis, absent steps included."""
+    have = cells(spark, d).groupBy("time", "healpix_index").agg(F.count(F.lit(1)).alias("n"))
+    out = ql.spine(spark, _JANUARY, ZOOM).join(have, ["time", "healpix_index"], "left")
+    return out.groupBy("time").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.count("n").alias("n_present"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_values"),
+    )
+
+
+@register(
+    f"""WITH need AS (SELECT DISTINCT l_returnflag || l_linestatus || (l_suppkey % 40) AS grid_key FROM lineitem),
+have AS (SELECT DISTINCT l_returnflag || l_linestatus || (l_suppkey % 40) AS grid_key FROM lineitem WHERE l_quantity > 47)
+SELECT grid_key FROM need WHERE grid_key NOT IN (SELECT grid_key FROM have)"""
+)
+def absent_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Grids in use for which no weights are stored."""
+    key = F.concat("l_returnflag", "l_linestatus", (F.col("l_suppkey") % 40).cast("string")).alias("grid_key")
+    li = table(spark, d, "lineitem")
+    return ql.absent_weights(li.select(key), li.filter("l_quantity > 47").select(key))
+
+
 @register(f"WITH {CELLS_SQL}, {_SNAP_SQL} SELECT variable, \"time\", count(DISTINCT healpix_index) AS n_cells FROM snap GROUP BY ALL")
 def single_step_loads(spark: SparkSession, d: str) -> DataFrame:
     return snapshot(cells(spark, d)).groupBy("variable", "time").agg(
@@ -387,6 +417,42 @@ def block_reducer(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register(
+    f"""WITH {CELLS_SQL}, a AS (SELECT healpix_index AS cell, min("time") AS first_time, count(*) AS n FROM ev GROUP BY ALL) SELECT * FROM a"""
+)
+def consumer_view(spark: SparkSession, d: str) -> DataFrame:
+    """Stored cells under the names analysis code expects, without helper columns."""
+    out = for_consumers(drop_unused(_stored(spark, d), ("sim", "freq", "height", "sigma")))
+    return out.groupBy("cell").agg(F.min("time").alias("first_time"), F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    f"""WITH a AS (SELECT 'sim' || (user_id % 29) AS sim, time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '2000-01-01')::TIMESTAMP AS cycle_time, event_type FROM events)
+SELECT sim, cycle_time, count(DISTINCT event_type) AS n_streams FROM a
+WHERE cycle_time + INTERVAL 12 HOUR <= (SELECT max(cycle_time) FROM a) GROUP BY ALL HAVING count(DISTINCT event_type) = 5"""
+)
+def stream_complete_cycles(spark: SparkSession, d: str) -> DataFrame:
+    """Completeness as streaming state; a cycle is reported once it is over."""
+    root = scratch_root(spark)
+    source = table(spark, d, "events").schema
+    arrivals_in = spark.readStream.schema(source).option("pathGlobFilter", "events.parquet").parquet(d)
+    rows = arrivals_in.select(
+        F.concat(F.lit("sim"), (F.col("user_id") % 29).cast("string")).alias("sim"),
+        floor_hours("ts").cast("timestamp").alias("cycle_time"),
+        F.col("event_type").alias("stream"),
+    )
+    query = (
+        complete_in_stream(rows, STREAMS, late="0 seconds")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/progress")
+        .trigger(availableNow=True)
+        .start(f"{root}/complete")
+    )
+    query.awaitTermination()
+    out = spark.read.schema("sim string, cycle_time timestamp, n_streams bigint").parquet(f"{root}/complete")
+    return out.withColumn("cycle_time", F.col("cycle_time").cast("timestamp_ntz"))
+
+
 # --- incremental -------------------------------------------------------------
 
 # Months of the fixture become the hours of a cycle, years the cycles.

@@ -42,6 +42,7 @@ EXTENT = REGION.extent
 WEST, EAST, SOUTH, NORTH = EXTENT
 INSIDE_SQL = f"lon > {WEST}e0 AND lon < {EAST}e0 AND lat > {SOUTH}e0 AND lat < {NORTH}e0"
 NPIX = npix(ZOOM)
+FINE = 6
 
 
 def r6(c: str, name: str | None = None):
@@ -155,6 +156,12 @@ def regrid_latlon(spark: SparkSession, d: str) -> DataFrame:
     return regrid(latlon(spark, d), GRID, ZOOM, ["time"], ["v"]).select("time", "healpix_index", r6("v"))
 
 
+@register(_regrid_sql("year").replace(weights_sql(GRID, ZOOM), weights_sql(GRID, FINE)) + " " + _PLAIN)
+def regrid_fine(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly field onto a fine zoom: many more cells than grid points."""
+    return regrid(latlon(spark, d), GRID, FINE, ["time"], ["v"]).select("time", "healpix_index", r6("v"))
+
+
 @register(f"{_regrid_sql('month')} {_PLAIN}")
 def regrid_with_gaps(spark: SparkSession, d: str) -> DataFrame:
     """Monthly field with absent points: a cell needs all three of its corners."""
@@ -259,6 +266,23 @@ def static_pyramid(spark: SparkSession, d: str) -> DataFrame:
     return out.select("zoom", "healpix_index", r6("orog"), r6("sftlf"))
 
 
+@register(
+    f"""WITH {CELLS_SQL}, st AS (SELECT l_suppkey % {NPIX} AS healpix_index, avg(l_extendedprice) AS orog, avg(l_discount) * 100 AS sftlf FROM lineitem GROUP BY ALL)
+SELECT "time", variable, count(*) AS n, count(orog) AS n_static, round(avg(orog), 4) AS orog, round(avg(sftlf), 4) AS sftlf
+FROM ev LEFT JOIN st USING (healpix_index) GROUP BY ALL"""
+)
+def static_attach(spark: SparkSession, d: str) -> DataFrame:
+    """Static fields of a zoom attached to every step of it."""
+    static = table(spark, d, "lineitem").groupBy((F.col("l_suppkey") % NPIX).alias("healpix_index")).agg(
+        F.avg("l_extendedprice").alias("orog"), to_percent(F.avg("l_discount")).alias("sftlf")
+    )
+    both = attach(cells(spark, d), static, ["healpix_index"], "left", max_rows=NPIX)
+    return both.groupBy("time", "variable").agg(
+        F.count(F.lit(1)).alias("n"), F.count("orog").alias("n_static"),
+        F.round(F.avg("orog"), 4).alias("orog"), F.round(F.avg("sftlf"), 4).alias("sftlf"),
+    )
+
+
 # --- coverage weights --------------------------------------------------------
 
 _FIRST_SQL = 'f AS (SELECT * FROM ev WHERE "time" = (SELECT min("time") FROM ev))'

@@ -77,6 +77,28 @@ def trim_first_of_13(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register(
+    f"""WITH s AS (SELECT event_type || user_id AS series, event_id,
+  date_trunc('hour', ts)::TIMESTAMP + CASE WHEN user_id % 3 = 0 THEN INTERVAL 30 MINUTE
+    WHEN user_id % 3 = 1 AND ts > TIMESTAMP '2024-01-03' THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS t FROM events),
+d AS (SELECT DISTINCT series, t FROM s), r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY t) AS rn, count(*) OVER (PARTITION BY series) AS n FROM d),
+k AS (SELECT series, t FROM r WHERE n <> 13 OR rn > 1),
+h AS (SELECT series, bool_and(minute(t) = 30 AND second(t) = 0) AS half FROM k GROUP BY 1)
+SELECT series, event_id, t + CASE WHEN half THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS "time" FROM s JOIN k USING (series, t) JOIN h USING (series)"""
+)
+def settle_times(spark: SparkSession, d: str) -> DataFrame:
+    """Surplus first steps dropped and half-past series shifted, in one pass."""
+    u = F.col("user_id") % 3
+    late = F.col("ts") > F.lit("2024-01-03").cast("timestamp_ntz")
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    ev = table(spark, d, "events").select(
+        F.concat("event_type", F.col("user_id").cast("string")).alias("series"),
+        "event_id",
+        F.when((u == 0) | ((u == 1) & late), shift_minutes(hour, 30)).otherwise(hour).alias("time"),
+    )
+    return tl.settle_times(ev, ["series"]).select("series", "event_id", "time")
+
+
 _DAYS_SQL = """dd AS (SELECT event_id, user_id, date_trunc('day', ts)::TIMESTAMP AS "time" FROM events),
 pr AS (SELECT user_id, count(DISTINCT date_trunc('day', ts)) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1)"""
 

@@ -112,6 +112,11 @@ class CellStore:
         return read_or_empty(self.spark, f"{self.root}/{name}", schema)
 
 
+def for_consumers(df: DataFrame) -> DataFrame:
+    """The names analysis code expects: cells are called ``cell``."""
+    return df.withColumnRenamed("healpix_index", "cell")
+
+
 # --- weights -----------------------------------------------------------------
 
 WEIGHT_SCHEMA = (

@@ -232,6 +232,13 @@ def test_times_off_the_axis_fail(spark, tmp_path):
         jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, CellStore(spark, str(tmp_path)))
 
 
+def test_gaps_within_a_cycle_fail(spark, tmp_path):
+    exp = one_group()
+    fields = source_fields(spark, exp).filter(F.hour("time") != 5)
+    with pytest.raises(QualityError, match="gaps"):
+        jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, CellStore(spark, str(tmp_path)))
+
+
 def test_surplus_first_step_is_dropped(spark, tmp_path):
     """Thirteen steps from midnight on, then twelve stamped at half past."""
     exp, store = one_group(), CellStore(spark, str(tmp_path))
