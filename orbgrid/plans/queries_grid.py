@@ -244,7 +244,7 @@ def pyramid_all(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     f"""WITH ll AS (SELECT -85e0 + 10e0 * (l_partkey % 18) AS lat, 5e0 + 10e0 * (l_orderkey % 36) AS lon,
-  avg(l_extendedprice) AS orog, avg(l_discount) * 100 AS sftlf FROM lineitem GROUP BY ALL),
+  avg(sqrt(l_extendedprice)) AS orog, avg(sqrt(l_discount)) * 100 AS sftlf FROM lineitem GROUP BY ALL),
 fld AS (SELECT {src_id_sql(GRID)} AS src_id, orog, sftlf FROM ll), {weights_sql(GRID, ZOOM)},
 hp AS (SELECT healpix_index, CASE WHEN count(orog) = 3 THEN sum(orog * w) END AS orog,
   CASE WHEN count(sftlf) = 3 THEN sum(sftlf * w) END AS sftlf FROM fld JOIN wts USING (src_id) GROUP BY ALL HAVING count(*) = 3),
@@ -258,7 +258,7 @@ def static_pyramid(spark: SparkSession, d: str) -> DataFrame:
             (F.lit(-85.0) + 10.0 * (F.col("l_partkey") % 18)).alias("lat"),
             (F.lit(5.0) + 10.0 * (F.col("l_orderkey") % 36)).alias("lon"),
         )
-        .agg(F.avg("l_extendedprice").alias("orog"), F.avg("l_discount").alias("sftlf"))
+        .agg(F.avg(F.sqrt("l_extendedprice")).alias("orog"), F.avg(F.sqrt("l_discount")).alias("sftlf"))
         .withColumn("sftlf", to_percent(F.col("sftlf")))
     )
     hp = regrid(static, GRID, ZOOM, [], ["orog", "sftlf"])

@@ -205,7 +205,7 @@ _SINGLE = [s for s in DEMO_SPECS if len(s.fields) == 1]
 
 @register(
     _rows_sql(
-        """SELECT expt, "time", lat_j, lon_i, variable, round(value, 6) AS value, count(*) AS n FROM (
+        """SELECT expt, "time", lat_j, lon_i, variable, round(value, 6) + 0e0 AS value, count(*) AS n FROM (
 SELECT expt, "time", lat_j, lon_i, 'clk' AS variable, value FROM m WHERE field_name = 'click'
 UNION ALL SELECT expt, "time", lat_j, lon_i, 'err', value FROM m WHERE field_name = 'error' AND stash = 'm01s01'
 UNION ALL SELECT expt, "time", lat_j, lon_i, 'pur', -value FROM m WHERE field_name = 'purchase' AND averaged
@@ -238,7 +238,7 @@ w AS (SELECT expt, "time", lat_j,
 
 
 @register(
-    f"""{_DAILY_SQL} SELECT expt, "time", lat_j, variable, round(value, 6) AS value FROM (
+    f"""{_DAILY_SQL} SELECT expt, "time", lat_j, variable, round(value, 6) + 0e0 AS value FROM (
 SELECT expt, "time", lat_j, 'tot' AS variable, s + v AS value FROM w WHERE s IS NOT NULL OR v IS NOT NULL
 UNION ALL SELECT expt, "time", lat_j, 'mix', (c - e) * v FROM w WHERE c IS NOT NULL OR e IS NOT NULL OR v IS NOT NULL)"""
 )
@@ -315,7 +315,7 @@ def _interp_sql(clamp: bool, levels: str = _TARGETS_SQL) -> str:
     def out(c: str) -> str:
         y = f"{c} + (t - p) * ({c}2 - {c}) / (p2 - p)"
         y = f"CASE WHEN {y} < 0 THEN 0e0 ELSE {y} END" if clamp else y
-        return f"round({y}, 6) AS {c}"
+        return f"round({y}, 6) + 0e0 AS {c}"
 
     return f"""{COLUMNS_SQL}, g AS (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY l_orderkey) AS n,
   lead(p) OVER w AS p2, lead(v) OVER w AS v2, lead(x) OVER w AS x2 FROM col WINDOW w AS (PARTITION BY l_orderkey ORDER BY p)),
@@ -344,7 +344,7 @@ def vertical_interp_clamped(spark: SparkSession, d: str) -> DataFrame:
     """WITH s AS (SELECT l_linestatus AS "time", round(l_quantity * 100 + l_linenumber, 6) AS p, avg(l_extendedprice) AS v FROM lineitem GROUP BY ALL),
 g AS (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY "time") AS n, lead(p) OVER w AS p2, lead(v) OVER w AS v2
   FROM s WINDOW w AS (PARTITION BY "time" ORDER BY p)), tg AS (SELECT unnest([1, 10, 20, 30, 50, 75]) AS hpa)
-SELECT "time", hpa AS pressure, round(v + (hpa * 100 - p) * (v2 - v) / (p2 - p), 6) AS v FROM g, tg
+SELECT "time", hpa AS pressure, round(v + (hpa * 100 - p) * (v2 - v) / (p2 - p), 6) + 0e0 AS v FROM g, tg
 WHERE p2 IS NOT NULL AND (hpa * 100 >= p OR rn = 1) AND (hpa * 100 < p2 OR rn = n - 1)"""
 )
 def vertical_interp_long_columns(spark: SparkSession, d: str) -> DataFrame:
