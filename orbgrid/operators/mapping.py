@@ -82,6 +82,11 @@ def has_dims(*dims: str) -> Column:
     return F.col("dims") == F.array(*[F.lit(d) for d in dims])
 
 
+def map_values(df: DataFrame, values: Sequence[str], fn: Callable[[Column], Column]) -> DataFrame:
+    """Apply a column function to every variable of a wide table."""
+    return df.withColumns({v: fn(F.col(v)) for v in values})
+
+
 def drop_unused(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Without the listed columns, as far as they are there."""
     return df.drop(*names)

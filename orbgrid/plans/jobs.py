@@ -210,10 +210,11 @@ def regrid_cycles(
 def _require_written(store: CellStore, experiment: Experiment, cycles: list) -> None:
     """Every variable must have left at least one value for every cycle."""
     hours = [int((c - experiment.first_cycle).total_seconds() // 3600) // CYCLE_HOURS for c in cycles]
-    cells = store.scan().filter((F.col("sim") == experiment.key) & (F.col("zoom") == experiment.max_zoom))
     have = {
-        (r.freq, r.variable, r.block)
-        for r in cells.filter(F.col("block").isin(hours)).select("freq", "variable", "block").distinct().collect()
+        (freq, r.variable, r.block)
+        for freq in {name for name, _ in experiment.stored_specs()}
+        for r in store.scan(experiment.key, freq, experiment.max_zoom)
+        .filter(F.col("block").isin(hours)).select("variable", "block").distinct().collect()
     }
     want = {(store_name, s.short, h) for store_name, s in experiment.stored_specs() for h in hours}
     if want - have:
@@ -273,9 +274,7 @@ def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int)
     step_hours = int(axis.step.total_seconds() // 3600)
     spans = [_source_blocks(c, zoom, experiment, step_hours) for c in chunks]
     blocks = sorted({b for lo, hi in spans for b in range(lo, hi + 1)})
-    source = store.scan().filter(
-        (F.col("sim") == sim) & (F.col("freq") == freq) & (F.col("zoom") == zoom + 1) & F.col("block").isin(blocks)
-    )
+    source = store.scan(sim, freq, zoom + 1).filter(F.col("block").isin(blocks))
     chunk = F.floor(axis.nearest_index("time") / F.lit(float(size))).cast("bigint")
     source = source.withColumn("block", chunk).filter(F.col("block").isin(chunks))
     coarse = coarsen(source, ["sim", "freq", "variable", "block", "time", "level"], ["value"])
@@ -307,7 +306,7 @@ def _write_coverage(store: CellStore, experiment: Experiment, freq: str, zoom: i
     spec = next(s for name, s in experiment.stored_specs() if name == freq)
     mine = (F.col("sim") == experiment.key) & (F.col("freq") == freq)
     if zoom == experiment.max_zoom - 1:
-        top = store.scan().filter(mine & (F.col("zoom") == zoom + 1) & (F.col("variable") == spec.short))
+        top = store.scan(experiment.key, freq, zoom + 1, [spec.short])
         first = at_first_step(at_first_step(top), "level") if freq == "PT3H" else at_first_step(top)
         out = coverage_weights(first, "value")
     else:

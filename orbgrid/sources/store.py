@@ -87,17 +87,41 @@ class CellStore:
             ["time", "level", "healpix_index"],
         )
 
-    def scan(self) -> DataFrame:
-        return read_or_empty(self.spark, self.cells_path, CELL_SCHEMA)
+    def scan(
+        self,
+        sim: str | None = None,
+        freq: str | None = None,
+        zoom: int | None = None,
+        variables: list[str] | None = None,
+    ) -> DataFrame:
+        """Cells of the given datasets.
+
+        Leading partition values go into the path, so that only the folders of
+        the dataset are listed and not the whole store.
+        """
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        given = {"sim": sim, "freq": freq, "zoom": zoom}
+        folders, whole = [self.cells_path], True
+        for name, value in given.items():
+            whole = whole and value is not None
+            if whole:
+                folders = [f"{folders[0]}/{name}={escape(str(value))}"]
+        if whole and variables is not None:
+            folders = [f"{folders[0]}/variable={escape(v)}" for v in variables]
+        folders = [f for f in folders if table_exists(self.spark, f)]
+        if not folders:
+            return self.spark.createDataFrame([], CELL_SCHEMA)
+        out = self.spark.read.schema(CELL_SCHEMA).option("basePath", self.cells_path).parquet(*folders)
+        for name, value in given.items():
+            if value is not None:
+                out = out.filter(F.col(name) == value)
+        return out if variables is None else out.filter(F.col("variable").isin(variables))
 
     def open(
         self, sim: str, freq: str, zoom: int, variables: list[str] | None = None, signed_lon: bool = False
     ) -> DataFrame:
         """One dataset with coordinates; only its partitions are read."""
-        where = (F.col("sim") == sim) & (F.col("freq") == freq) & (F.col("zoom") == zoom)
-        if variables is not None:
-            where = where & F.col("variable").isin(variables)
-        return with_lonlat(self.scan().filter(where), zoom, signed=signed_lon)
+        return with_lonlat(self.scan(sim, freq, zoom, variables), zoom, signed=signed_lon)
 
     def catalog(self) -> DataFrame:
         """Datasets and variables there are, from partition values only."""

@@ -177,6 +177,13 @@ def test_rerun_changes_nothing(global_run):
     assert tuple(state) == tuple(again)
 
 
+def test_only_the_folders_of_a_dataset_are_listed(global_run):
+    exp, _, store, _ = global_run
+    files = store.open(exp.key, "PT1H", 2, ["tas", "absent"]).inputFiles()
+    assert files and all("/zoom=2/variable=tas/" in f for f in files)
+    assert store.open("unknown", "PT1H", 2).count() == 0
+
+
 def test_variable_catalog_is_written(global_run):
     exp, _, store, _ = global_run
     schema = (

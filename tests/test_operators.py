@@ -249,6 +249,11 @@ def test_one_field_may_serve_two_variables(spark):
     assert rows(mp.map_variables(df, specs, ["k"]), "variable") == [(1, "p", 1.0), (1, "s", 3.0)]
 
 
+def test_functions_over_all_variables(spark):
+    df = spark.createDataFrame([(1, 2.0, -3.0)], "k int, a double, b double")
+    assert rows(mp.map_values(df, ["a", "b"], clamp_negative).transform(mp.drop_unused, ["k", "absent"]), "a") == [(2.0, 0.0)]
+
+
 def test_exactly_one_is_enforced(spark):
     df = spark.createDataFrame(
         field_rows(("a", "s1", [], 1, 1.0), ("a", "s2", ["mean"], 1, 2.0)), SOURCE
