@@ -316,3 +316,14 @@ def test_compare_reports_one_sided_rows(spark):
     a = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0)], "k int, v double")
     b = spark.createDataFrame([(1, 1.0 + 1e-7), (2, 2.1), (4, 4.0)], "k int, v double")
     assert rows(ql.compare_runs(a, b, ["k"], "v"), "k") == [(2, 2.0, 2.1), (3, 3.0, None), (4, None, 4.0)]
+
+
+def test_rules_may_hold_any_condition(spark):
+    """A rule with a condition of its own, without a field name."""
+    big = FieldRule(where=lambda: F.col("value") > 1.5)
+    specs = [VariableSpec("b", "big", (big,)), VariableSpec("a", "a", (FieldRule("a"),))]
+    df = spark.createDataFrame(field_rows(("a", "s", [], 1, 1.0), ("a", "s", [], 2, 2.0), ("z", "s", [], 3, 3.0)), SOURCE)
+    assert rows(mp.map_variables(df, specs, ["k"]), "k", "variable") == [
+        (1, "a", 1.0), (2, "a", 2.0), (2, "b", 2.0), (3, "b", 3.0)
+    ]
+    assert rows(mp.map_variables(df, specs[:1], ["k"]), "k") == [(2, "b", 2.0), (3, "b", 3.0)]
