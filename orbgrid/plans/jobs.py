@@ -7,6 +7,7 @@ any time: regions are replaced as a whole and marked done only afterwards.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from orbgrid.functions.healpix import npix
 from orbgrid.operators.joins import attach
 from orbgrid.operators.mapping import (
     FieldRule,
+    VariableSpec,
     inventory,
     map_variables,
     require_exactly_one,
@@ -140,24 +142,25 @@ def regrid_group(
 
     ``grid_of`` names the grid of a variable, as winds sit on staggered ones.
     """
-    keys = ["sim", "cycle", "time_idx", "level", "lat", "lon"]
-    source = group_fields(fields, group, max_series)
-    require_consecutive(source)
-    if any(s.levels_to_pressure for s in group.specs):
-        require_same_times(source, group)
-        long = on_pressure_levels(source, group, keys)
-    else:
-        long = map_variables(source, group.specs, keys)
-
-    by_grid: dict[LatLonGrid, list[str]] = {}
+    by_grid: dict[LatLonGrid, list[VariableSpec]] = {}
     for s in group.specs:
-        by_grid.setdefault(grid_of(s.short), []).append(s.short)
+        by_grid.setdefault(grid_of(s.short), []).append(s)
     zoom = experiment.max_zoom
+    keys = ["sim", "cycle", "time_idx", "level", "lat", "lon"]
     out_keys = ["sim", "cycle", "variable", "time_idx", "level"]
     parts = []
-    for grid, names in by_grid.items():
+    for grid, specs in by_grid.items():
+        # Each grid reads only the fields of its own variables.
+        mine = replace(group, specs=tuple(specs))
+        source = group_fields(fields, mine, max_series)
+        require_consecutive(source)
+        if any(s.levels_to_pressure for s in specs):
+            require_same_times(source, mine)
+            long = on_pressure_levels(source, mine, keys)
+        else:
+            long = map_variables(source, specs, keys)
         weights = cached_weights(store, grid, zoom)
-        field = grid.with_src_id(long.filter(F.col("variable").isin(names)))
+        field = grid.with_src_id(long)
         parts.append(apply_weights(field, weights, grid, npix(zoom), out_keys, ["value"], pack="time_idx"))
     start = F.lit(group.axis.start).cast("timestamp_ntz")
     hours = F.timestamp_diff("HOUR", start, F.col("cycle"))
@@ -221,6 +224,22 @@ def _require_written(store: CellStore, experiment: Experiment, cycles: list) ->
         raise QualityError("all values missing: " + ", ".join(map(str, sorted(want - have))))
 
 
+def region_report(store: CellStore, experiment: Experiment, freq: str, zoom: int) -> DataFrame:
+    """Per variable and block: values stored, and whether any or all cells are missing.
+
+    The expected number is steps x levels found x cells of the zoom; regional
+    datasets, which hold active cells only, are expected to miss some.
+    """
+    found = store.scan(experiment.key, freq, zoom).groupBy("variable", "block").agg(
+        F.count("value").alias("n_values"),
+        F.count_distinct("time", F.coalesce("level", F.lit(0.0))).alias("n_fields"),
+    )
+    expected = F.col("n_fields") * npix(zoom)
+    return found.withColumns(
+        {"all_missing": F.col("n_values") == 0, "any_missing": F.col("n_values") < expected}
+    )
+
+
 def static_fields(
     static: DataFrame, grid: LatLonGrid, experiment: Experiment, store: CellStore
 ) -> None:

@@ -177,6 +177,17 @@ def test_rerun_changes_nothing(global_run):
     assert tuple(state) == tuple(again)
 
 
+def test_region_report_flags_missing_cells(global_run, spark, tmp_path):
+    exp, _, store, _ = global_run
+    report = jobs.region_report(store, exp, "PT1H", 2)
+    assert report.count() == 27 * N_CYCLES and report.filter("any_missing or all_missing").count() == 0
+    part = one_group(max_zoom=2)
+    holes = source_fields(spark, part).filter("lat < 60")
+    jobs.regrid_cycles(holes, all_cycles(holes), part, lambda _: GRID, CellStore(spark, str(tmp_path)))
+    got = jobs.region_report(CellStore(spark, str(tmp_path)), part, "PT1H", 2).collect()
+    assert [r.any_missing for r in got] == [True] * N_CYCLES and not any(r.all_missing for r in got)
+
+
 def test_only_the_folders_of_a_dataset_are_listed(global_run):
     exp, _, store, _ = global_run
     files = store.open(exp.key, "PT1H", 2, ["tas", "absent"]).inputFiles()
