@@ -38,16 +38,16 @@ def settle_times(
     steps = df.select(*series, time).distinct()
     stats = steps.groupBy(*series).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min(F.struct(F.col(time), is_halfpast(time).alias("half"))).alias("_first"),
+        F.min(time).alias("_first"),
         F.count_if(is_halfpast(time)).alias("_half"),
     )
     surplus = F.col("_n") == full
-    first_half = F.col("_first.half").cast("int")
+    first_half = is_halfpast("_first").cast("int")
     kept = F.when(surplus, F.col("_n") - 1).otherwise(F.col("_n"))
     kept_half = F.when(surplus, F.col("_half") - first_half).otherwise(F.col("_half"))
     stats = stats.select(
         *series,
-        F.when(surplus, F.col("_first")[time]).alias("_drop"),
+        F.when(surplus, F.col("_first")).alias("_drop"),
         F.when(kept == kept_half, 30).otherwise(0).alias("_shift"),
     )
     out = attach(df, stats, series, max_rows=max_series, row_bytes=256)
@@ -65,16 +65,17 @@ def snap_time(df: DataFrame, axis: TimeAxis, tolerance_minutes: float = 5.0, tim
 
 
 def trim_first(df: DataFrame, series: list[str], time: str | list[str] = "time", full: int = 13) -> DataFrame:
-    """Drop the first step of every series that has exactly ``full`` steps."""
+    """Drop the first step of every series that has exactly ``full`` steps.
+
+    Steps are ordered by ``time``, which may be several columns.
+    """
     order = [time] if isinstance(time, str) else time
-    stamp = F.struct(*order)
-    ends = (
-        df.groupBy(*series)
-        .agg(F.count_distinct(stamp).alias("_n"), F.min(stamp).alias("_first"))
-        .filter(F.col("_n") == full)
-        .select(*series, F.col("_first").alias("_stamp"))
-    )
-    return df.withColumn("_stamp", stamp).join(ends, [*series, "_stamp"], "left_anti").drop("_stamp")
+    steps = df.select(*series, *order).distinct()
+    counts = steps.groupBy(*series).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == full)
+    # Only series of that length are left, so few rows are compared.
+    whole = steps.join(counts.select(*series), series, "left_semi")
+    first = whole.groupBy(*series).agg(F.min(F.struct(*order)).alias("_first")).select(*series, "_first.*")
+    return df.join(first, [*series, *order], "left_anti")
 
 
 def trim_last(
