@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm import exact_dedup, mixing, sharding, url_filter
+from orbgrid.llm import exact_dedup, mixing, quality, sharding, simhash, url_filter
+from orbgrid.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +28,12 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+@query()
+def op1_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, _documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 #: Tickets of the sources that don't have one; the hot one is held to a quarter, roughly.
 TICKETS = {"src0": 8, "src1": 3, "src2": 3, "src3": 2}
 
@@ -87,6 +94,22 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+#: A document is predicted good from this score on.
+GOOD = 0.3
+
+
+@query()
+def op9_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    stats = stored(spark, docs.select("doc_id", quality.statistics_of("text").alias("stats")))
+    model = quality.fit(stats, labels)
+    scored = stats.select(
+        "doc_id", (quality.fold("doc_id") == 0).alias("held_out"), model.score_statistics(F.col("stats")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 SHARDS, SHARD_KEY = 40, 20240611
 
 
