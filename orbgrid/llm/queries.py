@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm import exact_dedup, mixing, quality, sharding, simhash, url_filter
+from orbgrid.llm import exact_dedup, mixing, quality, sharding, simhash, token_store, url_filter
 from orbgrid.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+END_ID = 2
+
+
+@query()
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = token_store.write_tokens(
+        spark, _documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), END_ID
+    )
+    return token_store.read_tokens(manifest)
+
+
 #: A document is predicted good from this score on.
 GOOD = 0.3
 
