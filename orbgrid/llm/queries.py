@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm import exact_dedup, mixing, quality, sharding, simhash, token_store, url_filter
+from orbgrid.llm import exact_dedup, mixing, piece_lattice, quality, sharding, simhash, token_store, url_filter
 from orbgrid.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,17 @@ def op1_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+NBEST = 4
+
+
+@query()
+def op2_piece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return piece_lattice.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), NBEST, ids=False)
+
+
 #: Tickets of the sources that don't have one; the hot one is held to a quarter, roughly.
 TICKETS = {"src0": 8, "src1": 3, "src2": 3, "src3": 2}
 
