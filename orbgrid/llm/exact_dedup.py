@@ -30,11 +30,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .groupBy("_h", "text_sha256", "_len")
         .agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("_k"))
     )
-    rows = hashed.select("doc_id", "_h", digest, length)
+    # One key made after the aggregation: both sides are then shuffled for the join alone, and
+    # adaptive execution may split the rows of a hot text.
+    key = F.concat_ws("-", F.hex("_h"), "text_sha256", "_len").alias("_key")
+    known = known.select(key, "keep_id", "group_size", "_k")
+    rows = hashed.select("doc_id", "_h", digest, length).select("doc_id", "text_sha256", key)
     alone = F.when(F.col("_k") == 1, F.col("group_size")).otherwise(
         F.raise_error(F.lit("different texts share MD5, SHA-256 and length")).cast("long")
     )
-    return rows.join(known, ["_h", "text_sha256", "_len"]).select(
+    return rows.join(known, "_key").select(
         "doc_id",
         "keep_id",
         alone.alias("group_size"),
