@@ -40,7 +40,9 @@ BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 22
 LEVEL = 3
 #: Characters that are split into words at a time, and words whose ids a worker remembers.
-PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 300_000, 64
+PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 1_200_000, 64
+#: Marks that end words.
+_MARKS = ".,!?;:%$#&*|"
 
 
 # -- planes and files -----------------------------------------------------------------------------
@@ -165,6 +167,30 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
+    def _library(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        """Marks at the end of a word are cut off where a Latin letter or digit comes before them.
+
+        The tokenizer cuts there, too; so the many words that differ by a comma are encoded once.
+        """
+        whole, cut = set(), []
+        for w in words:
+            stem = w.rstrip(_MARKS)
+            if stem != w and stem and stem[-1] < "\u0100" and stem[-1].isalnum():
+                cut.append((w, stem, w[len(stem) :]))
+                whole.update((stem, w[len(stem) :]))
+            else:
+                whole.add(w)
+        known = self.known
+        self._library([w for w in whole if w not in known])
+        for w, stem, marks in cut:
+            known[w] = known[stem] + known[marks]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -172,16 +198,14 @@ class WordEncoder:
         if len(self.known) + len(new) > MEMO_WORDS:
             self.known = {"": b""}
             new = {w for words in split for w in words if w}
-        learn = list(new)
-        for at in range(0, len(learn), 4096):
-            part = learn[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        self._learn(new)
         known = self.known
         out = [b"".join([known[w] for w in words]) for words in split]
-        for w in learn:
+        for w in new:
             if len(w) > MEMO_CHARS:
                 del known[w]
+                if len(stem := w.rstrip(_MARKS)) > MEMO_CHARS:
+                    known.pop(stem, None)
         return out
 
 
