@@ -23,6 +23,7 @@ import heapq
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,9 @@ SPACE = "▁"
 #: What an unknown character costs beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Chunks a worker remembers, and the longest of them in characters.
-MEMO_CHUNKS, MEMO_CHARS = 400_000, 64
+MEMO_CHUNKS, MEMO_CHARS = 1_000_000, 64
+#: Marks that end words.
+_MARKS = ".,!?;:%$#&*|"
 #: Ids in one output batch, about.
 BATCH_IDS = 1 << 20
 
@@ -73,17 +76,20 @@ class PieceModel:
                 self.pieces.setdefault(piece[:end], (None, 0.0))
         for piece, (k, score) in whole.items():
             self.pieces[piece] = (k.to_bytes(4, "little"), score)
+        #: Neighbours that some piece holds together.
+        self.joined = {a + b for p in whole for a, b in zip(p, p[1:], strict=False)}
         self.unknown_score = min((s for _, s in whole.values()), default=0.0) - UNKNOWN_PENALTY
         self._reset()
 
     def _reset(self) -> None:
+        """Forget all chunks.  A number stands for one: its word, whether a space leads, ids, score, loss."""
         self._after_space: dict[str, int] = {}
         self._other: dict[str, int] = {}
+        self._word: list[str] = []
+        self._spaced = bytearray()
         self._ids: list[bytes] = []
+        self._score, self._loss = array("d"), array("d")
         self._long: list[tuple[dict, str, int]] = []
-        self._chunk: list[str] = []
-        self._score: list[float] = []
-        self._loss: list[float] = []
         self._paths: dict[tuple[int, int], list[tuple[float, bytes]]] = {}
 
     # -- one chunk ------------------------------------------------------------------------------
@@ -174,13 +180,32 @@ class PieceModel:
 
     # -- whole texts ----------------------------------------------------------------------------
 
+    def _chunk(self, word: str, spaced: bool) -> str:
+        return (SPACE + word if spaced else word).replace(" ", SPACE)
+
+    def _solved(self, word: str, spaced: bool) -> tuple[bytes, float, float]:
+        """Ids, score and second-best loss of a chunk.
+
+        Marks at its end that no piece joins to what comes before make a
+        lattice of their own; the many words that differ by a comma share the rest.
+        """
+        stem = word.rstrip(_MARKS)
+        if stem and stem != word and stem[-1] + word[len(stem)] not in self.joined:
+            table, marks = self._after_space if spaced else self._other, word[len(stem) :]
+            i, j = table.get(stem), self._other.get(marks)
+            i = self._learn(stem, spaced) if i is None else i
+            j = self._learn(marks, False) if j is None else j
+            return self._ids[i] + self._ids[j], self._score[i] + self._score[j], min(self._loss[i], self._loss[j])
+        best, ids, loss = self.viterbi(self._chunk(word, spaced))
+        return ids, best[-1], loss
+
     def _learn(self, word: str, spaced: bool) -> int:
-        chunk = (SPACE + word if spaced else word).replace(" ", SPACE)
-        best, ids, loss = self.viterbi(chunk)
+        ids, score, loss = self._solved(word, spaced)
         k = len(self._ids)
         self._ids.append(ids)
-        self._chunk.append(chunk)
-        self._score.append(best[-1])
+        self._word.append(word)
+        self._spaced.append(spaced)
+        self._score.append(score)
         self._loss.append(loss)
         table = self._after_space if spaced else self._other
         table[word] = k
@@ -218,7 +243,7 @@ class PieceModel:
     def _alternatives(self, k: int, n: int) -> list[tuple[float, bytes]]:
         """Loss and ids of the ``n`` best paths of chunk ``k``, the best first."""
         if (k, n) not in self._paths:
-            found = self.paths(self._chunk[k], n)
+            found = self.paths(self._chunk(self._word[k], bool(self._spaced[k])), n)
             # The first is the Viterbi path, also where others score the same.
             rest = [(self._score[k] - s, ids) for s, ids in found if ids != self._ids[k]]
             self._paths[k, n] = [(0.0, self._ids[k]), *rest][:n]
@@ -233,10 +258,10 @@ class PieceModel:
         chunks = self._chunks(text)
         parts = [self._ids[k] for k in chunks]
         at = np.array(chunks)
-        score = float(self._column("_score")[at].sum())
+        score = float(np.frombuffer(self._score)[at].sum())
         out = [(score, b"".join(parts))]
         if n > 1:
-            loss = self._column("_loss")[at]
+            loss = np.frombuffer(self._loss)[at]
             few = np.argpartition(loss, n - 2)[: n - 1] if len(loss) > n - 1 else np.arange(len(loss))
             few = sorted(int(p) for p in few if loss[p] < math.inf)
             queue: list = [(0.0, len(few), 0, ())]
@@ -258,25 +283,11 @@ class PieceModel:
                 out.append((score - lost, b"".join([*pieces, *parts[cut:]])))
         for table, word, k in self._long:  # not worth their memory
             del table[word]
-            self._ids[k], self._chunk[k] = b"", ""
+            self._ids[k] = self._word[k] = None
             self._paths.pop((k, n), None)
         self._long = []
         return out[:n]
 
-    def _column(self, name: str) -> np.ndarray:
-        """A list as an array, grown in steps rather than copied for every text."""
-        values = getattr(self, name)
-        held = getattr(self, f"{name}_array", None)
-        known = getattr(self, f"{name}_known", 0)
-        if held is None or known > len(values) or len(held) < len(values):
-            held = np.zeros(max(1024, 2 * len(values)))
-            known = 0
-        if known < len(values):
-            held[known : len(values)] = values[known:]
-        setattr(self, f"{name}_array", held)
-        setattr(self, f"{name}_known", len(values))
-        return held
-
     def decode(self, ids: bytes) -> str:
         """The text of little-endian 32-bit ids; byte pieces that aren't UTF-8 become U+FFFD."""
         raw = b"".join([self.text[k] for k in np.frombuffer(ids, "<u4").tolist()])
