@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm import exact_dedup, mixing, piece_lattice, quality, sharding, simhash, token_store, url_filter
+from orbgrid.llm import exact_dedup, line_dedup, mixing, piece_lattice, quality, sharding, simhash, token_store, url_filter
 from orbgrid.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+@query()
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.dedup_lines(spark, _documents(spark, sf_dir, "doc_id", "text"))
+    return docs.select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+
+
 END_ID = 2
 
 

@@ -177,11 +177,11 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # -- links ----------------------------------------------------------------------------------------
 
 
-def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count((a ^ b).view(np.uint64)) <= RADIUS
+def _close(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64)) <= radius
 
 
-def bucket_forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bucket_forest(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Links of one bucket that connect whatever its links connect; fewer than it has members.
 
     Grows one component after another.  A fingerprint is compared with those
@@ -194,7 +194,7 @@ def bucket_forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         reached, rest = [rest[0]], rest[1:]
         while reached and len(rest):
             x = reached.pop()
-            hit = _close(np.full(len(rest), x), rest)
+            hit = _close(np.full(len(rest), x), rest, radius)
             if hit.any():
                 new = rest[hit]
                 rest = rest[~hit]
@@ -205,7 +205,7 @@ def bucket_forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _links(limit: int | None):
+def _links(limit: int | None, radius: int):
     """Links within runs of equal ``key``; runs over ``limit`` come out as they are, marked hot."""
 
     def small(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +215,7 @@ def _links(limit: int | None):
             same = np.flatnonzero(keys[shift:] == keys[:-shift])
             if not len(same):
                 break
-            hit = same[_close(fps[same], fps[same + shift])]
+            hit = same[_close(fps[same], fps[same + shift], radius)]
             a.append(fps[hit])
             b.append(fps[hit + shift])
             shift += 1
@@ -261,24 +261,25 @@ def _links(limit: int | None):
             if limit is not None and n > limit:
                 yield out(True, k[at : at + n], f[at : at + n])
             else:
-                yield out(False, *bucket_forest(f[at : at + n]))
+                yield out(False, *bucket_forest(f[at : at + n], radius))
 
     return run
 
 
-def link_fingerprints(spark: SparkSession, fps: DataFrame) -> DataFrame:
+def link_fingerprints(spark: SparkSession, fps: DataFrame, keyed=_keyed, radius: int = RADIUS) -> DataFrame:
     """Edges ``a``, ``b`` between distinct fingerprints (column ``fp``) that connect all linked ones.
 
-    Keys are shuffled once and compared in sorted runs.  A run longer than
+    ``keyed`` gives the keys; two fingerprints within ``radius`` bits must
+    share one.  Keys are shuffled once and compared in sorted runs.  A run longer than
     ``BUCKET_ROWS`` is cut into slices by hash, and every pair of slices meets
     in a task of its own: bounded memory, no link lost, and no pairs written
     but a forest.
     """
-    keys = fps.select("fp").mapInArrow(_keyed, "key bigint, fp bigint")
+    keys = fps.select("fp").mapInArrow(keyed, "key bigint, fp bigint")
     found = stored(
         spark,
         keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(
-            _links(BUCKET_ROWS), "hot boolean, a bigint, b bigint"
+            _links(BUCKET_ROWS, radius), "hot boolean, a bigint, b bigint"
         ),
     )
     hot = found.where("hot").select(F.col("a").alias("key"), F.col("b").alias("fp"))
@@ -292,7 +293,7 @@ def link_fingerprints(spark: SparkSession, fps: DataFrame) -> DataFrame:
     )
     # Slice pairs that meet under one hash only add members to a bucket.
     more = met.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(
-        _links(None), "hot boolean, a bigint, b bigint"
+        _links(None, radius), "hot boolean, a bigint, b bigint"
     )
     return found.where(~F.col("hot")).unionByName(more).select("a", "b").distinct()
 
