@@ -17,9 +17,12 @@ any block can be read alone.
 from __future__ import annotations
 
 import io
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +47,21 @@ PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 1_200_000, 64
 #: Marks that end words.
 _MARKS = ".,!?;:%$#&*|"
 
+#: Normaliser, splitter and word end of the tokenizers that are encoded by word.
+_BY_WORD = (
+    {'type': 'Sequence', 'normalizers': [{'type': 'NFC'}, {'type': 'Replace', 'pattern': {'Regex': '\\s+'}, 'content': ' '}, {'type': 'Lowercase'}]},
+    {'type': 'Sequence', 'pretokenizers': [{'type': 'Split', 'pattern': {'Regex': "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, 'behavior': 'Removed', 'invert': True}, {'type': 'ByteLevel', 'add_prefix_space': False, 'trim_offsets': True, 'use_regex': False}]},
+    "</w>",
+)
+
+#: Words of Basic Latin and Latin-1 letters alone: lower-casing and splitting leave them whole.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: Byte-level BPE writes each byte as a character: itself where it prints, else the next from 256 on.
+_BYTE_LEVEL = {
+    b: 256 + n
+    for n, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))
+}
+
 
 # -- planes and files -----------------------------------------------------------------------------
 
@@ -153,11 +171,12 @@ def _pieces(text: str) -> Iterator[str]:
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer that never joins words across white space, word by word.
+    """Encodes whole texts; word by word where the tokenizer never joins words across white space.
 
-    The ids of a text are those of its space-separated words one after
+    The ids of a text are then those of its space-separated words one after
     another, so words are given to the library once and remembered.  The
-    memory is bounded; when it is full it starts anew.
+    memory is bounded; when it is full it starts anew.  Tokenizers whose
+    normaliser and splitter aren't the known ones get whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -165,13 +184,23 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        self.by_word = (made["normalizer"], made["pre_tokenizer"], made["model"]["end_of_word_suffix"]) == _BY_WORD
         self.known: dict[str, bytes] = {"": b""}
 
     def _library(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
+        """Plain words go to the library's BPE at once, others through its whole chain."""
+        known, tokenize, others = self.known, self.tokenizer.model.tokenize, []
+        for w in words:
+            if _PLAIN(w):
+                byte_level = w.lower().encode().decode("latin-1").translate(_BYTE_LEVEL)
+                known[w] = array("I", [t.id for t in tokenize(byte_level)]).tobytes()
+            else:
+                others.append(w)
+        for at in range(0, len(others), 4096):
+            part = others[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+                known[w] = array("I", e.ids).tobytes()
 
     def _learn(self, words: set[str]) -> None:
         """Marks at the end of a word are cut off where a Latin letter or digit comes before them.
@@ -193,14 +222,22 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if not self.by_word:
+            return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        new = {w for words, got in zip(split, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
         if len(self.known) + len(new) > MEMO_WORDS:
             self.known = {"": b""}
             new = {w for words in split for w in words if w}
+            found = [[None] * len(words) for words in split]
         self._learn(new)
-        known = self.known
-        out = [b"".join([known[w] for w in words]) for words in split]
+        known, out = self.known, []
+        for words, got in zip(split, found, strict=True):
+            if None in got:
+                got = [known[w] if x is None else x for w, x in zip(words, got, strict=True)]
+            out.append(b"".join(got))
         for w in new:
             if len(w) > MEMO_CHARS:
                 del known[w]
@@ -223,7 +260,7 @@ def encode_whole(encoder: WordEncoder, texts: list[str]) -> Iterator[bytes]:
     group: list[str] = []
     size = 0
     for text in texts:
-        if len(text) > PIECE_CHARS:
+        if len(text) > PIECE_CHARS and encoder.by_word:
             yield from encoder.encode(group)
             group, size = [], 0
             yield b"".join(encoder.encode([p])[0] for p in _pieces(text))
