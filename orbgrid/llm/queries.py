@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm import exact_dedup, line_dedup, mixing, piece_lattice, quality, sharding, simhash, token_store, url_filter
+from orbgrid.llm import exact_dedup, line_dedup, mixing, piece_lattice, prefix_forest, quality, sharding, simhash, token_store, url_filter
 from orbgrid.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+@query()
+def op6_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return prefix_forest.nearest(spark, vectors, F.col("vec_id") % 20 == 0, 20)
+
+
 @query()
 def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup_lines(spark, _documents(spark, sf_dir, "doc_id", "text"))
