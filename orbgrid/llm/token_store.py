@@ -40,10 +40,10 @@ from orbgrid.session import scratch_root
 MAGIC = b"PLANES01"
 BLOCK_IDS = 1 << 16
 #: A file is closed with the first document that brings it to so many ids.
-FILE_IDS = 1 << 22
+FILE_IDS = 1 << 21
 LEVEL = 3
 #: Characters that are split into words at a time, and words whose ids a worker remembers.
-PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 1_200_000, 64
+PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 700_000, 64
 #: Marks that end words.
 _MARKS = ".,!?;:%$#&*|"
 
@@ -301,7 +301,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, kind: str):
             ids, parts, size, seq = [], [], 0, seq + 1
             return pa.RecordBatch.from_pydict(row, schema=_MANIFEST)
 
-        for batch in batches:
+        for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc, got in zip(batch.column("doc_id").to_pylist(), encode_whole(encoder, texts), strict=True):
                 ids.append(doc)
