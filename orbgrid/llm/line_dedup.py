@@ -1,4 +1,4 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one line per group."""
+"""Fuzzy line dedup: SimHash of normalised lines (distinct words), pigeonhole blocks, edit similarity, one line per group."""
 
 from __future__ import annotations
 
@@ -27,17 +27,25 @@ GROUP_LINES = 1024
 #: Rows of keys (8 bytes and an id) up to which they are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
-_DIGITS = re.compile(r"[0-9]+")
+_DIGITS, _WORDS = re.compile(r"[0-9]+"), re.compile(r"\w+")
 _MEMO_WORDS = 500_000
 
 
+def words_of(line: str) -> list[str]:
+    """Its words in lower case, runs of digits as 0; marks and white space only separate."""
+    return _WORDS.findall(_DIGITS.sub("0", line.lower()))
+
+
 def normalise(line: str) -> str:
-    """Lower case, runs of digits as 0, runs of white space as one space."""
-    return " ".join(_DIGITS.sub("0", line.lower()).split())
+    return " ".join(words_of(line))
 
 
 class _Votes:
-    """SimHashes of many lines at once; word hashes are remembered, up to a bound."""
+    """SimHashes of many lines at once, by their distinct words; hashes are remembered, up to a bound.
+
+    Each word votes once: a mark or article that fills half a line would
+    otherwise decide all its bits, and unrelated lines would meet.
+    """
 
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
@@ -79,13 +87,13 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         for k, text in enumerate(batch.column("text")):
             for n, line in enumerate((text.as_py() or "").split("\n")):
-                own = _DIGITS.sub("0", line.lower()).split()
+                own = words_of(line)
                 if len(own) < MIN_WORDS:
                     continue
                 at.append(k)
                 number.append(n)
                 digests.append(xxhash.xxh3_128_digest(" ".join(own).encode("utf-8", "surrogatepass")))
-                words.append(own)
+                words.append(list(dict.fromkeys(own)))
                 size += len(own)
             if size > 200_000:
                 yield done()
@@ -155,21 +163,36 @@ def similar(a: str, b: str) -> bool:
     return edit_distance(a[: len(a) - tail], b[: len(b) - tail]) <= (1 - SIMILARITY) * longer + 1e-9
 
 
+def _letters(texts: list[str]) -> np.ndarray:
+    """How often each text has the characters of each of 64 classes."""
+    out = np.zeros((len(texts), 64), np.int32)
+    for k, t in enumerate(texts):
+        out[k] = np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") & 63, minlength=64)
+    return out
+
+
 def group_forest(sims: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
     """Links (as row numbers) of one group that connect whatever its links connect.
 
-    Each line is compared with those not reached yet, as in ``bucket_forest``.
+    Each line is compared with those not reached yet, as in ``bucket_forest``;
+    by SimHash, then by letter counts (at least as many edits as letters that one has more), then in full.
     """
-    out, rest = [], np.arange(len(sims))
+    out, rest, letters = [], np.arange(len(sims)), _letters(texts)
+    sizes = letters.sum(axis=1)
     while len(rest) > 1:
-        reached, rest = [rest[0]], rest[1:]
+        reached, rest = [int(rest[0])], rest[1:]
         while reached and len(rest):
             x = reached.pop()
-            near = np.bitwise_count((sims[rest] ^ sims[x]).view(np.uint64)) <= RADIUS
-            hit = np.array([bool(n) and similar(texts[x], texts[r]) for n, r in zip(near, rest, strict=True)])
-            out += [(int(x), int(r)) for r in rest[hit]]
+            near = np.flatnonzero(np.bitwise_count((sims[rest] ^ sims[x]).view(np.uint64)) <= RADIUS)
+            if not len(near):
+                continue
+            more = letters[rest[near]] - letters[x]
+            least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+            near = near[least <= (1 - SIMILARITY) * np.maximum(sizes[rest[near]], sizes[x]) + 1e-9]
+            hit = np.array([p for p in near if similar(texts[x], texts[rest[p]])], int)
+            out += [(x, int(r)) for r in rest[hit]]
             reached += rest[hit].tolist()
-            rest = rest[~hit]
+            rest = np.delete(rest, hit)
     return out
 
 
