@@ -26,6 +26,25 @@ def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` as they are and all other columns in one struct, so that no name of theirs can clash."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keep] or [F.lit(0).alias("none")]
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.struct(*rest).alias("_rest"))
+
+
+def unpacked(df: DataFrame, columns: list[str], keep: tuple[str, ...], *more: Column) -> DataFrame:
+    """The columns that ``packed`` was given, and ``more``."""
+    own = [F.col(f"`{c}`") if c in keep else F.col("_rest").getField(c).alias(c) for c in columns]
+    return df.select(*own, *more)
+
+
+def require_new(df: DataFrame, names: tuple[str, ...]) -> None:
+    """Columns that an operator adds may not be there already."""
+    there = sorted(set(names) & set(df.columns))
+    if there:
+        raise ValueError(f"the input has columns named {there}; rename them or the result's")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters untouched; null becomes empty.
 

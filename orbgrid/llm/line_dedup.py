@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm.common import stored
+from orbgrid.llm.common import packed, require_new, stored, unpacked
 from orbgrid.llm.components import components
 from orbgrid.llm.simhash import link_fingerprints
 
@@ -292,8 +292,8 @@ def _fetch(named: DataFrame, members: DataFrame) -> DataFrame:
     return found
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` without repeated lines, and ``_n_lines``, ``_n_removed``.
+def dedup_lines(spark: SparkSession, docs: DataFrame, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` without repeated lines, and how many lines it had and lost (``names``, which may not exist).
 
     Of each connected group of lines the occurrence with the smallest id (then
     line number) stays; all others are taken out of their texts, wherever they
@@ -301,6 +301,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     all of whose lines go becomes empty.  Rows that repeat with id and text
     share their fate, so each keeps the line that the id keeps.
     """
+    require_new(docs, names)
     lines, classes = line_classes(spark, docs)
     gone = (
         lines.join(classes, "h")
@@ -308,20 +309,29 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
         .groupBy("_row", "doc_id")
         .agg(F.collect_set("line").alias("_gone"))
     )
-    named = _with_row(docs)
-    joined = named.join(gone, _same_row(named, gone), "left")
+    named = _with_row(packed(docs, "doc_id", "text"))
+    gone = gone.withColumnRenamed("doc_id", "_gone_id").withColumnRenamed("_row", "_gone_row")
+    same = (F.col("_row") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
     own = F.split("text", "\n", -1)
-    kept = F.filter(F.transform(own, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("_gone", s["i"]))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    columns = [text.alias(c) if c == "text" else named[c] for c in docs.columns]
-    return joined.select(
-        *columns,
-        F.coalesce(F.size(own), F.lit(0)).alias("_n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_n_removed"),
+    kept = F.filter(
+        F.transform(own, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("_gone", s["i"])
+    )
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda s: s["x"]), "\n")
+    )
+    rewritten = named.join(gone, same, "left").select(
+        "doc_id",
+        text.alias("text"),
+        "_rest",
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(own)).alias("_n"),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_g"),
+    )
+    return unpacked(
+        rewritten, docs.columns, ("doc_id", "text"), F.col("_n").alias(names[0]), F.col("_g").alias(names[1])
     )
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` after line dedup, columns unchanged; those with nothing but repeated lines go."""
-    out = dedup_lines(spark, docs)
-    return out.where((F.col("_n_removed") == 0) | (F.trim("text") != "")).select(*docs.columns)
+    out = dedup_lines(spark, docs, ("_n_lines", "_n_removed"))
+    return out.where((F.col("_n_removed") == 0) | (F.trim("text") != "")).select(*[f"`{c}`" for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm.common import dense_index
+from orbgrid.llm.common import dense_index, packed, require_new, unpacked
 
 #: Slots of one period of the schedule, which one row holds.
 MAX_TICKETS = 20_000
@@ -77,7 +77,7 @@ def schedule(
     source_col: str = "source",
     order: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """``docs`` with _source, _block, _slot and _in_source: where the schedule puts each row.
+    """``docs`` (packed) with _source, _block, _slot and _in_source: where the schedule puts each row.
 
     Rows of a source keep ``order`` and are cut into blocks of ``block_rows``.
     A block's slot is unique; sorting by it gives the mixture.  Sources that
@@ -89,7 +89,8 @@ def schedule(
     for name, n in {**tickets, "(default)": default}.items():
         if int(n) != n or n < 1:
             raise ValueError(f"tickets of {name} must be a whole number of 1 or more")
-    named = docs.withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
+    keep = _kept(source_col, order)
+    named = packed(docs, *keep).withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
     rows = dense_index(spark, named, ["_source", *order], "_row")
     sources = rows.groupBy("_source").agg(F.min("_row").alias("_first"))
     weight = F.lit(default).cast("long")
@@ -115,13 +116,41 @@ def schedule(
     )
 
 
-def mix(spark: SparkSession, docs: DataFrame, tickets: Mapping[str, int], position: str = "position", **how) -> DataFrame:
-    """``docs`` with the dense place of every row in the mixture; see ``schedule``."""
-    placed = schedule(spark, docs, tickets, **how)
-    return dense_index(spark, placed, ["_slot", "_in_source"], position)
+def _kept(source_col: str, order: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(dict.fromkeys((source_col, *order)))
 
 
-def mixed_order(spark: SparkSession, docs: DataFrame, tickets: Mapping[str, int], **how) -> DataFrame:
+def mix(
+    spark: SparkSession,
+    docs: DataFrame,
+    tickets: Mapping[str, int],
+    default: int = 1,
+    block_rows: int = 1,
+    source_col: str = "source",
+    order: tuple[str, ...] = ("doc_id",),
+    names: tuple[str, str, str] = ("block", "slot", "position"),
+) -> DataFrame:
+    """``docs`` with each row's block, its slot and the row's dense place in the mixture; see ``schedule``.
+
+    ``names`` are the columns added, which may not exist.  An empty table stays empty.
+    """
+    require_new(docs, names)
+    placed = schedule(spark, docs, tickets, default, block_rows, source_col, order)
+    ordered = dense_index(spark, placed, ["_slot", "_in_source"], "_position")
+    added = [F.col(c).alias(n) for c, n in zip(("_block", "_slot", "_position"), names, strict=True)]
+    return unpacked(ordered, docs.columns, _kept(source_col, order), *added)
+
+
+def mixed_order(
+    spark: SparkSession,
+    docs: DataFrame,
+    tickets: Mapping[str, int],
+    default: int = 1,
+    block_rows: int = 1,
+    source_col: str = "source",
+    order: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
     """The rows of ``docs``, columns unchanged, in the order of the mixture (for writing)."""
-    placed = schedule(spark, docs, tickets, **how)
-    return placed.repartitionByRange("_slot", "_in_source").sortWithinPartitions("_slot", "_in_source").select(*docs.columns)
+    placed = schedule(spark, docs, tickets, default, block_rows, source_col, order)
+    sorted_rows = placed.repartitionByRange("_slot", "_in_source").sortWithinPartitions("_slot", "_in_source")
+    return unpacked(sorted_rows, docs.columns, _kept(source_col, order))

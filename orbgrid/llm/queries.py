@@ -51,10 +51,7 @@ TICKETS = {"src0": 8, "src1": 3, "src2": 3, "src3": 2}
 
 @query()
 def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(spark, _documents(spark, sf_dir, "doc_id", "source"), TICKETS, block_rows=4)
-    return mixed.select(
-        "doc_id", "source", F.col("_block").alias("block"), F.col("_slot").alias("slot"), "position"
-    )
+    return mixing.mix(spark, _documents(spark, sf_dir, "doc_id", "source"), TICKETS, block_rows=4)
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -116,8 +113,8 @@ def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup_lines(spark, _documents(spark, sf_dir, "doc_id", "text"))
     return docs.select(
         "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
+        "n_lines",
+        "n_removed",
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
     )
 

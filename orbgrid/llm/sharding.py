@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm.common import dense_index
+from orbgrid.llm.common import dense_index, packed, require_new, unpacked
 
 ROUNDS = 6
 #: Out-of-range values are under one in ``sqrt(n)``, and fewer than this where ``n`` is small.
@@ -67,11 +67,18 @@ def shard_rows(
     between themselves) and shuffled by ``permute``.  Shards differ by at most
     one row, slots of a shard run from 0 without gaps, and the same rows, key
     and shard count give the same result everywhere.  An empty table stays
-    empty.  ``names`` are the columns added; others are passed through.
+    empty.  ``names`` are the columns added, which may not exist; others are passed through.
     """
-    numbered = dense_index(spark, df, order, names[0])
+    require_new(df, names)
+    numbered = dense_index(spark, packed(df, *order), order, "_row")
     n = numbered.count()
-    shard, slot = place(F.col(names[0]), n, n_shards, key)
-    return numbered.withColumn("_place", F.struct(shard.alias("s"), slot.alias("t"))).select(
-        *numbered.columns, F.col("_place.s").alias(names[1]), F.col("_place.t").alias(names[2])
+    shard, slot = place(F.col("_row"), n, n_shards, key)
+    placed = numbered.withColumn("_place", F.struct(shard.alias("s"), slot.alias("t")))
+    return unpacked(
+        placed,
+        df.columns,
+        tuple(order),
+        F.col("_row").alias(names[0]),
+        F.col("_place.s").alias(names[1]),
+        F.col("_place.t").alias(names[2]),
     )

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orbgrid.llm.common import stored
+from orbgrid.llm.common import packed, stored, unpacked
 from orbgrid.llm.components import components
 
 RADIUS = 4
@@ -330,12 +330,12 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     named = docs.where(F.col("doc_id").isNotNull())
     stay = near_duplicates(spark, named).where("doc_id = component_id").select("doc_id").distinct()
-    rest = sorted((c for c in docs.columns if c not in ("doc_id", "text")), key=str)
-    order = Window.partitionBy("doc_id").orderBy("text", *[F.col(f"`{c}`").cast("string") for c in rest])
+    rest = [F.col("_rest").getField(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("doc_id").orderBy("text", *rest)
     first = (
-        named.join(stay, "doc_id", "left_semi")
+        packed(named, "doc_id", "text")
+        .join(stay, "doc_id", "left_semi")
         .withColumn("_nth", F.row_number().over(order))
         .where("_nth = 1")
-        .select(*docs.columns)
     )
-    return first.unionByName(docs.where(F.col("doc_id").isNull()))
+    return unpacked(first, docs.columns, ("doc_id", "text")).unionByName(docs.where(F.col("doc_id").isNull()))
