@@ -190,7 +190,7 @@ class PieceModel:
         lattice of their own; the many words that differ by a comma share the rest.
         """
         stem = word.rstrip(_MARKS)
-        if stem and stem != word and stem[-1] + word[len(stem)] not in self.joined:
+        if stem and stem != word and stem[-1] != " " and stem[-1] + word[len(stem)] not in self.joined:
             table, marks = self._after_space if spaced else self._other, word[len(stem) :]
             i, j = table.get(stem), self._other.get(marks)
             i = self._learn(stem, spaced) if i is None else i
@@ -253,6 +253,8 @@ class PieceModel:
         """Score and little-endian 32-bit ids of the ``n`` best segmentations, best first."""
         if not text:
             return [(0.0, b"")]
+        if SPACE in text:
+            text = text.replace(SPACE, " ")
         if len(self._ids) > MEMO_CHUNKS:
             self._reset()
         chunks = self._chunks(text)
