@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -27,79 +26,123 @@ GROUP_LINES = 1024
 #: Rows of keys (8 bytes and an id) up to which they are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
-_DIGITS, _WORDS = re.compile(r"[0-9]+"), re.compile(r"\w+")
-_MEMO_WORDS = 500_000
+#: Characters of text that a task hashes at once (a longer text goes alone).
+CHUNK_CHARS = 1 << 20
 
-
-def words_of(line: str) -> list[str]:
-    """Its words in lower case, runs of digits as 0; marks and white space only separate."""
-    return _WORDS.findall(_DIGITS.sub("0", line.lower()))
+# ASCII marks, controls and white space (but the line end) as a space, digits as 0.
+_PLAIN = bytes(48 if 48 <= b < 58 else b if b == 10 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
+_ODD = 0x9E3779B97F4A7C15
+_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
 def normalise(line: str) -> str:
-    return " ".join(words_of(line))
+    """Lower case, each digit as 0; ASCII marks and white space only separate words."""
+    return b" ".join(_flat(line).split()).decode("utf-8", "surrogatepass")
 
 
-class _Votes:
-    """SimHashes of many lines at once, by their distinct words; hashes are remembered, up to a bound.
+def _flat(text: str) -> bytes:
+    return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The powers of ``base`` from 0 to ``n``, modulo 2**64."""
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return out.cumprod(dtype=np.uint64)
 
-    Each word votes once: a mark or article that fills half a line would
-    otherwise decide all its bits, and unrelated lines would meet.
-    """
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-
-    def __call__(self, lines: list[list[str]]) -> np.ndarray:
-        new = {w for words in lines for w in words if w not in self.known}
-        if len(self.known) + len(new) > _MEMO_WORDS:
-            self.known = {}
-            new = {w for words in lines for w in words}
-        for w in new:
-            self.known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-        get = self.known
-        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-        hashes = np.fromiter((get[w] for words in lines for w in words), np.uint64, int(sizes.sum()))
-        # One byte a bit, eight bytes a lane: up to 255 words are added without a carry.
-        parts = -(-sizes // 255)
-        first = np.repeat(np.cumsum(parts) - parts, parts)
-        nth = np.arange(len(first)) - first
-        starts = np.repeat(np.cumsum(sizes) - sizes, parts) + 255 * nth
-        lanes = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
-        sums = np.add.reduceat(lanes, starts, axis=0).view(np.uint8).astype(np.int32)
-        votes = np.add.reduceat(sums, np.cumsum(parts) - parts, axis=0)
-        return np.packbits(2 * votes > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _vote(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The majority bits of consecutive runs of 64-bit hashes."""
+    # One byte a bit, eight bytes a lane: up to 255 words are added without a carry.
+    parts = -(-sizes // 255)
+    first = np.cumsum(parts) - parts
+    nth = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    starts = np.repeat(np.cumsum(sizes) - sizes, parts) + 255 * nth
+    lanes = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
+    sums = np.add.reduceat(lanes, starts, axis=0).view(np.uint8).astype(np.int32)
+    votes = np.add.reduceat(sums, first, axis=0)
+    return np.packbits(2 * votes > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
+
+
+def hash_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Of the lines of all texts, one after another: numbers of those that count, digests, SimHashes.
+
+    Words are found and hashed in one pass over the bytes (a polynomial whose
+    prefix sums give the hash of any stretch, then mixed).  Each distinct word
+    of a line votes once: an article that fills half a line would otherwise
+    decide all its bits, and unrelated lines would meet.
+    """
+    raw = _flat("\n".join(texts))
+    data = np.frombuffer(raw, np.uint8)
+    end = data == 10
+    blank = end | (data == 32)
+    edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    line = np.concatenate([[0], np.cumsum(end)])[starts]
+    counts = np.bincount(line, minlength=raw.count(b"\n") + 1)
+    numbers = np.flatnonzero(counts >= MIN_WORDS)
+    if not len(numbers):
+        return numbers, [], np.zeros(0, np.int64)
+    counted = (counts >= MIN_WORDS)[line]
+    starts, ends, line = starts[counted], ends[counted], line[counted]
+
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, len(data) - 1), out=sums[1:])
+    words = _mixed((sums[ends] - sums[starts]) * _powers(_ODD_INVERSE, len(data))[starts])
+    order = np.argsort(_mixed(words + line.astype(np.uint64) * np.uint64(_ODD)), kind="stable")
+    again = np.concatenate([[False], (words[order][1:] == words[order][:-1]) & (line[order][1:] == line[order][:-1])])
+    once = np.sort(order[~again])
+    sims = _vote(words[once], np.bincount(line[once], minlength=len(counts))[numbers])
+
+    # What is left of the lines with one space between words.
+    keep = ~blank
+    inner = np.concatenate([[False], line[1:] == line[:-1]])
+    keep[starts[inner] - 1] = True
+    left, kept = data[keep].tobytes(), np.cumsum(keep)
+    heads = np.flatnonzero(~inner)
+    begins, stops = kept[starts[heads]] - 1, kept[ends[np.concatenate([heads[1:], [len(line)]]) - 1] - 1]
+    digests = [xxhash.xxh3_128_digest(left[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
+    return numbers, digests, sims
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text the lines that count: row, line number, 128-bit hash, SimHash."""
-    votes = _Votes()
-    for batch in batches:
-        ids, rows = batch.column("doc_id"), batch.column("_row")
-        at, number, digests, words, size = [], [], [], [], 0
-
-        def done() -> pa.RecordBatch:
-            where = pa.array(at, pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [ids.take(where), rows.take(where), pa.array(number, pa.int32()), pa.array(digests, pa.binary()), pa.array(votes(words))],
-                ["doc_id", "_row", "line", "h", "sim"],
-            )
 
-        for k, text in enumerate(batch.column("text")):
-            for n, line in enumerate((text.as_py() or "").split("\n")):
-                own = words_of(line)
-                if len(own) < MIN_WORDS:
-                    continue
-                at.append(k)
-                number.append(n)
-                digests.append(xxhash.xxh3_128_digest(" ".join(own).encode("utf-8", "surrogatepass")))
-                words.append(list(dict.fromkeys(own)))
-                size += len(own)
-            if size > 200_000:
-                yield done()
-                at, number, digests, words, size = [], [], [], [], 0
-        if at:
-            yield done()
+    def done(batch: pa.RecordBatch, at: list[int], texts: list[str]) -> pa.RecordBatch:
+        numbers, digests, sims = hash_lines(texts)
+        own = np.array([t.count("\n") + 1 for t in texts])
+        text_of = np.repeat(np.arange(len(texts)), own)[numbers]
+        inside = numbers - (np.cumsum(own) - own)[text_of]
+        where = pa.array(np.array(at, np.int64)[text_of])
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").take(where), batch.column("_row").take(where), pa.array(inside.astype(np.int32)),
+                pa.array(digests, pa.binary()), pa.array(sims),
+            ],
+            ["doc_id", "_row", "line", "h", "sim"],
+        )
+
+    for batch in batches:
+        at, texts, size = [], [], 0
+        for k, value in enumerate(batch.column("text")):
+            text = value.as_py()
+            if not text:
+                continue
+            at.append(k)
+            texts.append(text)
+            size += len(text)
+            if size > CHUNK_CHARS:
+                yield done(batch, at, texts)
+                at, texts, size = [], [], 0
+        if texts:
+            yield done(batch, at, texts)
 
 
 def block_keys(sims: np.ndarray) -> np.ndarray:

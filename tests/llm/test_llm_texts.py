@@ -144,16 +144,25 @@ def test_edit_distance():
         assert line_dedup.similar(a, b) == (plain_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
 
 
+def plain_simhash(line):
+    """By the documented rule, a word at a time."""
+    fps = []
+    for word in set(line.encode().split()):
+        h = sum((b + 1) * pow(line_dedup._ODD, k, 1 << 64) for k, b in enumerate(word)) & (1 << 64) - 1
+        fps.append(int(line_dedup._mixed(np.array([h], np.uint64))[0]))
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in fps) > len(fps))
+
+
 def plain_line_dedup(docs):
-    votes, first, seen = line_dedup._Votes(), {}, []
+    first, seen = {}, []
     for d in docs:
         for n, line in enumerate((d.text or "").split("\n")):
             x = line_dedup.normalise(line)
-            if len(x.split()) >= line_dedup.MIN_WORDS:
+            if len(x.split(" ")) >= line_dedup.MIN_WORDS:
                 first.setdefault(x, (d.doc_id, n))
                 seen.append((d.doc_id, n, x))
     lines = list(first)
-    sims = votes([list(dict.fromkeys(x.split())) for x in lines]).view(np.uint64) if lines else np.zeros(0, np.uint64)
+    sims = np.array([plain_simhash(x) for x in lines], np.uint64)
     links = []
     for i in range(len(lines)):
         for j in np.flatnonzero(np.bitwise_count(sims[i] ^ sims[:i]) <= line_dedup.RADIUS):
@@ -170,6 +179,18 @@ def plain_line_dedup(docs):
     ], len(links)
 
 
+def test_line_hashes_of_odd_texts():
+    texts = ["", "\n", "A b  c, d; E\n\nfew words\na B c d e!", "é É ß 12 34 x x x", "\ta b c d e " + "w" * 3000, "1 " * 700]
+    numbers, digests, sims = line_dedup.hash_lines(texts)
+    lines = "\n".join(texts).split("\n")
+    want = [k for k, x in enumerate(lines) if len(line_dedup.normalise(x).split()) >= 5]
+    assert numbers.tolist() == want and digests[0] == digests[1]
+    for n, d, s in zip(want, digests, sims):
+        x = line_dedup.normalise(lines[n])
+        assert d == xxhash.xxh3_128_digest(x.encode()) and int(s) & (1 << 64) - 1 == plain_simhash(x)
+    assert line_dedup.hash_lines([""])[1] == []
+
+
 def test_lines_of_whole_table(spark):
     want, links = plain_line_dedup(documents(spark))
     got = {r.doc_id: r.text_crc32 for r in QUERIES["op7_fuzzy_lines"](spark, SF).collect()}
@@ -179,12 +200,12 @@ def test_lines_of_whole_table(spark):
 def test_sliced_line_groups(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "GROUP_LINES", 8)
     monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", 0)
-    words = [f"w{k}" for k in range(200)]
+    words = [f"w{k}" for k in range(90)]
     rng = random.Random(6)
     rows = []
-    for k in range(60):
+    for k in range(30):
         own = list(words)
-        own[rng.randrange(200)] = f"changed{k}"
+        own[rng.randrange(90)] = f"changed{k}"
         rows.append((k, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want, links = plain_line_dedup(df.orderBy("doc_id").collect())
