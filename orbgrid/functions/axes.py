@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -138,12 +139,8 @@ class LatLonGrid:
 
     @property
     def key(self) -> str:
-        """Cache key: both axes by ends and length, and how the grid is used."""
-        return (
-            f"cyclic={self.lon.cyclic}.regional={self.regional}"
-            f".lon={self.lon.start:.3f}_{self.lon.last:.3f}_{self.lon.size}"
-            f".lat={self.lat.start:.3f}_{self.lat.last:.3f}_{self.lat.size}"
-        )
+        """Cache key: a digest of all numbers of the grid, to the last bit."""
+        return "grid-" + hashlib.sha256(repr(self).encode()).hexdigest()[:32]
 
     @property
     def extent(self) -> tuple[float, float, float, float]:

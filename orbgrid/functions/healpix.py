@@ -68,6 +68,21 @@ def unwrap_lon(lon: Column | str, max_lon: float) -> Column:
     return F.when(lon <= max_lon - 360.0, lon + 360.0).otherwise(lon)
 
 
+#: Cells that one row fans out into at a time.
+FAN_OUT = 4**7
+
+
+def every_cell(rows: DataFrame, zoom: int, ip: str = "healpix_index") -> DataFrame:
+    """All cells of a zoom for each row, by way of blocks of FAN_OUT cells that are spread over the tasks."""
+    if npix(zoom) <= FAN_OUT:
+        cells = F.sequence(F.lit(0).cast("bigint"), F.lit(npix(zoom) - 1).cast("bigint"))
+        return rows.withColumn(ip, F.explode(cells))
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.lit(npix(zoom) // FAN_OUT - 1).cast("bigint"))
+    spread = rows.withColumn("_block", F.explode(blocks)).repartition(*rows.columns, "_block")
+    first = F.col("_block") * F.lit(FAN_OUT).cast("bigint")
+    return spread.withColumn(ip, F.explode(F.sequence(first, first + F.lit(FAN_OUT - 1).cast("bigint")))).drop("_block")
+
+
 def _even_bits(q: Column, bits: int) -> Column:
     """Gather bits 0, 2, 4, ... of ``q`` into a dense integer."""
     picked = [
@@ -83,19 +98,18 @@ def with_lonlat(
     lon: str = "lon",
     lat: str = "lat",
     signed: bool = False,
-    max_zoom: int = 10,
 ) -> DataFrame:
     """Attach cell-centre coordinates (Gorski et al. 2005, nested order).
 
     ``zoom`` is a number, or the name of a column so that one table may hold
-    several zooms (then ``max_zoom`` bounds the bit loop).  The steps are
+    several zooms, up to ``MAX_ZOOM``.  The steps are
     separate projections so that no sub-expression is expanded twice.
     """
     if isinstance(zoom, str):
-        z, bits = F.col(zoom).cast("int"), max_zoom
+        z, bits = F.col(zoom).cast("int"), MAX_ZOOM
         n = F.call_function("shiftleft", F.lit(1).cast("bigint"), z)
         n2 = n * n
-        face = F.floor(F.col(ip) / n2.cast("double")).cast("bigint")
+        face = F.call_function("shiftright", F.col(ip), 2 * z)
         within = F.pmod(F.col(ip), n2)
     else:
         bits = zoom

@@ -12,14 +12,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPERATORS: dict[str, Callable[[Column, Column], Column]] = {
     "+": operator.add,
     "-": operator.sub,
     "*": operator.mul,
-    "/": operator.truediv,
+    "/": F.try_divide,  # NULL where the divisor is 0
 }
 
 
@@ -212,8 +212,11 @@ def require_exactly_one(inv: DataFrame, specs: Sequence[VariableSpec], by: list[
     """
     bad = count_matches(inv, specs, by).filter(F.col("n_matches") != 1).collect()
     if bad:
-        lines = [f"* {r.variable}[{r.operand}]: {r.n_matches} matches" for r in bad]
-        raise FieldMismatch("MISSING:\n" + "\n".join(sorted(lines)))
+        raise FieldMismatch("; ".join(sorted(mismatch_text(r) for r in bad)))
+
+
+def mismatch_text(r) -> str:
+    return f"operand {r.operand} of {r.variable} has {r.n_matches} matches where it needs one"
 
 
 def variable_catalog(inv: DataFrame, specs: Sequence[VariableSpec], by: list[str]) -> DataFrame:
@@ -243,11 +246,3 @@ def variable_catalog(inv: DataFrame, specs: Sequence[VariableSpec], by: list[str
             )
         )
     return inv.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array_compact(F.array(*rows))))
-
-
-def declared_variables(spark: SparkSession, specs: Sequence[VariableSpec]) -> DataFrame:
-    """The specs themselves as a small table."""
-    rows = [(s.short, s.long, s.units, s.post_name, len(s.fields)) for s in specs]
-    return spark.createDataFrame(
-        rows, "variable_id string, standard_name string, units string, extra_processing string, n_fields int"
-    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbgrid.functions.axes import TimeAxis
-from orbgrid.functions.healpix import npix
+from orbgrid.functions.healpix import every_cell
 from orbgrid.functions.scalars import is_close
 from orbgrid.operators.joins import attach
 
@@ -33,9 +33,7 @@ def spine(spark: SparkSession, axis: TimeAxis, zoom: int, levels: Sequence[float
     out = axis.to_df(spark).select("time")
     if levels is not None:
         out = out.withColumn("level", F.explode(F.array(*[F.lit(float(x)) for x in levels])))
-    # Spread the few steps before they fan out into cells.
-    first, last = F.lit(0).cast("bigint"), F.lit(npix(zoom) - 1).cast("bigint")
-    return out.repartition(*out.columns).withColumn("healpix_index", F.explode(F.sequence(first, last)))
+    return every_cell(out, zoom)
 
 
 def missing_fraction(df: DataFrame, keys: list[str], value: str, expected: Column | int) -> DataFrame:
@@ -108,7 +106,7 @@ def dataset_shape(df: DataFrame, keys: list[str], time: str = "time", ip: str =
 def inner_series_missing(
     df: DataFrame, keys: list[str], value: str, n_cells: int, over: list[str], time: str = "time"
 ) -> DataFrame:
-    """Missing share of a series without its first and last step.
+    """Missing share of a series without its first and last step; NULL where there are no others.
 
     The axis of a series is the distinct steps of its ``over`` group (a subset
     of ``keys``, such as the dataset).
@@ -121,7 +119,7 @@ def inner_series_missing(
         F.count(F.when(inner, F.col(value))).alias("n_valid"), F.max("_nt").alias("_nt")
     )
     n = (F.col("_nt") - 2) * n_cells
-    return out.select(*keys, "n_valid", (1 - F.col("n_valid") / n).alias("missing_fraction"))
+    return out.select(*keys, "n_valid", (1 - F.try_divide(F.col("n_valid").cast("double"), n)).alias("missing_fraction"))
 
 
 class QualityError(ValueError):
@@ -130,9 +128,10 @@ class QualityError(ValueError):
 
 def require_some_values(df: DataFrame, keys: list[str], value: str) -> None:
     """Refuse to write variables that are missing everywhere."""
-    empty = df.groupBy(*keys).agg(F.count(value).alias("n")).filter(F.col("n") == 0).limit(20).collect()
-    if empty:
-        raise QualityError("all values missing: " + ", ".join(str(tuple(r)[:-1]) for r in empty))
+    empty = df.groupBy(*keys).agg(F.count(value).alias("n")).filter(F.col("n") == 0).drop("n")
+    found = empty.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*keys)).alias("first")).first()
+    if found.n:
+        raise QualityError(f"all values missing in {found.n} groups, the first of them {tuple(found.first)}")
 
 
 def absent_weights(needed: DataFrame, present: DataFrame, key: str = "grid_key") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbgrid.operators.joins import attach
+from orbgrid.session import lineage_cutter
 
 
 def domain_mean(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -16,11 +17,11 @@ def domain_mean(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 
 def weighted_domain_mean(df: DataFrame, keys: list[str], values: list[str], weight: str = "weights") -> DataFrame:
-    """Mean over cells by coverage weight, over cells that have a value."""
+    """Mean over cells by coverage weight, over cells that have a value; NULL where the weights sum to 0."""
     w = F.col(weight)
     return df.groupBy(*keys).agg(
         *[
-            (F.sum(F.col(v) * w) / F.sum(F.when(F.col(v).isNotNull(), w))).alias(v)
+            F.try_divide(F.sum(F.col(v) * w), F.sum(F.when(F.col(v).isNotNull(), w))).alias(v)
             for v in values
         ]
     )
@@ -60,18 +61,21 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     bins: int = 4096,
-    rounds: int = 2,
+    window: int = 1_000_000,
     max_groups: int | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: ``group..., prob, quantile``.
 
     Each wanted rank is narrowed down by histograms: count the values of its
-    interval in ``bins`` equal bins, keep the bin that holds the rank, repeat.
-    Equal values are merged first and counts combine map-side, so a group of
-    any size is never gathered; the last window sees only the values of one
-    narrow bin.  ``max_groups`` bounds the number of groups, if it is known.
+    interval in ``bins`` equal bins, keep the bin that holds the rank, repeat
+    until no bin holds more than ``window`` distinct values.  A bin ends at
+    values that occur, and the ends of an interval fall into different bins,
+    so every round takes some away, however the values are spread.  Equal values
+    are merged first and counts combine map-side: the last window sees
+    ``window`` rows at most.  ``max_groups`` bounds the number of groups, if it is known.
     """
-    counted = (
+    cut = lineage_cutter(df.sparkSession)  # every round reads the merged values again
+    counted = cut(
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, F.col(value).cast("double").alias("_x"))
         .agg(F.count(F.lit(1)).alias("_c"))
@@ -88,22 +92,29 @@ def exact_quantiles(
     )
     target = [*group, "prob", "_r"]
     max_ranks = None if max_groups is None else 2 * len(probs) * max_groups
-    for _ in range(rounds):
-        spread = F.col("_hi") - F.col("_lo")
-        slot = F.least(F.floor((F.col("_x") - F.col("_lo")) / spread * bins), F.lit(bins - 1))
+    half = F.lit(0.5)  # the whole range of doubles has no finite width, half of it does
+    spread = F.col("_hi") * half - F.col("_lo") * half
+    share = F.try_divide(F.col("_x") * half - F.col("_lo") * half, spread)
+    # The upper end gets the last bin and the lower end the first, also where the width is tiny.
+    slot = F.when(F.col("_x") == F.col("_hi"), bins - 1).otherwise(F.least(F.floor(share * bins), F.lit(bins - 2)))
+    while True:
         hist = (
             attach(counted, ranks, group, max_rows=max_ranks)
             .filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-            .groupBy(*target, "_k", "_frac", "_below", F.when(spread > 0, slot).otherwise(0).cast("int").alias("_bin"))
-            .agg(F.sum("_c").alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+            .groupBy(*target, "_k", "_frac", "_below", F.when(F.col("_hi") > F.col("_lo"), F.coalesce(slot, F.lit(0))).otherwise(0).cast("int").alias("_bin"))
+            .agg(F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_d"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
         )
         upto = F.sum("_c").over(Window.partitionBy(*target).orderBy("_bin"))
-        ranks = (
+        ranks = cut(
             hist.withColumn("_upto", F.col("_below") + upto)
             .filter((F.col("_upto") > F.col("_r")) & (F.col("_upto") - F.col("_c") <= F.col("_r")))
             .withColumn("_below", F.col("_upto") - F.col("_c"))
             .drop("_upto", "_c", "_bin")
         )
+        widest = ranks.agg(F.max("_d")).first()[0] or 0
+        ranks = ranks.drop("_d")
+        if widest <= window:
+            break
     upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*target).orderBy("_x"))
     picked = (
         attach(counted, ranks, group, max_rows=max_ranks)
@@ -123,10 +134,10 @@ def robust_range(df: DataFrame, group: list[str], value: str, max_groups: int |
     """Symmetric display range of fields that lie around zero.
 
     ``vmax`` is the larger magnitude of the 2nd and 98th percentile; fields
-    that do not lie around zero get no range.
+    that do not lie around zero, constant ones among them, get no range.
     """
     ends = field_extent(df, group, value)
-    diverging = F.abs(F.col("vmax") + F.col("vmin")) / (F.col("vmax") - F.col("vmin")) < 0.5
+    diverging = F.try_divide(F.abs(F.col("vmax") + F.col("vmin")), F.col("vmax") - F.col("vmin")) < 0.5
     ends = ends.select(*group, F.coalesce(diverging, F.lit(False)).alias("diverging"))
     bound = exact_quantiles(df, group, value, (0.02, 0.98), max_groups=max_groups).groupBy(*group).agg(
         F.max(F.abs("quantile")).alias("_b")

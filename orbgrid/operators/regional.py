@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.functions.healpix import chunk_id, npix, with_lonlat, wrap_lon
+from orbgrid.functions.healpix import chunk_id, every_cell, npix, with_lonlat, wrap_lon
 from orbgrid.operators.joins import attach
 from orbgrid.operators.weights import inside_extent
 
@@ -37,7 +37,7 @@ def active_cells(spark: SparkSession, extent: Extent, zoom: int, cells_per_chunk
 def scatter_global(field: DataFrame, keys: list[str], zoom: int, ip: str = "healpix_index") -> DataFrame:
     """All cells of the zoom for every key of the field; absent ones missing."""
     steps = field.select(*keys).distinct()
-    spine = steps.withColumn(ip, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(npix(zoom) - 1).cast("bigint"))))
+    spine = every_cell(steps, zoom, ip)
     return spine.join(field, [*keys, ip], "left")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orbgrid.operators.mapping import VariableSpec
 
+# The columns of the delivered report.
 REPORT_COLUMNS = [
     "expt", "store", "variable_id", "standard_name", "units", "is_present",
     "cube_name", "stash_code", "extra_attrs", "extra_processing",
@@ -97,31 +98,37 @@ def completeness_report(
     coarsened: DataFrame,
     expected_inputs: int,
     coarsen_jobs: int,
+    experiments: DataFrame | None = None,
 ) -> DataFrame:
     """Share of inputs, regridding and coarsening done, per experiment.
 
+    ``experiments`` holds the ``sim`` of every configured experiment; those
+    without any input show 0.  By default all that occur in some input.
+
     All inputs hold a ``sim`` column: one row per complete cycle, per created
     dataset, per regridded cycle and per coarsened time chunk.
     """
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("sim").agg(F.count(F.lit(1)).alias(name))
 
-    out = counted(manifest, "num_inputs")
-    for df, name in ((created, "_made"), (regridded, "num_regrids_done"), (coarsened, "_coarsened")):
+    inputs = (manifest, created, regridded, coarsened)
+    out = experiments if experiments is not None else reduce(DataFrame.union, [df.select("sim") for df in inputs])
+    out = out.select("sim").distinct()
+    for df, name in zip(inputs, ("_inputs", "_made", "num_regrids_done", "_coarsened")):
         out = out.join(counted(df, name), "sim", "left")
 
     def percent(part, whole):
         return F.coalesce(F.try_divide(part * 100.0, whole), F.lit(0.0))
 
     zero = F.lit(0).cast("bigint")
-    done = F.coalesce("num_regrids_done", zero)
+    done, seen = F.coalesce("num_regrids_done", zero), F.coalesce("_inputs", zero)
     return out.select(
         "sim",
         F.lit(expected_inputs).cast("bigint").alias("expected_num_inputs"),
-        "num_inputs",
+        seen.alias("num_inputs"),
         F.col("_made").isNotNull().alias("created"),
         done.alias("num_regrids_done"),
         percent(F.coalesce("_coarsened", zero), F.lit(coarsen_jobs)).alias("coarsen"),
-        percent(F.col("num_inputs"), F.lit(expected_inputs)).alias("inputs"),
-        percent(done, F.col("num_inputs")).alias("regrid"),
+        percent(seen, F.lit(expected_inputs)).alias("inputs"),
+        percent(done, seen).alias("regrid"),
     ).orderBy(F.desc("regrid"), F.desc("coarsen"), F.desc("inputs"), "sim")

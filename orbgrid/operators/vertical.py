@@ -57,14 +57,14 @@ def interpolate_levels(
     targets: Sequence[float],
     level: str = "level",
     clamp: bool = True,
-    long_column: int | None = 1000,
+    long_column: int | None = None,
 ) -> DataFrame:
     """Values at ``targets`` for every column with at least two levels.
 
     ``points`` holds one row per column (``keys``) and distinct ``p``.  Columns
-    are ordered in place; those with more than ``long_column`` levels are
-    thinned first, with the same result.  ``None`` skips the count where the
-    length is bounded, as it is on model levels.
+    are ordered in place, as model columns are short.  Where columns have no
+    bound, ``long_column`` asks for those with more levels to be thinned
+    first (``thin_columns``), with the same result.
     """
     targets = sorted(float(t) for t in targets)
     points = points.select(*keys, p, *values).filter(F.col(p).isNotNull())

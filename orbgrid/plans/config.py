@@ -24,7 +24,7 @@ def _averaged(*names: str) -> tuple[FieldRule, ...]:
 # --- fixed values: output variables and the source fields they come from -----
 # (short name, long name, source field); a source of None means selected by code.
 
-_SHIFTED = "ourly mean - time index shifted from half past the hour to the following hour"
+_SHIFTED = "Hourly mean - time index shifted from half past the hour to the following hour"
 
 SURFACE = (
     _var("psl", "air_pressure_at_mean_sea_level", "air_pressure_at_sea_level"),
@@ -41,11 +41,11 @@ SURFACE = (
     VariableSpec(
         "pr", "precipitation_flux",
         _averaged("stratiform_rainfall_flux", "stratiform_snowfall_flux"), ("+",),
-        attrs={"notes": f"Combined rain and snow. H{_SHIFTED}"},
+        attrs={"notes": f"Combined rain and snow. {_SHIFTED}"},
     ),
     _var(
         "prs", "solid_precipitation_flux", "stratiform_snowfall_flux", averaged=True,
-        attrs={"notes": f"H{_SHIFTED}"},
+        attrs={"notes": _SHIFTED},
     ),
     _var("huss", "specific_humidity", "specific_humidity"),
     _var("ps", "surface_air_pressure", "surface_air_pressure"),
@@ -102,7 +102,7 @@ FOUR_WAY_PRECIPITATION = dict(
         "stratiform_rainfall_flux", "stratiform_snowfall_flux",
     ),
     ops=("+", "+", "+"),
-    attrs={"notes": f"Combined rain and snow, convective and stratiform. H{_SHIFTED}"},
+    attrs={"notes": f"Combined rain and snow, convective and stratiform. {_SHIFTED}"},
 )
 TOTAL_PRECIPITATION = dict(
     fields=(FieldRule(stash="m01s05i216", averaged=False),),
@@ -113,20 +113,11 @@ TOTAL_PRECIPITATION = dict(
 # Pressure field that places the model levels.
 MODEL_LEVEL_PRESSURE = FieldRule("air_pressure")
 
-# Source columns that play no part after mapping.
-UNUSED_COLUMNS = (
-    "latitude_0", "longitude_0", "forecast_period", "forecast_reference_time", "forecast_period_0",
-    "height", "height_0", "forecast_period_1", "forecast_period_2", "forecast_period_3",
-    "latitude_longitude", "time_1_bnds", "time_0_bnds", "forecast_period_1_bnds",
-    "surface_altitude", "level_height", "sigma", "altitude",
-)
-
 AXIS_START, AXIS_END = datetime(2020, 1, 20), datetime(2021, 3, 1)
 HOURLY = TimeAxis(AXIS_START, AXIS_END, timedelta(hours=1))
 THREE_HOURLY = TimeAxis(AXIS_START, AXIS_END, timedelta(hours=3))
 
 STREAMS_PER_CYCLE = 4
-EXPECTED_CYCLES = 812
 # --- end of fixed values -----------------------------------------------------
 
 
@@ -150,10 +141,6 @@ def space_chunk(zoom: int, regional: bool = False) -> int:
     return 4**zoom
 
 
-def level_chunk(regional: bool = False) -> int:
-    return 1 if regional else 5
-
-
 @dataclass(frozen=True)
 class GroupSpec:
     """Variables that share dimensions, a time axis and a store."""
@@ -167,10 +154,6 @@ class GroupSpec:
     def constraint(self) -> Column:
         return has_dims(*self.dims)
 
-    @property
-    def level_dim(self) -> str | None:
-        return self.dims[1] if len(self.dims) == 4 else None
-
 
 @dataclass(frozen=True)
 class Experiment:

@@ -17,14 +17,16 @@ from orbgrid.functions.axes import PRESSURE_LEVELS_HPA, LatLonGrid, hpa_to_pa
 from orbgrid.functions.healpix import npix
 from orbgrid.operators.joins import attach
 from orbgrid.operators.mapping import (
+    FieldMismatch,
     FieldRule,
     VariableSpec,
+    count_matches,
     inventory,
     map_variables,
-    require_exactly_one,
+    mismatch_text,
     variable_catalog,
 )
-from orbgrid.operators.pyramid import at_first_step, coarsen, coverage_weights, pyramid
+from orbgrid.operators.pyramid import at_first_step, coarsen, coverage_weights
 from orbgrid.operators.quality import QualityError
 from orbgrid.operators.regional import active_cells, gather_regional
 from orbgrid.operators.regrid import apply_weights, regrid
@@ -32,7 +34,7 @@ from orbgrid.operators.timeline import settle_times, snap_time
 from orbgrid.operators.vertical import interpolate_levels
 from orbgrid.plans.config import MODEL_LEVEL_PRESSURE, Experiment, GroupSpec, space_chunk, time_chunk
 from orbgrid.sources.manifest import coverage_gate
-from orbgrid.sources.store import CellStore, cached_weights
+from orbgrid.sources.store import CellStore, cached_weights, dataset_metadata
 
 DONE_SCHEMA = "cycle timestamp_ntz, task string, sim string, part string"
 CYCLE_HOURS = 12
@@ -84,33 +86,70 @@ def group_fields(
     return snapped.withColumn("time_idx", idx.cast("bigint")).drop("time", "snapped", "on_axis")
 
 
-def require_consecutive(source: DataFrame) -> None:
-    """The steps of a field within a cycle must follow each other without a gap."""
-    steps = source.groupBy(*SERIES).agg(
+def steps_off_axis(steps: DataFrame) -> DataFrame:
+    """``cycle, problem`` of fields with times that fit no stamp."""
+    off = steps.filter(~F.col("on_axis")).groupBy("cycle").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("field_name", "time")).alias("f")
+    )
+    text = F.format_string("%d source times off the axis, such as %s of %s", "n", F.col("f.time").cast("string"), F.col("f.field_name"))
+    return off.select("cycle", text.alias("problem"))
+
+
+def steps_with_gaps(steps: DataFrame) -> DataFrame:
+    """``cycle, problem`` where the steps of a field don't follow each other without a gap."""
+    per_field = steps.groupBy(*SERIES).agg(
         F.count_distinct("time_idx").alias("n"), F.min("time_idx").alias("a"), F.max("time_idx").alias("b")
     )
-    bad = steps.filter(F.col("n") != F.col("b") - F.col("a") + 1).select("field_name", "cycle").limit(5).collect()
-    if bad:
-        raise QualityError("source times have gaps: " + ", ".join(str(tuple(r)) for r in bad))
+    bad = per_field.filter(F.col("n") != F.col("b") - F.col("a") + 1).groupBy("cycle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("field_name").alias("f")
+    )
+    return bad.select("cycle", F.format_string("source times of %d fields have gaps, such as %s", "n", "f").alias("problem"))
 
 
-def require_same_times(source: DataFrame, group: GroupSpec) -> None:
-    """Model-level variables must have the times of the pressure field.
+def steps_unlike_pressure(steps: DataFrame, group: GroupSpec) -> DataFrame:
+    """``cycle, problem`` where model-level variables don't have the times of the pressure field.
 
     Steps of a variable before the first one of pressure are surplus and are
-    not counted.  Only distinct steps are compared.
+    not counted.
     """
-    step = ["sim", "cycle", "time_idx"]
     there = [F.max(s.fields[0].predicate()).alias(s.short) for s in group.specs]
-    steps = source.groupBy(*step).agg(F.max(MODEL_LEVEL_PRESSURE.predicate()).alias("_p"), *there)
-    first = steps.filter("_p").groupBy("sim", "cycle").agg(F.min("time_idx").alias("_t0"))
-    checked = steps.join(first, ["sim", "cycle"], "left").filter(
+    marked = steps.groupBy("sim", "cycle", "time_idx").agg(F.max(MODEL_LEVEL_PRESSURE.predicate()).alias("_p"), *there)
+    first = marked.filter("_p").groupBy("sim", "cycle").agg(F.min("time_idx").alias("_t0"))
+    checked = marked.join(first, ["sim", "cycle"], "left").filter(
         F.col("_t0").isNull() | (F.col("time_idx") >= F.col("_t0"))
     )
     wrong = reduce(lambda a, b: a | b, [F.col(s.short) != F.col("_p") for s in group.specs])
-    bad = checked.filter(wrong).select("cycle", "time_idx").limit(5).collect()
-    if bad:
-        raise QualityError("model-level and pressure times differ: " + ", ".join(str(tuple(r)) for r in bad))
+    bad = checked.filter(wrong).groupBy("cycle").agg(F.count(F.lit(1)).alias("n"))
+    return bad.select("cycle", F.format_string("model-level and pressure times differ at %d steps", "n").alias("problem"))
+
+
+def group_problems(
+    fields: DataFrame, group: GroupSpec, cycles: list, max_series: int | None = None, tolerance_minutes: float = 5.0
+) -> tuple[dict, dict]:
+    """What is wrong with each cycle of a group: of its fields, and of their times.
+
+    Every operand must match exactly one field in every cycle by itself.  All
+    time checks look at the distinct steps only.  What comes to the driver is
+    one text for a cycle and check.
+    """
+    mine = fields.filter(group.constraint())
+    counts = count_matches(inventory(mine, ["sim", "cycle"]), group.specs, ["sim", "cycle"]).collect()
+    present = {r.cycle for r in counts}
+    unmatched: dict = {c: f"no fields of group {group.name}" for c in cycles if c not in present}
+    for r in counts:
+        if r.n_matches != 1:
+            unmatched[r.cycle] = "; ".join(filter(None, [unmatched.get(r.cycle), mismatch_text(r)]))
+    wanted = reduce(lambda a, b: a | b, [r.predicate() for r in group_rules(group)])
+    distinct = mine.filter(wanted).select(*SERIES, "time").distinct()
+    steps = snap_time(settle_times(distinct, SERIES, max_series=max_series), group.axis, tolerance_minutes).persist()
+    checks = [steps_off_axis(steps), steps_with_gaps(steps.filter("on_axis"))]
+    if any(s.levels_to_pressure for s in group.specs):
+        checks.append(steps_unlike_pressure(steps.filter("on_axis"), group))
+    mistimed: dict = {}
+    for r in reduce(DataFrame.unionByName, checks).collect():
+        mistimed[r.cycle] = "; ".join(filter(None, [mistimed.get(r.cycle), r.problem]))
+    steps.unpersist()
+    return unmatched, mistimed
 
 
 def on_pressure_levels(source: DataFrame, group: GroupSpec, keys: list[str]) -> DataFrame:
@@ -153,9 +192,7 @@ def regrid_group(
         # Each grid reads only the fields of its own variables.
         mine = replace(group, specs=tuple(specs))
         source = group_fields(fields, mine, max_series)
-        require_consecutive(source)
         if any(s.levels_to_pressure for s in specs):
-            require_same_times(source, mine)
             long = on_pressure_levels(source, mine, keys)
         else:
             long = map_variables(source, specs, keys)
@@ -174,54 +211,81 @@ def regrid_group(
     )
 
 
+REJECTED_SCHEMA = "problem string, sim string, cycle timestamp_ntz"
+
+
+def _cycle_block(group: GroupSpec, cycle) -> int:
+    return int((cycle - group.axis.start).total_seconds() // 3600) // CYCLE_HOURS
+
+
 def regrid_cycles(
     fields: DataFrame,
     cycles: DataFrame,
     experiment: Experiment,
     grid_of: Callable[[str], LatLonGrid],
     store: CellStore,
+    strict: bool = True,
 ) -> None:
     """Regrid the given cycles of one experiment and mark them done.
 
     ``fields`` is the long source-field table partitioned by ``sim, cycle``;
-    ``cycles`` holds ``sim, cycle``, at most one row per cycle.
+    ``cycles`` holds ``sim, cycle``, at most one row per cycle.  Cycles with
+    unmatched fields, bad times or a variable without any value are set aside
+    in the table ``rejected`` with the reason; the others go on and are marked
+    done.  They stay pending, so that mended input is taken up by a later
+    call.  With ``strict`` the call then raises.
     """
-    todo = [r.cycle for r in cycles.filter(F.col("sim") == experiment.key).select("cycle").distinct().collect()]
+    todo = sorted(
+        r.cycle for r in cycles.filter(F.col("sim") == experiment.key).select("cycle").distinct().collect()
+    )
     if not todo:
         return
-    mine = fields.filter(
-        (F.col("sim") == experiment.key) & F.col("cycle").isin([F.lit(c).cast("timestamp_ntz") for c in todo])
-    )
+
+    def of(wanted: list) -> DataFrame:
+        return fields.filter(
+            (F.col("sim") == experiment.key) & F.col("cycle").isin([F.lit(c).cast("timestamp_ntz") for c in wanted])
+        )
+
+    unmatched: dict = {}
+    mistimed: dict = {}
     for group in experiment.groups:
-        inv = inventory(mine.filter(group.constraint()), ["sim"]).persist()
-        require_exactly_one(inv, group.specs, ["sim"])
         # Fields x cycles bounds the series whose times are settled.
-        max_series = inv.count() * len(todo)
-        store.write_region(regrid_group(mine, group, experiment, grid_of, store, max_series))
-        catalog = variable_catalog(inv, group.specs, ["sim"])
-        store.write_table(
-            catalog.withColumns({"freq": F.lit(group.store), "group": F.lit(group.name)}),
-            "variables",
-            ["sim", "freq", "group"],
-        )
-        inv.unpersist()
-    _require_written(store, experiment, todo)
-    rows = store.spark.createDataFrame([(c, c.strftime("%Y%m%dT%H")) for c in todo], "cycle timestamp_ntz, p string")
-    mark_done(store, "regrid", experiment.key, rows, "p")
-
-
-def _require_written(store: CellStore, experiment: Experiment, cycles: list) -> None:
-    """Every variable must have left at least one value for every cycle."""
-    hours = [int((c - experiment.first_cycle).total_seconds() // 3600) // CYCLE_HOURS for c in cycles]
-    have = {
-        (freq, r.variable, r.block)
-        for freq in {name for name, _ in experiment.stored_specs()}
-        for r in store.scan(experiment.key, freq, experiment.max_zoom)
-        .filter(F.col("block").isin(hours)).select("variable", "block").distinct().collect()
+        for whole, found in zip((unmatched, mistimed), group_problems(of(todo), group, todo)):
+            for c, text in found.items():
+                whole[c] = "; ".join(filter(None, [whole.get(c), text]))
+    good = [c for c in todo if c not in unmatched and c not in mistimed]
+    empty: dict = {}
+    if good:
+        mine = of(good)
+        for group in experiment.groups:
+            inv = inventory(mine.filter(group.constraint()), ["sim"]).persist()
+            written = store.write_region(regrid_group(mine, group, experiment, grid_of, store, inv.count() * len(good)))
+            for c in good:
+                gone = [s.short for s in group.specs if (s.short, _cycle_block(group, c)) not in written]
+                if gone:
+                    text = "all values missing: " + ", ".join(gone)
+                    empty[c] = "; ".join(filter(None, [empty.get(c), text]))
+            catalog = variable_catalog(inv, group.specs, ["sim"])
+            store.write_table(
+                catalog.withColumns({"freq": F.lit(group.store), "group": F.lit(group.name)}),
+                "variables",
+                ["sim", "freq", "group"],
+            )
+            inv.unpersist()
+    done = [c for c in good if c not in empty]
+    if done:
+        rows = [(c, c.strftime("%Y%m%dT%H")) for c in done]
+        mark_done(store, "regrid", experiment.key, store.spark.createDataFrame(rows, "cycle timestamp_ntz, p string"), "p")
+    problems = {
+        c: "; ".join(filter(None, [unmatched.get(c), mistimed.get(c), empty.get(c)])) for c in todo if c not in done
     }
-    want = {(store_name, s.short, h) for store_name, s in experiment.stored_specs() for h in hours}
-    if want - have:
-        raise QualityError("all values missing: " + ", ".join(map(str, sorted(want - have))))
+    if problems:
+        rows = [(text, experiment.key, c) for c, text in problems.items()]
+        store.write_table(store.spark.createDataFrame(rows, REJECTED_SCHEMA), "rejected", ["sim", "cycle"])
+        if strict:
+            first = min(problems)
+            kind = FieldMismatch if unmatched else QualityError
+            raise kind(f"{len(problems)} of {len(todo)} cycles rejected; {first}: {problems[first]}")
 
 
 def region_report(store: CellStore, experiment: Experiment, freq: str, zoom: int) -> DataFrame:
@@ -240,30 +304,95 @@ def region_report(store: CellStore, experiment: Experiment, freq: str, zoom: int
     )
 
 
+STATIC_SCHEMA = "healpix_index bigint, orog double, sftlf double, sim string, zoom int"
+
+
 def static_fields(
     static: DataFrame, grid: LatLonGrid, experiment: Experiment, store: CellStore
 ) -> None:
     """Terrain height and land share at every zoom, kept beside the cells.
 
     ``static`` holds ``lat, lon, orog, sftlf`` with the land share as fraction.
+    Each zoom is stored before the next one reads it.
     """
     percent = static.withColumn("sftlf", F.col("sftlf") * 100)
     weights = cached_weights(store, grid, experiment.max_zoom)
     top = regrid(percent, grid, experiment.max_zoom, [], ["orog", "sftlf"], weights=weights)
-    levels = pyramid(top, [], ["orog", "sftlf"], experiment.max_zoom)
-    store.write_table(levels.withColumn("sim", F.lit(experiment.key)), "static", ["sim", "zoom"])
+    zoom, level = experiment.max_zoom, top
+    while True:
+        named = level.withColumns({"sim": F.lit(experiment.key), "zoom": F.lit(zoom)})
+        store.write_table(named, "static", ["sim", "zoom"])
+        if zoom == 0:
+            return
+        stored = store.read_table("static", STATIC_SCHEMA)
+        stored = stored.filter((F.col("sim") == experiment.key) & (F.col("zoom") == zoom)).drop("sim", "zoom")
+        level, zoom = coarsen(stored, [], ["orog", "sftlf"]), zoom - 1
 
 
 def with_static(cells: DataFrame, store: CellStore, sim: str, zoom: int) -> DataFrame:
     """Attach terrain height and land share to cells of a zoom."""
-    schema = "healpix_index bigint, orog double, sftlf double, sim string, zoom int"
-    static = store.read_table("static", schema).filter((F.col("sim") == sim) & (F.col("zoom") == zoom))
+    static = store.read_table("static", STATIC_SCHEMA).filter((F.col("sim") == sim) & (F.col("zoom") == zoom))
     return attach(cells, static.drop("sim", "zoom"), ["healpix_index"], "left", max_rows=npix(zoom), row_bytes=32)
 
 
+def with_coverage(cells: DataFrame, store: CellStore, sim: str, freq: str, zoom: int) -> DataFrame:
+    """Attach the coverage weights of a dataset to its cells; 1 at the top zoom, which has none."""
+    mine = (F.col("sim") == sim) & (F.col("freq") == freq) & (F.col("zoom") == zoom)
+    weights = store.read_table("coverage", COVERAGE_SCHEMA).filter(mine).select("healpix_index", "weights")
+    out = attach(cells, weights, ["healpix_index"], "left", max_rows=npix(zoom), row_bytes=32)
+    return out.withColumn("weights", F.coalesce("weights", F.lit(1.0)))
+
+
+METADATA_SCHEMA = "attrs map<string,string>, crs map<string,string>, sim string, freq string, zoom int"
+
+
+def create_dataset(
+    store: CellStore,
+    experiment: Experiment,
+    grid_of: Callable[[str], LatLonGrid],
+    static: DataFrame | None = None,
+    shared: dict[str, str] | None = None,
+) -> None:
+    """What a dataset needs before its first cycle: extent, attributes of every zoom, static fields.
+
+    Bounds and extent are those of the grid of the first variable, which is
+    also the grid of ``static``.  May be called again; parts are replaced.
+    """
+    grid = grid_of(experiment.groups[0].specs[0].short)
+    if experiment.regional:
+        save_extent(store, experiment, grid)
+    west, east, south, north = map(float, grid.extent)
+    bounds = {
+        "lower_left_lat": round(south, 3), "lower_left_lon": round(west % 360.0, 3),
+        "upper_right_lat": round(north, 3), "upper_right_lon": round(east % 360.0, 3),
+    }
+    rows = [
+        (experiment.key, freq, zoom, dict(experiment.metadata), str(bounds))
+        for freq in dict.fromkeys(g.store for g in experiment.groups)
+        for zoom in range(experiment.max_zoom + 1)
+    ]
+    sets = store.spark.createDataFrame(
+        rows, "sim string, freq string, zoom int, config map<string,string>, bounds string"
+    )
+    meta = dataset_metadata(sets, experiment.regional, shared or {})
+    store.write_table(meta.select("attrs", "crs", "sim", "freq", "zoom"), "metadata", ["sim", "freq", "zoom"])
+    if static is not None:
+        static_fields(static, grid, experiment, store)
+
+
+def is_created(store: CellStore, experiment: Experiment) -> bool:
+    return not store.read_table("metadata", METADATA_SCHEMA).filter(F.col("sim") == experiment.key).isEmpty()
+
+
 # --- coarsening --------------------------------------------------------------
 
 
+def _done_parts(store: CellStore, task: str, sim: str) -> set[int]:
+    """Chunks of a coarsening task that are done; at most one per step of the axis."""
+    done = store.read_table("done", DONE_SCHEMA).filter((F.col("task") == task) & (F.col("sim") == sim))
+    return {int(r.part) for r in done.select("part").collect()}
+
+
 def _source_blocks(chunk: int, zoom: int, experiment: Experiment, step_hours: int) -> tuple[int, int]:
     """First and last block one zoom up that can hold steps of a time chunk."""
     size = time_chunk(zoom, experiment.regional)
@@ -275,18 +404,33 @@ def _source_blocks(chunk: int, zoom: int, experiment: Experiment, step_hours: in
     return first // finer, last // finer
 
 
-def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int) -> int:
-    """Coarsen to ``zoom`` every time chunk that became complete; returns how many."""
+def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int, end=None) -> int:
+    """Coarsen to ``zoom`` every time chunk that became complete; returns how many.
+
+    Right below the top a chunk waits for all cycles that it touches and for
+    the one before its first stamp; further down for all chunks of the finer
+    zoom that it is made of.  ``end`` leaves out cycles after that time.
+    """
     spark, sim, freq = store.spark, experiment.key, DIMS_STORE[dim]
     axis = next(g.axis for g in experiment.groups if g.store == freq)
     size = time_chunk(zoom, experiment.regional)
     task = f"coarsen_{dim}_z{zoom}"
+    cycles = done_cycles(store, sim)
+    if end is not None:
+        cycles = cycles.filter(F.col("cycle") <= F.lit(end).cast("timestamp_ntz"))
     gate = coverage_gate(
-        spark.createDataFrame([(sim,)], "sim string"), done_cycles(store, sim), axis, size, CYCLE_HOURS
+        spark.createDataFrame([(sim,)], "sim string"), cycles, axis, size, CYCLE_HOURS, preceding=True
     ).filter("runnable")
-    done = store.read_table("done", DONE_SCHEMA).filter((F.col("task") == task) & (F.col("sim") == sim))
-    fresh = gate.join(done.select(F.col("part").cast("bigint").alias("chunk")), "chunk", "left_anti")
-    chunks = sorted(r.chunk for r in fresh.select("chunk").collect())  # at most one per step of the axis
+    done = _done_parts(store, task, sim)
+    chunks = sorted({r.chunk for r in gate.select("chunk").collect()} - done)  # at most one per step of the axis
+    if zoom + 1 < experiment.max_zoom:
+        finer, size_there = _done_parts(store, f"coarsen_{dim}_z{zoom + 1}", sim), time_chunk(zoom + 1, experiment.regional)
+        last = (axis.size - 2) // size_there
+        chunks = [
+            c
+            for c in chunks
+            if all(k in finer for k in range(c * size // size_there, min(((c + 1) * size - 1) // size_there, last) + 1))
+        ]
     if not chunks:
         return 0
 
@@ -299,6 +443,8 @@ def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int)
     coarse = coarsen(source, ["sim", "freq", "variable", "block", "time", "level"], ["value"])
     if experiment.regional:
         extent = store.read_table("extent", EXTENT_SCHEMA).filter(F.col("sim") == sim).first()
+        if extent is None:
+            raise ValueError(f"{sim} has no extent; create_dataset stores it")
         active = active_cells(spark, tuple(extent[:4]), zoom, space_chunk(zoom, True))
         coarse = gather_regional(coarse, active, zoom)
     store.write_region(coarse.withColumn("zoom", F.lit(zoom)))
@@ -326,6 +472,8 @@ def _write_coverage(store: CellStore, experiment: Experiment, freq: str, zoom: i
     mine = (F.col("sim") == experiment.key) & (F.col("freq") == freq)
     if zoom == experiment.max_zoom - 1:
         top = store.scan(experiment.key, freq, zoom + 1, [spec.short])
+        block = top.agg(F.min("block")).first()[0]  # partition values: no cell is read for it
+        top = top.filter(F.col("block") == block)
         first = at_first_step(at_first_step(top), "level") if freq == "PT3H" else at_first_step(top)
         out = coverage_weights(first, "value")
     else:
@@ -335,12 +483,14 @@ def _write_coverage(store: CellStore, experiment: Experiment, freq: str, zoom: i
     store.write_table(out, "coverage", ["sim", "freq", "zoom"])
 
 
-def coarsen_all(store: CellStore, experiment: Experiment, dims: tuple[str, ...] = ("2d", "3d")) -> dict[str, int]:
+def coarsen_all(
+    store: CellStore, experiment: Experiment, dims: tuple[str, ...] = ("2d", "3d"), end=None
+) -> dict[str, int]:
     """All zooms of the pyramid; each is written before the next reads it."""
     written = {}
     for dim in dims:
         for zoom in range(experiment.max_zoom - 1, -1, -1):
-            written[f"{dim}_z{zoom}"] = coarsen_zoom(store, experiment, dim, zoom)
+            written[f"{dim}_z{zoom}"] = coarsen_zoom(store, experiment, dim, zoom, end)
     return written
 
 

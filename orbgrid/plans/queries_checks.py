@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -32,6 +33,7 @@ from orbgrid.plans.inputs import (
     table,
     weights_sql,
 )
+from orbgrid.plans.jobs import coarsen_all, coarsen_zoom, regrid_cycles
 from orbgrid.plans.queries_grid import _chain_sql, r6
 from orbgrid.plans.queries_time import DEMO_SPECS
 from orbgrid.plans.registry import register
@@ -193,15 +195,17 @@ def spine_completeness(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register(
-    f"""WITH need AS (SELECT DISTINCT l_returnflag || l_linestatus || (l_suppkey % 40) AS grid_key FROM lineitem),
-have AS (SELECT DISTINCT l_returnflag || l_linestatus || (l_suppkey % 40) AS grid_key FROM lineitem WHERE l_quantity > 47)
-SELECT grid_key FROM need WHERE grid_key NOT IN (SELECT grid_key FROM have)"""
+    """WITH need AS (SELECT DISTINCT l_returnflag || l_linestatus || (l_suppkey % 40) AS grid_key FROM lineitem),
+have AS (SELECT DISTINCT l_returnflag || l_linestatus || (l_suppkey % 40) AS grid_key FROM lineitem WHERE l_suppkey % 3 <> 0)
+SELECT grid_key FROM need WHERE grid_key NOT IN (SELECT grid_key FROM have)
+UNION ALL SELECT DISTINCT 'next' || l_returnflag FROM lineitem"""
 )
 def absent_weights(spark: SparkSession, d: str) -> DataFrame:
-    """Grids in use for which no weights are stored."""
+    """Grids in use for which no weights are stored; those of a new domain have none yet."""
     key = F.concat("l_returnflag", "l_linestatus", (F.col("l_suppkey") % 40).cast("string")).alias("grid_key")
     li = table(spark, d, "lineitem")
-    return ql.absent_weights(li.select(key), li.filter("l_quantity > 47").select(key))
+    new = li.select(F.concat(F.lit("next"), "l_returnflag").alias("grid_key"))
+    return ql.absent_weights(li.select(key).union(new), li.filter("l_suppkey % 3 <> 0").select(key))
 
 
 @register(f"WITH {CELLS_SQL}, {_SNAP_SQL} SELECT variable, \"time\", count(DISTINCT healpix_index) AS n_cells FROM snap GROUP BY ALL")
@@ -248,17 +252,23 @@ def compare_runs(spark: SparkSession, d: str) -> DataFrame:
 
 # --- reports -----------------------------------------------------------------
 
+def _coded(specs) -> list[VariableSpec]:
+    """Each field by its own code as well, as there is one field of a name for each of three codes."""
+    return [replace(s, fields=tuple(replace(f, stash=f.stash or f"m01s0{n % 3}") for n, f in enumerate(s.fields))) for s in specs]
+
+
 _RUNS = {
     "run0": DEMO_SPECS,
     "run1": DEMO_SPECS,
     "run2": DEMO_SPECS,
     "run3": override(DEMO_SPECS, {"vpc": None, "tot": dict(fields=(FieldRule("view", averaged=True),), ops=(), attrs={})}),
 }
+_RUNS = {k: _coded(v) for k, v in _RUNS.items()}
 _EXPERIMENTS = {k: [("PT1H", s) for s in v] for k, v in _RUNS.items()}
 
 
 def _report(spark: SparkSession, d: str) -> DataFrame:
-    plane = sources(spark, d).filter(has_dims("time", "latitude", "longitude") & (F.col("stash") == "m01s01"))
+    plane = sources(spark, d).filter(has_dims("time", "latitude", "longitude"))
     return rp.mapping_report(spark, inventory(plane, ["expt"]), _EXPERIMENTS)
 
 
@@ -279,7 +289,7 @@ def _spec_rows() -> str:
     return ", ".join(rows)
 
 
-_REPORT_SQL = f"""{SOURCES_SQL}, inv AS (SELECT DISTINCT expt, field_name, stash, averaged, units FROM src WHERE NOT deep AND stash = 'm01s01'),
+_REPORT_SQL = f"""{SOURCES_SQL}, inv AS (SELECT DISTINCT expt, field_name, stash, averaged, units FROM src WHERE NOT deep),
 sp(expt, variable_id, standard_name, n, op, fn, st, av, un, extra_attrs, extra_processing) AS (VALUES {_spec_rows()}),
 hit AS (SELECT sp.*, count(inv.field_name) AS k, min(inv.field_name) AS f, min(inv.stash) AS s, min(inv.units) AS u
   FROM sp LEFT JOIN inv ON inv.expt = sp.expt AND inv.field_name = sp.fn AND (sp.st IS NULL OR inv.stash = sp.st) AND (sp.av IS NULL OR inv.averaged = sp.av)
@@ -324,12 +334,13 @@ def report_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     f"""WITH {ARRIVALS_SQL}, {_COMPLETE_SQL}, {_DONE_SQL}, ni AS (SELECT sim, count(*) AS num_inputs FROM comp GROUP BY 1),
+ex AS (SELECT DISTINCT sim FROM man UNION SELECT 'not_started'),
 rg AS (SELECT sim, count(*) AS n FROM comp JOIN done USING (sim, cycle) GROUP BY 1),
 co AS (SELECT sim, count(DISTINCT cycle) AS n FROM man WHERE stream = 'view' GROUP BY 1),
 cr AS (SELECT DISTINCT sim FROM man WHERE stream = 'error')
-SELECT sim, 60::BIGINT AS expected_num_inputs, num_inputs, cr.sim IS NOT NULL AS created, coalesce(rg.n, 0) AS num_regrids_done,
-round(coalesce(co.n, 0) * 100e0 / 60, 6) AS coarsen, round(num_inputs * 100e0 / 60, 6) AS inputs, round(coalesce(rg.n, 0) * 100e0 / num_inputs, 6) AS regrid
-FROM ni LEFT JOIN rg USING (sim) LEFT JOIN co USING (sim) LEFT JOIN cr USING (sim)"""
+SELECT sim, 60::BIGINT AS expected_num_inputs, coalesce(num_inputs, 0) AS num_inputs, cr.sim IS NOT NULL AS created, coalesce(rg.n, 0) AS num_regrids_done,
+round(coalesce(co.n, 0) * 100e0 / 60, 6) AS coarsen, round(coalesce(num_inputs, 0) * 100e0 / 60, 6) AS inputs, round(coalesce(rg.n * 100e0 / num_inputs, 0), 6) AS regrid
+FROM ex LEFT JOIN ni USING (sim) LEFT JOIN rg USING (sim) LEFT JOIN co USING (sim) LEFT JOIN cr USING (sim)"""
 )
 def completeness_report(spark: SparkSession, d: str) -> DataFrame:
     man = arrivals(spark, d)
@@ -341,6 +352,7 @@ def completeness_report(spark: SparkSession, d: str) -> DataFrame:
         man.filter("stream = 'view'").select("sim", "cycle").distinct(),
         expected_inputs=60,
         coarsen_jobs=60,
+        experiments=man.select("sim").union(spark.createDataFrame([("not_started",)], "sim string")),
     )
     return out.withColumns({c: F.round(c, 6) for c in ("coarsen", "inputs", "regrid")})
 
@@ -530,3 +542,34 @@ def incremental_rerun(spark: SparkSession, d: str) -> DataFrame:
     return store.scan().groupBy("zoom", "variable", "time").agg(
         F.count(F.lit(1)).alias("n_cells"), F.round(F.avg(F.col("value").cast("double")), 4).alias("v")
     )
+
+
+_LATE = replace(_DEMO, key="late")
+
+
+@register(
+    _RUN_SQL + " " + " UNION ALL ".join(
+        f"SELECT {z} AS zoom, variable, \"time\" + INTERVAL 1 HOUR AS \"time\", count(*) AS n_cells, round(avg(v::DOUBLE), 4) AS v FROM z{z} GROUP BY ALL" for z in range(4)
+    )
+)
+def late_cycle_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """Half-past fields whose second cycle arrives last; coarser zooms are asked for first.
+
+    The last step of a cycle belongs to the hour that its successor starts
+    with.  The result is that of cycles in order.
+    """
+    root = scratch_root(spark)
+    store = CellStore(spark, root)
+    shifted = F.col("time") + F.make_dt_interval(mins=F.lit(30))
+    fields = source_fields(spark, d).withColumns({"sim": F.lit("late"), "time": shifted.cast("timestamp_ntz")})
+    fields.write.partitionBy("sim", "cycle").parquet(f"{root}/fields")
+    fields = spark.read.schema(fields.schema).parquet(f"{root}/fields")
+    cycles = fields.select("sim", "cycle").distinct()
+    late = F.col("cycle") == F.lit(_START + timedelta(hours=12)).cast("timestamp_ntz")
+    for part in (cycles.filter(~late), cycles.filter(late)):
+        regrid_cycles(fields, part, _LATE, lambda _: GRID, store)
+        coarsen_zoom(store, _LATE, "2d", 1)  # before zoom 2 is there: must not be taken as done
+        coarsen_all(store, _LATE, ("2d",))
+    return store.scan().groupBy("zoom", "variable", "time").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.round(F.avg(F.col("value").cast("double")), 4).alias("v")
+    )

@@ -393,7 +393,7 @@ SELECT zoom, variable, lat_bin, round(avg(v), 6) AS v, round((lat_bin - 0.5e0) *
 )
 def zonal_mean(spark: SparkSession, d: str) -> DataFrame:
     """Mean over time, then over 0.1 degree latitude bins, for every zoom."""
-    out = with_lonlat(pyr.pyramid(cells(spark, d), _KEYS, ["v"], ZOOM), "zoom", max_zoom=ZOOM)
+    out = with_lonlat(pyr.pyramid(cells(spark, d), _KEYS, ["v"], ZOOM), "zoom")
     means = red.zonal_mean(out, ["zoom", "variable"], "v", ["healpix_index"])
     return means.select("zoom", "variable", "lat_bin", r6("v"), r6("lat_mid"))
 

@@ -128,12 +128,18 @@ def floor_12h(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register(
-    f"""WITH s AS (SELECT DISTINCT user_id, event_type, least(greatest(round(epoch_us(ts - {_AXIS0}) / 3.6e9)::BIGINT, 0), {_LAST}) AS time_idx FROM events),
+    f"""WITH p AS (SELECT user_id, event_type, ts, least(greatest(round(epoch_us(ts - {_AXIS0}) / 3.6e9)::BIGINT, 0), {_LAST}) AS time_idx FROM events),
+o AS (SELECT *, abs(epoch_us(ts - {_AXIS0}) - time_idx * 3600000000) < 1500000000 AS fits FROM p),
+s AS (SELECT DISTINCT user_id, event_type, time_idx FROM o WHERE fits),
 g AS (SELECT *, lag(time_idx) OVER (PARTITION BY user_id, event_type ORDER BY time_idx) AS prev_idx FROM s)
-SELECT user_id, event_type, time_idx, prev_idx, time_idx - prev_idx - 1 AS n_missing FROM g WHERE time_idx - prev_idx > 1"""
+SELECT user_id, event_type, time_idx, prev_idx, time_idx - prev_idx - 1 AS n_missing, NULL::BIGINT AS n_off_axis FROM g WHERE time_idx - prev_idx > 1
+UNION ALL SELECT user_id, event_type, NULL, NULL, NULL, count(DISTINCT ts) FROM o WHERE NOT fits GROUP BY ALL"""
 )
 def time_axis_gaps(spark: SparkSession, d: str) -> DataFrame:
-    return tl.axis_gaps(table(spark, d, "events"), ["user_id", "event_type"], MONTH_AXIS, time="ts")
+    """Gaps between hours within 25 minutes of an event, and how many times fit no hour of the month."""
+    return tl.axis_gaps(
+        table(spark, d, "events"), ["user_id", "event_type"], MONTH_AXIS, time="ts", tolerance_minutes=25.0
+    )
 
 
 @register(

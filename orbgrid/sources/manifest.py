@@ -24,9 +24,13 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.pp") -> DataFra
 
 
 def file_cycles(files: DataFrame) -> DataFrame:
-    """``path, stem, cycle`` of the files that take part."""
+    """``path, stem, cycle`` of the files that take part; a stem without a cycle time stops the job."""
     used = files.filter(~F.contains("stem", F.lit(IGNORED_STREAM)))
-    return used.withColumn("cycle", parse_cycle("stem")).filter(F.col("cycle").isNotNull())
+    stamp = F.coalesce(
+        parse_cycle("stem"),
+        F.raise_error(F.concat(F.lit("no cycle time in the name of "), F.col("path"))).cast("timestamp_ntz"),
+    )
+    return used.withColumn("cycle", stamp)
 
 
 def complete_files(files: DataFrame, expected: int, keys: list[str] | None = None) -> DataFrame:
@@ -67,10 +71,14 @@ def chunk_plan(steps: DataFrame, chunk: int, n: str = "n_steps") -> DataFrame:
 
 
 def coverage_gate(
-    series: DataFrame, present: DataFrame, axis: TimeAxis, chunk: int, hours: int = 12
+    series: DataFrame, present: DataFrame, axis: TimeAxis, chunk: int, hours: int = 12, preceding: bool = False
 ) -> DataFrame:
     """Time chunks of each series and whether all cycles they touch are present.
 
+    A stamp at the start of a cycle may come from the cycle before (half-past
+    steps move to the full hour); with ``preceding`` that one must be present
+    as well, unless it lies before the axis.
+
     ``series`` has one row per dataset (``sim``); ``present`` holds
     ``sim, cycle``.  The last stamp of the axis lies beyond the last input and
     is left out.
@@ -78,11 +86,15 @@ def coverage_gate(
     steps = series.select("sim", F.posexplode(axis.stamps()).alias("time_idx", "time")).filter(
         F.col("time_idx") < axis.size - 1
     )
+    own = floor_hours("time", hours)
+    before = floor_hours(F.col("time") - F.make_dt_interval(secs=F.lit(1)), hours)
+    cycles = F.array(own, before) if preceding else F.array(own)
     touched = steps.select(
         "sim",
         F.floor(F.col("time_idx") / F.lit(float(chunk))).cast("bigint").alias("chunk"),
-        floor_hours("time", hours).alias("cycle"),
+        F.explode(cycles).alias("cycle"),
     ).distinct()
+    touched = touched.filter(F.col("cycle") >= F.lit(axis.start).cast("timestamp_ntz"))
     marked = touched.join(present.select("sim", "cycle", F.lit(True).alias("_here")), ["sim", "cycle"], "left")
     return marked.groupBy("sim", "chunk").agg(
         F.count(F.lit(1)).alias("n_cycles"),

@@ -14,7 +14,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,15 +78,23 @@ class CellStore:
 
     # cells
 
-    def write_region(self, df: DataFrame) -> None:
-        """Write blocks; blocks already there are replaced, others untouched."""
+    def write_region(self, df: DataFrame) -> set[tuple[str, int]]:
+        """Write blocks; blocks already there are replaced, others untouched.
+
+        Returns the ``(variable, block)`` pairs that got values in this very
+        write; they are noted while it runs (at most variables x blocks).  A
+        block without any value isn't replaced, and isn't among them.
+        """
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CELL_SCHEMA.fields]
-        overwrite_partitions(
-            df.filter(F.col("value").isNotNull()).select(*cols),
-            self.cells_path,
-            PARTITIONS,
-            ["time", "level", "healpix_index"],
-        )
+        seen = Observation()
+        rows = df.filter(F.col("value").isNotNull()).select(*cols)
+        rows = rows.observe(seen, F.collect_set(F.struct("variable", "block")).alias("parts"))
+        overwrite_partitions(rows, self.cells_path, PARTITIONS, ["time", "level", "healpix_index"])
+        try:
+            found = seen.get
+        except Py4JJavaError:  # input that is proved empty is planned without the note
+            return set()
+        return {(p["variable"], p["block"]) for p in found["parts"] or []}
 
     def scan(
         self,
@@ -200,6 +209,7 @@ def dataset_metadata(datasets: DataFrame, regional: bool, shared: dict[str, str]
     return datasets.select("sim", "freq", "zoom", attrs.alias("attrs")).withColumn("crs", grid_mapping("zoom"))
 
 
+# Names and values of the grid mapping that readers look for.
 def grid_mapping(zoom: str) -> Column:
     z = F.col(zoom).cast("int")
     return F.create_map(

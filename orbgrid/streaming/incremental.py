@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from orbgrid.functions.axes import LatLonGrid
 from orbgrid.plans.config import STREAMS_PER_CYCLE, Experiment
-from orbgrid.plans.jobs import coarsen_all, done_cycles, regrid_cycles
+from orbgrid.plans.jobs import coarsen_all, create_dataset, done_cycles, is_created, regrid_cycles
 from orbgrid.sources.manifest import complete_cycles, todo
 from orbgrid.sources.store import CellStore
 
@@ -66,16 +66,26 @@ def run_available(
     checkpoint: str,
     expected: int = STREAMS_PER_CYCLE,
     coarser: bool = True,
+    end=None,
+    static: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Process everything that has arrived since the last call, then stop."""
+    """Process everything that has arrived since the last call, then stop.
+
+    The first call creates the dataset.  Cycles that can't be regridded are
+    set aside and don't hold up others (table ``rejected``).  Cycles after
+    ``end`` are left for later.
+    """
+    if not is_created(store, experiment):
+        create_dataset(store, experiment, grid_of, static)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         record_arrivals(batch, batch_id, store)
         fields = spark.read.schema(schema).parquet(source)
-        regrid_cycles(fields, pending_cycles(store, experiment.key, expected), experiment, grid_of, store)
+        pending = pending_cycles(store, experiment.key, expected, end)
+        regrid_cycles(fields, pending, experiment, grid_of, store, strict=False)
         if coarser:
             dims = tuple(d for d, f in (("2d", "PT1H"), ("3d", "PT3H")) if any(g.store == f for g in experiment.groups))
-            coarsen_all(store, experiment, dims)
+            coarsen_all(store, experiment, dims, end)
 
     query = (
         arrivals_stream(spark, source, schema)
