@@ -43,7 +43,7 @@ BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 21
 LEVEL = 3
 #: Characters that are split into words at a time, and words whose ids a worker remembers.
-PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 700_000, 64
+PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 400_000, 64
 #: Marks that end words.
 _MARKS = ".,!?;:%$#&*|"
 
@@ -175,8 +175,10 @@ class WordEncoder:
 
     The ids of a text are then those of its space-separated words one after
     another, so words are given to the library once and remembered.  The
-    memory is bounded; when it is full it starts anew.  Tokenizers whose
-    normaliser and splitter aren't the known ones get whole texts.
+    memory has two generations of at most MEMO_WORDS: when the younger is
+    full, it becomes the older, which is forgotten; words in use move back.
+    Tokenizers whose normaliser and splitter aren't the known ones get whole
+    texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -187,6 +189,7 @@ class WordEncoder:
         made = json.loads(self.tokenizer.to_str())
         self.by_word = (made["normalizer"], made["pre_tokenizer"], made["model"]["end_of_word_suffix"]) == _BY_WORD
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, words: list[str]) -> None:
         """Plain words go to the library's BPE at once, others through its whole chain."""
@@ -216,6 +219,10 @@ class WordEncoder:
             else:
                 whole.add(w)
         known = self.known
+        older = self.older
+        for w in whole:
+            if w in older:
+                known[w] = older[w]
         self._library([w for w in whole if w not in known])
         for w, stem, marks in cut:
             known[w] = known[stem] + known[marks]
@@ -229,18 +236,20 @@ class WordEncoder:
         found = [list(map(get, words)) for words in split]
         new = {w for words, got in zip(split, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
         if len(self.known) + len(new) > MEMO_WORDS:
-            self.known = {"": b""}
-            new = {w for words in split for w in words if w}
-            found = [[None] * len(words) for words in split]
+            self.known, self.older = {"": b""}, self.known
+        known, older, out = self.known, self.older, []
+        back = {w for w in new if w in older}
+        for w in back:
+            known[w] = older[w]
+        new -= back
         self._learn(new)
-        known, out = self.known, []
         for words, got in zip(split, found, strict=True):
             if None in got:
                 got = [known[w] if x is None else x for w, x in zip(words, got, strict=True)]
             out.append(b"".join(got))
         for w in new:
             if len(w) > MEMO_CHARS:
-                del known[w]
+                known.pop(w, None)
                 if len(stem := w.rstrip(_MARKS)) > MEMO_CHARS:
                     known.pop(stem, None)
         return out
