@@ -26,6 +26,16 @@ def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_summary(rows: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``summary``, an aggregate by ``key``.
+
+    The key is wrapped, so that both sides are shuffled for the join alone and
+    not placed by the aggregation: adaptive execution may then split a hot key's rows.
+    """
+    other = summary.select(F.struct(key).alias("_key"), *[c for c in summary.columns if c != key])
+    return rows.withColumn("_key", F.struct(key)).join(other, "_key").drop("_key")
+
+
 def packed(df: DataFrame, *keep: str) -> DataFrame:
     """``keep`` as they are and all other columns in one struct, so that no name of theirs can clash."""
     rest = [F.col(f"`{c}`") for c in df.columns if c not in keep] or [F.lit(0).alias("none")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm.common import stored
+from orbgrid.llm.common import join_summary, stored
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -22,10 +22,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = join_summary(both, low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(spark, large.distinct())
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        small = join_summary(large, low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         e = stored(spark, small.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
         before, mark = mark, _mark(e)
         if before == mark:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.llm.common import packed, require_new, stored, unpacked
+from orbgrid.llm.common import join_summary, packed, require_new, stored, unpacked
 from orbgrid.llm.components import components
 from orbgrid.llm.simhash import link_fingerprints
 
@@ -319,7 +319,7 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataF
         "h", "first", "n", F.coalesce("root", "h").alias("_class")
     )
     classes = placed.groupBy("_class").agg(F.min("first").alias("stays"), F.sum("n").alias("total")).where("total > 1")
-    return lines, placed.select("h", "_class").join(classes, "_class").select("h", "stays")
+    return lines, join_summary(placed.select("h", "_class"), classes, "_class").select("h", "stays")
 
 
 def _fetch(named: DataFrame, members: DataFrame) -> DataFrame:

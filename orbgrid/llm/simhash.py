@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orbgrid.llm.common import packed, stored, unpacked
+from orbgrid.llm.common import join_summary, packed, stored, unpacked
 from orbgrid.llm.components import components
 
 RADIUS = 4
@@ -313,7 +313,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         "fp", "_first", F.coalesce("root", "fp").alias("_root")
     )
     ids = placed.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    named = placed.join(ids, "_root").select("fp", "component_id")
+    named = join_summary(placed, ids, "_root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
