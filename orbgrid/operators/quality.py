@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orbgrid.functions.axes import TimeAxis
@@ -122,6 +122,53 @@ def inner_series_missing(
     return out.select(*keys, "n_valid", (1 - F.try_divide(F.col("n_valid").cast("double"), n)).alias("missing_fraction"))
 
 
+def store_checks(
+    cells: DataFrame,
+    regional: bool = False,
+    ranges: dict[str, tuple[float | None, float | None]] = VALUE_RANGES,
+) -> DataFrame:
+    """All checks of stored cells: one row per dataset, variable and check, with ``ok``.
+
+    ``loads``: the dataset has a second step; ``missing``: the share of missing
+    cells in that step keeps the rules; ``range``: all values lie within the
+    variable's limits; ``series`` (zoom 0 only): no cell is missing between the
+    first and the last step.  Cells are aggregated once.
+    """
+    by = ["sim", "freq", "zoom"]
+    steps = cells.select(*by, "time").distinct()
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("time"))
+    second = steps.withColumn("_k", nth).filter(F.col("_k") <= 2).groupBy(*by).agg(
+        F.max("time").alias("_second"), F.count(F.lit(1)).alias("_n")
+    )
+    ends = steps.groupBy(*by).agg(F.min("time").alias("_t0"), F.max("time").alias("_t1"), F.count(F.lit(1)).alias("_nt"))
+    at_second = F.col("time") == F.col("_second")
+    inner = (F.col("time") > F.col("_t0")) & (F.col("time") < F.col("_t1"))
+    depth = F.coalesce("level", F.lit(0.0))
+    stats = cells.join(second.join(ends, by), by).groupBy(*by, "variable").agg(
+        F.max("_n").alias("n_steps"),
+        F.max("_nt").alias("_nt"),
+        F.count(F.when(at_second, F.col("value"))).alias("n_valid"),
+        F.count(F.when(inner, F.col("value"))).alias("n_inner"),
+        F.greatest(F.count_distinct(depth), F.lit(1)).alias("n_levels"),
+        F.min("value").alias("vmin"),
+        F.max("value").alias("vmax"),
+    )
+    n_cells = F.col("n_levels") * F.call_function("shiftleft", F.lit(12).cast("bigint"), 2 * F.col("zoom"))
+    stats = stats.withColumn("missing_fraction", 1 - F.col("n_valid") / n_cells)
+    ruled = missing_rules(stats, regional)
+    low, high = F.lit(None).cast("double"), F.lit(None).cast("double")
+    for name, (lo, hi) in ranges.items():
+        low = F.when(F.col("variable") == name, F.lit(lo).cast("double")).otherwise(low)
+        high = F.when(F.col("variable") == name, F.lit(hi).cast("double")).otherwise(high)
+    within = F.coalesce(F.col("vmin") >= low - RANGE_TOLERANCE, F.lit(True)) & F.coalesce(
+        F.col("vmax") <= high + RANGE_TOLERANCE, F.lit(True)
+    )
+    series = F.when(F.col("zoom") == 0, F.col("n_inner") == F.greatest(F.col("_nt") - 2, F.lit(0)) * n_cells)
+    checks = {"loads": F.col("n_steps") >= 2, "missing": F.col("failure").isNull(), "range": within, "series": series}
+    pairs = F.array(*[F.struct(F.lit(k).alias("check"), v.alias("ok")) for k, v in checks.items()])
+    return ruled.select(*by, "variable", F.inline(pairs)).filter(F.col("ok").isNotNull())
+
+
 class QualityError(ValueError):
     pass
 

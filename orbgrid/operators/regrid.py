@@ -29,6 +29,8 @@ from orbgrid.session import keep_copartitioning
 BROADCAST_WEIGHTS_BYTES = 32 << 20
 _WEIGHT_ROW_BYTES = 32
 TILE_POINTS = 64
+#: Source rows of a task of the tiled plan, about.
+TASK_ROWS = 4_000_000
 LANES = 12
 
 
@@ -144,6 +146,7 @@ def apply_weights(
     strategy: str | None = None,
     tile: int = TILE_POINTS,
     pack: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Regrid ``values`` of a field table ``(keys..., src_id, values...)``.
 
@@ -151,7 +154,9 @@ def apply_weights(
     together with the point they are unique.  ``pack`` names an integer one
     (such as a time index) whose consecutive values the tiled plan handles
     side by side.  Only cells with a value are returned; missing cells are
-    absent rows.
+    absent rows.  ``rows`` is about how many rows the field has, where that is
+    known (fields x steps x points): the tiled plan then makes as many tasks as that needs, and
+    splits its tiles by the other keys accordingly.
     """
     if strategy is None:
         small = 3 * n_targets * _WEIGHT_ROW_BYTES <= BROADCAST_WEIGHTS_BYTES
@@ -159,7 +164,9 @@ def apply_weights(
     if strategy == "broadcast":
         return _apply_broadcast(field, weights, keys, values)
     keep_copartitioning(field.sparkSession)
-    partitions = int(field.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(
+        int(field.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // TASK_ROWS)
+    )
     return _apply_tiled(field, weights, keys, values, grid, tile, partitions, pack)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("queries_grid", "queries_time", "queries_checks")
+_MODULES = ("queries_grid", "queries_time", "queries_checks", "queries_more")
 
 
 def load_queries():

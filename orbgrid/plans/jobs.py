@@ -198,7 +198,10 @@ def regrid_group(
             long = map_variables(source, specs, keys)
         weights = cached_weights(store, grid, zoom)
         field = grid.with_src_id(long)
-        parts.append(apply_weights(field, weights, grid, npix(zoom), out_keys, ["value"], pack="time_idx"))
+        steps = int(CYCLE_HOURS * 3600 // group.axis.step.total_seconds())
+        levels = len(PRESSURE_LEVELS_HPA) if group.store == "PT3H" else 1
+        rows = None if max_series is None else max_series * steps * levels * grid.size
+        parts.append(apply_weights(field, weights, grid, npix(zoom), out_keys, ["value"], pack="time_idx", rows=rows))
     start = F.lit(group.axis.start).cast("timestamp_ntz")
     hours = F.timestamp_diff("HOUR", start, F.col("cycle"))
     return reduce(DataFrame.unionByName, parts).withColumns(
