@@ -16,6 +16,10 @@ PRESSURE_LEVELS_HPA = (
 )
 
 
+#: Points of an axis without equal spacing.
+MAX_POINTS = 100_000
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -125,12 +129,67 @@ class GridAxis:
         return F.pmod(raw, F.lit(self.size)) if self.cyclic else raw
 
 
+@dataclass(frozen=True)
+class IrregularAxis:
+    """A grid axis given by its points, ascending or descending.
+
+    ``cyclic`` closes a longitude circle, as for ``GridAxis``.
+    """
+
+    values: tuple[float, ...]
+    cyclic: bool = False
+
+    @property
+    def start(self) -> float:
+        return self.values[0]
+
+    @property
+    def last(self) -> float:
+        return self.values[-1]
+
+    @property
+    def size(self) -> int:
+        return len(self.values)
+
+    def position(self, x: Column | str) -> Column:
+        """Fractional index, NULL outside the axis; rounded as that of ``GridAxis``.
+
+        The points are a literal that is searched by halving.
+        """
+        sign = 1.0 if self.values[-1] > self.values[0] else -1.0
+        nodes = [sign * float(v) for v in self.values]
+        x = _col(x) * F.lit(sign)
+        if self.cyclic:
+            nodes.append(nodes[0] + 360.0)
+            x = F.pmod(x - F.lit(nodes[0]), F.lit(360.0)) + F.lit(nodes[0])
+        points, last = F.array(*[F.lit(v) for v in nodes]), len(nodes) - 1
+
+        def halve(s: Column, _: Column) -> Column:
+            middle = F.call_function("div", s["lo"] + s["hi"], F.lit(2)).cast("int")
+            right = F.get(points, middle) <= x
+            return F.struct(F.when(right, middle).otherwise(s["lo"]).alias("lo"), F.when(right, s["hi"]).otherwise(middle).alias("hi"))
+
+        whole = F.struct(F.lit(0).alias("lo"), F.lit(last).alias("hi"))
+        below = F.aggregate(F.sequence(F.lit(1), F.lit(max(last, 1).bit_length())), whole, halve, lambda s: s["lo"])
+        # Only points of the axis itself are searched, so the next one is there.
+        at = F.get(points, below)
+        within = (x - at) / (F.get(points, F.least(below + 1, F.lit(last))) - at)
+        inside = (x >= F.lit(nodes[0])) & (x < F.lit(nodes[-1]))
+        out = F.when(inside, F.round(below + within, 12))
+        return out if self.cyclic else out.when(x == F.lit(nodes[-1]), F.lit(float(last)))
+
+    def index_of(self, x: Column | str) -> Column:
+        """Grid index of a coordinate that lies on the axis."""
+        at = F.round(self.position(x)).cast("bigint")
+        return F.pmod(at, F.lit(self.size)) if self.cyclic else at
+
+
 @dataclass(frozen=True)
 class LatLonGrid:
     """A rectilinear grid; points are numbered ``lat_index * n_lon + lon_index``."""
 
-    lat: GridAxis
-    lon: GridAxis
+    lat: GridAxis | IrregularAxis
+    lon: GridAxis | IrregularAxis
     regional: bool = False
 
     @property
@@ -158,10 +217,11 @@ class LatLonGrid:
 def detect_grid(df: DataFrame, lat: str = "lat", lon: str = "lon", regional: bool = False) -> LatLonGrid:
     """Read the two axes off a field table.
 
-    Only the axis ends and lengths come back to the driver.  Raises when an
-    axis is not equally spaced.  Whole circles are recognised as cyclic.
+    Of equally spaced axes only the ends and lengths come back to the driver,
+    of others the points (``MAX_POINTS`` at most).  Whole circles are
+    recognised as cyclic.
     """
-    axes = []
+    axes: list = []
     for name in (lat, lon):
         values = df.select(F.col(name).alias("x")).distinct()
         ends = values.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.count("x").alias("n")).first()
@@ -170,9 +230,14 @@ def detect_grid(df: DataFrame, lat: str = "lat", lon: str = "lon", regional: boo
         step = (ends.b - ends.a) / (ends.n - 1)
         pos = (F.col("x") - F.lit(ends.a)) / F.lit(step)
         off = values.agg(F.max(F.abs(pos - F.round(pos))).alias("off")).first().off
-        if off > 1e-3:
-            raise ValueError(f"axis {name} is not equally spaced")
-        axes.append((ends.a, step, ends.n))
-    (lat0, dlat, nlat), (lon0, dlon, nlon) = axes
-    cyclic = not regional and abs(dlon * nlon - 360.0) < 1e-6 * 360.0
-    return LatLonGrid(GridAxis(lat0, dlat, nlat), GridAxis(lon0, dlon, nlon, cyclic), regional)
+        whole = not regional and name == lon
+        if off <= 1e-3:
+            axes.append(GridAxis(ends.a, step, ends.n, whole and abs(step * ends.n - 360.0) < 1e-6 * 360.0))
+            continue
+        if ends.n > MAX_POINTS:
+            raise ValueError(f"axis {name} has {ends.n} points without equal spacing")
+        points = [r.x for r in values.filter(F.col("x").isNotNull()).orderBy("x").collect()]
+        widest = max(b - a for a, b in zip(points, points[1:]))
+        # A circle is whole when the way round is no longer than the widest step.
+        axes.append(IrregularAxis(tuple(points), whole and 0 < 360.0 - (points[-1] - points[0]) <= 1.001 * widest))
+    return LatLonGrid(*axes, regional)

@@ -130,6 +130,15 @@ def time_chunk(zoom: int, regional: bool = False) -> int:
     return 4 ** max(3, 8 - zoom)
 
 
+def work_chunk(zoom: int, regional: bool = False) -> int:
+    """Steps that are coarsened and replaced together: whole time chunks, 64 steps at least.
+
+    The finest zooms have chunks of a step or a few; a folder for each would
+    make hundreds of thousands.
+    """
+    return max(time_chunk(zoom, regional), 64)
+
+
 def space_chunk(zoom: int, regional: bool = False) -> int:
     """Cells per spatial chunk."""
     if zoom <= 5:

@@ -32,11 +32,11 @@ from orbgrid.operators.regional import active_cells, gather_regional
 from orbgrid.operators.regrid import apply_weights, regrid
 from orbgrid.operators.timeline import settle_times, snap_time
 from orbgrid.operators.vertical import interpolate_levels
-from orbgrid.plans.config import MODEL_LEVEL_PRESSURE, Experiment, GroupSpec, space_chunk, time_chunk
+from orbgrid.plans.config import MODEL_LEVEL_PRESSURE, Experiment, GroupSpec, space_chunk, work_chunk
 from orbgrid.sources.manifest import coverage_gate
 from orbgrid.sources.store import CellStore, cached_weights, dataset_metadata
 
-DONE_SCHEMA = "cycle timestamp_ntz, task string, sim string, part string"
+DONE_SCHEMA = "cycle timestamp_ntz, part string, task string, sim string"
 CYCLE_HOURS = 12
 DIMS_STORE = {"2d": "PT1H", "3d": "PT3H"}
 
@@ -46,13 +46,13 @@ DIMS_STORE = {"2d": "PT1H", "3d": "PT3H"}
 
 def done_cycles(store: CellStore, sim: str) -> DataFrame:
     done = store.read_table("done", DONE_SCHEMA)
-    return done.filter((F.col("task") == "regrid") & (F.col("sim") == sim)).select("sim", "cycle")
+    return done.filter((F.col("task") == "regrid") & (F.col("sim") == sim)).select("sim", "cycle").distinct()
 
 
 def mark_done(store: CellStore, task: str, sim: str, rows: DataFrame, part: str) -> None:
-    """``rows`` holds ``cycle`` (or nothing of interest) and a ``part`` column."""
-    out = rows.select(F.col("cycle"), F.lit(task).alias("task"), F.lit(sim).alias("sim"), F.col(part).alias("part"))
-    store.write_table(out, "done", ["task", "sim", "part"])
+    """``rows`` holds ``cycle`` (or nothing of interest) and a ``part`` column; one file for all of them."""
+    out = rows.select(F.col("cycle"), F.col(part).alias("part"), F.lit(task).alias("task"), F.lit(sim).alias("sim"))
+    store.append_table(out, "done", ["task", "sim"])
 
 
 # --- regridding --------------------------------------------------------------
@@ -398,12 +398,12 @@ def _done_parts(store: CellStore, task: str, sim: str) -> set[int]:
 
 def _source_blocks(chunk: int, zoom: int, experiment: Experiment, step_hours: int) -> tuple[int, int]:
     """First and last block one zoom up that can hold steps of a time chunk."""
-    size = time_chunk(zoom, experiment.regional)
+    size = work_chunk(zoom, experiment.regional)
     first, last = chunk * size, (chunk + 1) * size - 1
     if zoom + 1 == experiment.max_zoom:
         # A cycle may hold the stamp of the hour its successor starts with.
         return max(0, first * step_hours // CYCLE_HOURS - 1), last * step_hours // CYCLE_HOURS
-    finer = time_chunk(zoom + 1, experiment.regional)
+    finer = work_chunk(zoom + 1, experiment.regional)
     return first // finer, last // finer
 
 
@@ -416,7 +416,7 @@ def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int,
     """
     spark, sim, freq = store.spark, experiment.key, DIMS_STORE[dim]
     axis = next(g.axis for g in experiment.groups if g.store == freq)
-    size = time_chunk(zoom, experiment.regional)
+    size = work_chunk(zoom, experiment.regional)
     task = f"coarsen_{dim}_z{zoom}"
     cycles = done_cycles(store, sim)
     if end is not None:
@@ -427,7 +427,7 @@ def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int,
     done = _done_parts(store, task, sim)
     chunks = sorted({r.chunk for r in gate.select("chunk").collect()} - done)  # at most one per step of the axis
     if zoom + 1 < experiment.max_zoom:
-        finer, size_there = _done_parts(store, f"coarsen_{dim}_z{zoom + 1}", sim), time_chunk(zoom + 1, experiment.regional)
+        finer, size_there = _done_parts(store, f"coarsen_{dim}_z{zoom + 1}", sim), work_chunk(zoom + 1, experiment.regional)
         last = (axis.size - 2) // size_there
         chunks = [
             c
@@ -503,5 +503,5 @@ def total_chunks(experiment: Experiment) -> int:
     for freq in DIMS_STORE.values():
         axis = next((g.axis for g in experiment.groups if g.store == freq), None)
         if axis is not None:
-            total += sum(-(-axis.size // time_chunk(z, experiment.regional)) for z in range(experiment.max_zoom))
+            total += sum(-(-axis.size // work_chunk(z, experiment.regional)) for z in range(experiment.max_zoom))
     return total

@@ -7,12 +7,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.functions.axes import floor_hours
+from orbgrid.functions.axes import IrregularAxis, floor_hours
 from orbgrid.functions.healpix import zoom_from_nside
 from orbgrid.operators import mapping as mp
 from orbgrid.operators import quality as ql
 from orbgrid.operators.mapping import FieldRule, VariableSpec, inventory
 from orbgrid.operators.timeline import snapshot
+from orbgrid.operators.weights import build_weights, explode_corners
 from orbgrid.plans import jobs
 from orbgrid.plans.inputs import CELLS_SQL, GRID, SOURCES_SQL, ZOOM, cells, sources, table, weights_sql
 from orbgrid.plans.queries_checks import _DEMO, _K, _SNAP_SQL, NPIX, _stored
@@ -123,6 +124,24 @@ def weight_cache(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("healpix_index", "src_id", F.round("w", 9).alias("w")).join(F.broadcast(n))
 
 
+_UNEVEN = tuple(-85.0 + 10.0 * j + (0.0, 2.5, -1.5)[j % 3] for j in range(18))
+_UNEVEN_GRID = replace(GRID, lat=IrregularAxis(_UNEVEN))
+_STEPS_SQL = ", ".join(f"({j}, {a}e0, {b}e0)" for j, (a, b) in enumerate(zip(_UNEVEN, _UNEVEN[1:])))
+_EVEN_Y = f"round((lat - ({GRID.lat.start}e0)) / {GRID.lat.step}e0, 12) AS y"
+_UNEVEN_Y = "(SELECT round(k + (lat - a) / (b - a), 12) FROM ax WHERE lat >= a AND lat < b) AS y"
+
+
+@register(
+    f"""WITH ax(k, a, b) AS (VALUES {_STEPS_SQL}), {weights_sql(GRID, ZOOM).replace(_EVEN_Y, _UNEVEN_Y)}
+SELECT healpix_index, src_id, round(w, 6) AS w, (SELECT count(*) FROM nation) AS n FROM wts"""
+)
+def weights_irregular(spark: SparkSession, d: str) -> DataFrame:
+    """Weights from a grid whose rows are not equally spaced."""
+    n = table(spark, d, "nation").agg(F.count(F.lit(1)).alias("n"))  # one row
+    long = explode_corners(build_weights(spark, _UNEVEN_GRID, ZOOM))
+    return long.select("healpix_index", "src_id", F.round("w", 6).alias("w")).join(F.broadcast(n))
+
+
 @register(
     """SELECT time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '2000-01-01')::TIMESTAMP AS cycle, count(DISTINCT event_type) AS n_files
 FROM events WHERE event_type <> 'error' GROUP BY 1"""
@@ -134,5 +153,5 @@ def discovered_cycles(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "error", "apvere").otherwise(F.col("event_type"))
     stem = F.concat(F.lit("run."), kind, F.lit("_"), F.date_format("ts", "yyyyMMdd'T'HH"))
     ev.select(F.lit("x").alias("value"), stem.alias("stem")).distinct().write.partitionBy("stem").text(root)
-    found = mf.list_files(spark, root, "*.txt").withColumn("stem", F.regexp_extract("path", "stem=([^/]+)/", 1))
+    found = mf.list_files(spark, root, "*.txt", folders="stem=run*").withColumn("stem", F.regexp_extract("path", "stem=([^/]+)/", 1))
     return mf.file_cycles(found).groupBy("cycle").agg(F.count_distinct("stem").alias("n_files"))

@@ -11,13 +11,17 @@ from orbgrid.functions.axes import TimeAxis, floor_hours, parse_cycle
 IGNORED_STREAM = "apvere"
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*.pp") -> DataFrame:
-    """Files under ``root`` as ``path, stem``; contents are not read."""
+def list_files(spark: SparkSession, root: str, pattern: str = "*.pp", folders: str | None = None) -> DataFrame:
+    """Files under ``root`` as ``path, stem``; contents are not read.
+
+    ``folders`` is a pattern for the folders directly below ``root`` that
+    hold streams, such as ``apve*``; others are not listed.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(root if folders is None else f"{root.rstrip('/')}/{folders}")
         .select("path")
     )
     return files.withColumn("stem", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))

@@ -141,6 +141,10 @@ class CellStore:
     def write_table(self, df: DataFrame, name: str, partitions: list[str]) -> None:
         overwrite_partitions(df, f"{self.root}/{name}", partitions)
 
+    def append_table(self, df: DataFrame, name: str, partitions: list[str]) -> None:
+        """Add rows in one file a call and partition; a repeated call repeats them."""
+        df.coalesce(1).write.mode("append").partitionBy(*partitions).parquet(f"{self.root}/{name}")
+
     def read_table(self, name: str, schema) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/{name}", schema)
 

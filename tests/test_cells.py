@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orbgrid.functions.axes import GridAxis, LatLonGrid, detect_grid
+from orbgrid.functions.axes import GridAxis, IrregularAxis, LatLonGrid, detect_grid
 from orbgrid.functions.healpix import chunk_id, npix, parent, with_lonlat, zoom_from_nside
 from orbgrid.operators.regional import active_cells, cells_in_extent
 from orbgrid.operators.regrid import apply_weights, regrid
@@ -140,8 +140,36 @@ def test_missing_corner_makes_cell_missing(spark):
 def test_grid_is_read_from_the_field(spark):
     assert detect_grid(grid_field(spark, GLOBAL, F.lit(0.0))) == GLOBAL
     uneven = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (3.0, 2.0)], "lat double, lon double")
-    with pytest.raises(ValueError):
-        detect_grid(uneven)
+    assert detect_grid(uneven) == LatLonGrid(IrregularAxis((0.0, 1.0, 3.0)), GridAxis(0.0, 1.0, 3))
+    lons = [0.0, 100.0, 180.0, 290.0]
+    circle = spark.createDataFrame([(float(k), x) for k in range(3) for x in lons], "lat double, lon double")
+    assert detect_grid(circle).lon == IrregularAxis(tuple(lons), cyclic=True)
+
+
+def test_irregular_axes_find_positions(spark):
+    xs = [-1.0, 0.0, 0.5, 1.0, 2.9, 3.0, 6.999, 7.0, 7.1, 359.0, 365.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    points = (0.0, 1.0, 3.0, 7.0)
+
+    def plain(x):
+        k = next((k for k in range(3) if points[k] <= x < points[k + 1]), None)
+        return 3.0 if x == 7.0 else None if k is None else round(k + (x - points[k]) / (points[k + 1] - points[k]), 12)
+
+    assert [r[0] for r in df.select(IrregularAxis(points).position("x")).collect()] == [plain(x) for x in xs]
+    down = [r[0] for r in df.select(IrregularAxis(points[::-1]).position("x")).collect()]
+    assert down == [None if plain(x) is None else pytest.approx(3 - plain(x), abs=1e-12) for x in xs]
+    even, odd = GridAxis(10.0, 90.0, 4, cyclic=True), IrregularAxis((10.0, 100.0, 190.0, 280.0), cyclic=True)
+    assert df.filter(even.position("x") != odd.position("x")).count() == 0
+    assert df.limit(0).select(odd.index_of("x")).count() == 0
+
+
+def test_uneven_rows_keep_linear_fields(spark):
+    rows = tuple(-80.0 + 8.0 * k + (k % 2) * 3.0 for k in range(21))
+    grid = LatLonGrid(IrregularAxis(rows), GLOBAL.lon)
+    field = grid_field(spark, GLOBAL, F.lit(0.0)).select("time", "lon").distinct()
+    field = field.crossJoin(spark.createDataFrame([(y,) for y in rows], "lat double")).withColumn("v", 2 * F.col("lat") + 1)
+    out = with_lonlat(regrid(field, grid, 3, ["time"], ["v"]), 3)
+    assert out.count() > 0 and out.filter(F.abs(F.col("v") - 2 * F.col("lat") - 1) > 1e-9).count() == 0
 
 
 def test_active_cells_are_whole_chunks(spark):

@@ -361,17 +361,17 @@ def test_metadata_merges_last_wins(spark):
 def test_source_blocks_cover_their_chunk():
     exp = config.EXPERIMENTS["glm.n1280_CoMA9"]
     for zoom in range(8, -1, -1):
-        size = config.time_chunk(zoom)
+        size = config.work_chunk(zoom)
         for chunk in (0, 1, 7):
             lo, hi = jobs._source_blocks(chunk, zoom, exp, 1)
             if zoom == 8:
                 assert lo * 12 <= chunk * size and (hi + 1) * 12 >= (chunk + 1) * size
             else:
-                finer = config.time_chunk(zoom + 1)
+                finer = config.work_chunk(zoom + 1)
                 assert lo * finer <= chunk * size and (hi + 1) * finer >= (chunk + 1) * size
 
 
 def test_total_chunks_counts_both_stores():
     exp = config.EXPERIMENTS["glm.n1280_CoMA9"]
-    want = sum(-(-n // config.time_chunk(z)) for n in (9745, 3249) for z in range(9))
+    want = sum(-(-n // config.work_chunk(z)) for n in (9745, 3249) for z in range(9))
     assert jobs.total_chunks(exp) == want
