@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -43,7 +44,7 @@ BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 21
 LEVEL = 3
 #: Characters that are split into words at a time, and words whose ids a worker remembers.
-PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 20, 400_000, 64
+PIECE_CHARS, MEMO_WORDS, MEMO_CHARS = 1 << 22, 400_000, 64
 #: Marks that end words.
 _MARKS = ".,!?;:%$#&*|"
 
@@ -228,31 +229,43 @@ class WordEncoder:
             known[w] = known[stem] + known[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+        """Little-endian 32-bit ids of each text.
+
+        Words are split and told apart by Arrow; Python sees the distinct ones of a group of texts.
+        """
         if not self.by_word:
             return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        new = {w for words, got in zip(split, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
+        words = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        learned = self._remember(distinct)
+        blobs = list(map(self.known.__getitem__, distinct))
+        for w in learned:
+            if len(w) > MEMO_CHARS:
+                self.known.pop(w, None)
+                self.known.pop(w.rstrip(_MARKS), None)
+        # Every word's ids, in order: gathered from those of the distinct words.
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        starts = np.cumsum(sizes) - sizes
+        own = sizes[which]
+        ends = np.cumsum(own)
+        ids = np.frombuffer(b"".join(blobs), "<u4")[np.repeat(starts[which] - (ends - own), own) + np.arange(own.sum())]
+        cuts = np.concatenate([[0], ends])[words.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _remember(self, words: list[str]) -> set[str]:
+        """See to it that all ``words`` are known; returns those that weren't."""
+        new = {w for w in words if w not in self.known}
         if len(self.known) + len(new) > MEMO_WORDS:
             self.known, self.older = {"": b""}, self.known
-        known, older, out = self.known, self.older, []
+            new = {w for w in words if w}
+        known, older = self.known, self.older
         back = {w for w in new if w in older}
         for w in back:
             known[w] = older[w]
         new -= back
         self._learn(new)
-        for words, got in zip(split, found, strict=True):
-            if None in got:
-                got = [known[w] if x is None else x for w, x in zip(words, got, strict=True)]
-            out.append(b"".join(got))
-        for w in new:
-            if len(w) > MEMO_CHARS:
-                known.pop(w, None)
-                if len(stem := w.rstrip(_MARKS)) > MEMO_CHARS:
-                    known.pop(stem, None)
-        return out
+        return new
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -310,7 +323,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, kind: str):
             ids, parts, size, seq = [], [], 0, seq + 1
             return pa.RecordBatch.from_pydict(row, schema=_MANIFEST)
 
-        for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
+        for batch in (b.slice(at, 2000) for b in batches for at in range(0, b.num_rows, 2000)):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc, got in zip(batch.column("doc_id").to_pylist(), encode_whole(encoder, texts), strict=True):
                 ids.append(doc)
