@@ -26,7 +26,8 @@ def period(sources: DataFrame) -> DataFrame:
     The period is a fold over Q slots in one row; more than ``MAX_TICKETS``
     tickets in all stop the job.
     """
-    one = sources.agg(F.array_sort(F.collect_list(F.struct("source", "tickets"))).alias("s")).withColumn(
+    # More sources than tickets can be are cut off, and then stop the job below.
+    one = sources.limit(MAX_TICKETS + 1).agg(F.array_sort(F.collect_list(F.struct("source", "tickets"))).alias("s")).withColumn(
         "q", F.coalesce(F.aggregate("s", F.lit(0).cast("long"), lambda x, s: x + s["tickets"]), F.lit(0).cast("long"))
     )
     one = one.where(F.size("s") > 0).withColumn(
@@ -51,9 +52,16 @@ def period(sources: DataFrame) -> DataFrame:
                 lambda i: F.struct(F.call_function("div", (done(i) + 1) * q + share(i) - 1, share(i)).alias("d"), i.alias("i")),
             )
         )["i"]
-        return F.struct(
-            F.transform(state["done"], lambda x, i: x + F.when(i == pick, 1).otherwise(0)).alias("done"),
-            F.concat(state["out"], F.array(F.struct(pick.alias("i"), done(pick).alias("k"), t.alias("t")))).alias("out"),
+        # Through an array of one, so that the choice is made once and then used by name.
+        return F.get(
+            F.transform(
+                F.array(pick),
+                lambda p: F.struct(
+                    F.transform(state["done"], lambda x, i: x + F.when(i == p, 1).otherwise(0)).alias("done"),
+                    F.concat(state["out"], F.array(F.struct(p.alias("i"), done(p).alias("k"), t.alias("t")))).alias("out"),
+                ),
+            ),
+            F.lit(0),
         )
 
     start = F.struct(
