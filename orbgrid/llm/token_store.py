@@ -191,43 +191,45 @@ class WordEncoder:
         self.by_word = (made["normalizer"], made["pre_tokenizer"], made["model"]["end_of_word_suffix"]) == _BY_WORD
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
-    def _library(self, words: list[str]) -> None:
-        """Plain words go to the library's BPE at once, others through its whole chain."""
-        known, tokenize, others = self.known, self.tokenizer.model.tokenize, []
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) > MEMO_WORDS // 8:
+                self.tails = {}
+            self.tails[marks] = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+        return self.tails[marks]
+
+    def _learn(self, words: list[str]) -> None:
+        """Plain words go to the library's BPE at once, others through its whole chain.
+
+        Marks at the end of a plain word are cut off, as the tokenizer does;
+        so the many words that differ by a comma or a capital are encoded once.
+        """
+        known, older, tokenize, others = self.known, self.older, self.tokenizer.model.tokenize, []
         for w in words:
-            if _PLAIN(w):
-                byte_level = w.lower().encode().decode("latin-1").translate(_BYTE_LEVEL)
-                known[w] = array("I", [t.id for t in tokenize(byte_level)]).tobytes()
+            got = older.get(w)
+            if got is not None:
+                known[w] = got
+                continue
+            stem = w.rstrip(_MARKS) if w[-1] in _MARKS else w
+            low = stem.lower()
+            if low.isascii() and low.isalpha():
+                byte_level = low
+            elif _PLAIN(stem):
+                byte_level = low.encode().decode("latin-1").translate(_BYTE_LEVEL)
             else:
                 others.append(w)
+                continue
+            got = known.get(low)
+            if got is None:
+                got = known[low] = array("I", [t.id for t in tokenize(byte_level)]).tobytes()
+            known[w] = got if stem is w else got + self._tail(w[len(stem) :])
         for at in range(0, len(others), 4096):
             part = others[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = array("I", e.ids).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Marks at the end of a word are cut off where a Latin letter or digit comes before them.
-
-        The tokenizer cuts there, too; so the many words that differ by a comma are encoded once.
-        """
-        whole, cut = set(), []
-        for w in words:
-            stem = w.rstrip(_MARKS)
-            if stem != w and stem and stem[-1] < "\u0100" and stem[-1].isalnum():
-                cut.append((w, stem, w[len(stem) :]))
-                whole.update((stem, w[len(stem) :]))
-            else:
-                whole.add(w)
-        known = self.known
-        older = self.older
-        for w in whole:
-            if w in older:
-                known[w] = older[w]
-        self._library([w for w in whole if w not in known])
-        for w, stem, marks in cut:
-            known[w] = known[stem] + known[marks]
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text.
 
@@ -243,7 +245,7 @@ class WordEncoder:
         for w in learned:
             if len(w) > MEMO_CHARS:
                 self.known.pop(w, None)
-                self.known.pop(w.rstrip(_MARKS), None)
+                self.known.pop(w.rstrip(_MARKS).lower(), None)
         # Every word's ids, in order: gathered from those of the distinct words.
         sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
         starts = np.cumsum(sizes) - sizes
@@ -253,17 +255,12 @@ class WordEncoder:
         cuts = np.concatenate([[0], ends])[words.offsets.to_numpy()].tolist()
         return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def _remember(self, words: list[str]) -> set[str]:
-        """See to it that all ``words`` are known; returns those that weren't."""
-        new = {w for w in words if w not in self.known}
+    def _remember(self, words: list[str]) -> list[str]:
+        """See to it that all ``words`` (distinct) are known; returns those that weren't."""
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > MEMO_WORDS:
             self.known, self.older = {"": b""}, self.known
-            new = {w for w in words if w}
-        known, older = self.known, self.older
-        back = {w for w in new if w in older}
-        for w in back:
-            known[w] = older[w]
-        new -= back
+            new = [w for w in words if w]
         self._learn(new)
         return new
 
