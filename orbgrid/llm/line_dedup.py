@@ -1,9 +1,8 @@
-"""Fuzzy line dedup: SimHash of normalised lines (distinct words), pigeonhole blocks, edit similarity, one line per group."""
+"""Fuzzy line dedup: MinHash bands and SimHashes of the words find candidates, edit similarity decides, one line per group."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +16,12 @@ from orbgrid.llm.simhash import link_fingerprints
 
 #: Shorter lines (headings, answers) repeat by right and are left alone.
 MIN_WORDS = 5
-#: Lines link at so many differing SimHash bits, or fewer, and this edit similarity, or more.
-RADIUS, SIMILARITY = 3, 0.8
-#: Five blocks; three errors leave two of them clean.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Lines link at this edit similarity, or more, of the normalised lines.
+SIMILARITY = 0.8
+#: Candidates share a band of ROWS MinHashes, one of BANDS, and differ in at most so many SimHash bits.
+BANDS, ROWS, RADIUS = 16, 4, 20
+#: Shorter words (bytes; mostly articles) are no features where MIN_WORDS others remain.
+LONG_BYTES = 4
 #: Lines of one group that a task compares at once; larger groups are cut into slices.
 GROUP_LINES = 1024
 #: Rows of keys (8 bytes and an id) up to which they are broadcast; more are joined by shuffle.
@@ -29,19 +30,23 @@ BROADCAST_KEYS = 500_000
 #: Characters of text that a task hashes at once (a longer text goes alone).
 CHUNK_CHARS = 1 << 20
 
-# ASCII marks, controls and white space (but the line end) as a space, digits as 0.
+# ASCII marks, controls and white space (but the line end) as a space.
 _PLAIN = bytes(48 if 48 <= b < 58 else b if b == 10 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
+#: Multipliers of the MinHashes.
+_MINS = np.random.default_rng(977).integers(0, 1 << 31, BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+
+
 def normalise(line: str) -> str:
-    """Lower case, each digit as 0; ASCII marks and white space only separate words."""
-    return b" ".join(_flat(line).split()).decode("utf-8", "surrogatepass")
+    """The words of a line: lower case; ASCII marks and white space only separate them."""
+    return b" ".join(_lower(line).translate(_PLAIN).split()).decode("utf-8", "surrogatepass")
 
 
-def _flat(text: str) -> bytes:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
+def _lower(text: str) -> bytes:
+    return text.lower().encode("utf-8", "surrogatepass")
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -71,52 +76,85 @@ def _vote(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * votes > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
 
 
-def hash_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Of the lines of all texts, one after another: numbers of those that count, digests, SimHashes.
+def _words(raw: bytes) -> tuple[np.ndarray, ...]:
+    """Of lower-cased lines: numbers of those that count; start, end and line of their words, hashes, distinct ones.
 
     Words are found and hashed in one pass over the bytes (a polynomial whose
-    prefix sums give the hash of any stretch, then mixed).  Each distinct word
-    of a line votes once: an article that fills half a line would otherwise
-    decide all its bits, and unrelated lines would meet.
+    prefix sums give the hash of any stretch, then mixed).
     """
-    raw = _flat("\n".join(texts))
-    data = np.frombuffer(raw, np.uint8)
+    data = np.frombuffer(raw.translate(_PLAIN), np.uint8)
     end = data == 10
-    blank = end | (data == 32)
-    edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+    edge = np.diff(np.concatenate([[True], end | (data == 32), [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     line = np.concatenate([[0], np.cumsum(end)])[starts]
     counts = np.bincount(line, minlength=raw.count(b"\n") + 1)
     numbers = np.flatnonzero(counts >= MIN_WORDS)
-    if not len(numbers):
-        return numbers, [], np.zeros(0, np.int64)
     counted = (counts >= MIN_WORDS)[line]
     starts, ends, line = starts[counted], ends[counted], line[counted]
 
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, len(data) - 1), out=sums[1:])
+    if len(numbers):
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, len(data) - 1), out=sums[1:])
     words = _mixed((sums[ends] - sums[starts]) * _powers(_ODD_INVERSE, len(data))[starts])
     order = np.argsort(_mixed(words + line.astype(np.uint64) * np.uint64(_ODD)), kind="stable")
     again = np.concatenate([[False], (words[order][1:] == words[order][:-1]) & (line[order][1:] == line[order][:-1])])
-    once = np.sort(order[~again])
-    sims = _vote(words[once], np.bincount(line[once], minlength=len(counts))[numbers])
+    return numbers, starts, ends, line, words, np.sort(order[~again] if len(order) else order)
+
+
+def hash_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Of the lines of all texts, one after another: numbers of those that count, digests of their words, SimHashes.
+
+    Each distinct word of a line votes once: an article that fills half a
+    line would otherwise decide all its bits, and unrelated lines would meet.
+    """
+    raw = _lower("\n".join(texts))
+    numbers, starts, ends, line, words, once = _words(raw)
+    if not len(numbers):
+        return numbers, [], np.zeros(0, np.int64)
+    sims = _vote(words[once], np.bincount(line[once])[numbers])
+    own = np.split(np.arange(len(line)), np.flatnonzero(np.diff(line)) + 1)
+    return numbers, [xxhash.xxh3_128_digest(b" ".join([raw[starts[w] : ends[w]] for w in ws])) for ws in own], sims
 
-    # What is left of the lines with one space between words.
-    keep = ~blank
-    inner = np.concatenate([[False], line[1:] == line[:-1]])
-    keep[starts[inner] - 1] = True
-    left, kept = data[keep].tobytes(), np.cumsum(keep)
-    heads = np.flatnonzero(~inner)
-    begins, stops = kept[starts[heads]] - 1, kept[ends[np.concatenate([heads[1:], [len(line)]]) - 1] - 1]
-    digests = [xxhash.xxh3_128_digest(left[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
-    return numbers, digests, sims
+
+def describe_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """As ``hash_lines``, but SimHashes of their features, and MinHash bands.
+
+    Features are the distinct words; short ones only where few are long.
+    """
+    raw = _lower("\n".join(texts))
+    numbers, starts, ends, line, words, once = _words(raw)
+    if not len(numbers):
+        return numbers, [], np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint32)
+    breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+    begins = np.concatenate([[0], breaks + 1])[numbers].tolist()
+    stops = np.concatenate([breaks, [len(raw)]])[numbers].tolist()
+    digests = [xxhash.xxh3_128_digest(b" ".join(raw[a:b].translate(_PLAIN).split())) for a, b in zip(begins, stops, strict=True)]
+
+    long = (ends - starts)[once] >= LONG_BYTES
+    enough = np.bincount(line[once][long], minlength=numbers[-1] + 1) >= MIN_WORDS
+    once = once[long | ~enough[line[once]]]
+    sizes = np.bincount(line[once])[numbers]
+    features, heads = (words[once] >> np.uint64(32)).astype(np.uint32), np.cumsum(sizes) - sizes
+    bands = np.zeros((len(numbers), BANDS), np.uint32)
+    for k in range(BANDS):
+        key = np.zeros(len(numbers), np.uint64)
+        for m in _MINS[k * ROWS : (k + 1) * ROWS]:
+            key = key * np.uint64(_ODD) + np.minimum.reduceat(features * m, heads)
+        bands[:, k] = _mixed(key) >> np.uint64(32)
+    return numbers, digests, _vote(words[once], sizes), bands
+
+
+def _binaries(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    kind = pa.binary(rows.shape[1] * rows.itemsize)
+    return pa.FixedSizeBinaryArray.from_buffers(kind, len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text the lines that count: row, line number, 128-bit hash, SimHash."""
+    """Of each text the lines that count: row, line number, 128-bit hash, SimHash, bands."""
 
     def done(batch: pa.RecordBatch, at: list[int], texts: list[str]) -> pa.RecordBatch:
-        numbers, digests, sims = hash_lines(texts)
+        numbers, digests, sims, bands = describe_lines(texts)
         own = np.array([t.count("\n") + 1 for t in texts])
         text_of = np.repeat(np.arange(len(texts)), own)[numbers]
         inside = numbers - (np.cumsum(own) - own)[text_of]
@@ -124,9 +162,9 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").take(where), batch.column("_row").take(where), pa.array(inside.astype(np.int32)),
-                pa.array(digests, pa.binary()), pa.array(sims),
+                pa.array(digests, pa.binary()), pa.array(sims), _binaries(bands),
             ],
-            ["doc_id", "_row", "line", "h", "sim"],
+            ["doc_id", "_row", "line", "h", "sim", "bands"],
         )
 
     for batch in batches:
@@ -145,23 +183,15 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield done(batch, at, texts)
 
 
-def block_keys(sims: np.ndarray) -> np.ndarray:
-    """A row of keys for each SimHash, one for each pair of blocks."""
-    wide = sims.view(np.uint64)
-    parts = [((wide >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in BLOCKS]
-    pairs = list(combinations(range(len(BLOCKS)), 2))
-    return np.stack([k << 40 | parts[i] << 13 | parts[j] for k, (i, j) in enumerate(pairs)], axis=1)
-
-
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each SimHash and band."""
     for batch in batches:
-        sims = batch.column("fp").to_numpy(zero_copy_only=False)
-        for at in range(0, len(sims), 20_000):
-            part = sims[at : at + 20_000]
-            keys = block_keys(part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), pa.array(np.repeat(part, keys.shape[1]))], ["key", "fp"]
-            )
+        for at in range(0, batch.num_rows, 20_000):
+            part = batch.slice(at, 20_000)
+            sims = part.column("fp").to_numpy(zero_copy_only=False)
+            bands = np.frombuffer(b"".join(part.column("bands").to_pylist()), np.uint32).reshape(len(sims), BANDS)
+            keys = bands.astype(np.int64) | np.arange(BANDS) << 32
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(sims, BANDS))], ["key", "fp"])
 
 
 # -- edit similarity ------------------------------------------------------------------------------
@@ -277,25 +307,24 @@ def _same_row(a: DataFrame, b: DataFrame):
 def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored lines that count, and for each hash that repeats or links: the occurrence that stays.
 
-    Two lines link when their normalised SimHashes differ in at most RADIUS
-    bits and their edit similarity is SIMILARITY or more; equal normalised
-    lines are one.  Distinct SimHashes are joined on pairs of blocks; their
-    connected groups hold all links, and the texts of those groups (no
-    others) are fetched and compared.  Groups over GROUP_LINES are cut into
+    Two lines link when their normalised edit similarity is SIMILARITY
+    or more; equal normalised lines are one.  Candidates share one of BANDS bands of
+    ROWS MinHashes of their words and differ in at most RADIUS SimHash bits;
+    the connected groups of candidates are fetched (no other texts) and compared.  Groups over GROUP_LINES are cut into
     slices and each pair of slices is compared in a task of its own.
     """
     named = _with_row(docs.select("doc_id", "text"))
     lines = stored(
         spark,
-        named.mapInArrow(_lines, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _row bigint, line int, h binary, sim bigint"),
+        named.mapInArrow(_lines, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _row bigint, line int, h binary, sim bigint, bands binary"),
     )
     groups = stored(
         spark,
         lines.groupBy("h").agg(
-            F.min(F.struct("doc_id", "_row", "line")).alias("first"), F.count("*").alias("n"), F.min("sim").alias("sim")
+            F.min(F.struct("doc_id", "_row", "line")).alias("first"), F.count("*").alias("n"), F.min("sim").alias("sim"), F.first("bands").alias("bands")
         ),
     )
-    sims = groups.groupBy(F.col("sim").alias("fp")).agg(F.count("*").alias("n"))
+    sims = groups.groupBy(F.col("sim").alias("fp")).agg(F.count("*").alias("n"), F.min("bands").alias("bands"))
     near = components(spark, link_fingerprints(spark, sims, _keyed, RADIUS))
     # Every SimHash that has company: its group, roots included.
     known = near.select("node", "root").unionByName(near.select(F.col("root").alias("node"), "root").distinct())

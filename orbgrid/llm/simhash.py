@@ -269,13 +269,13 @@ def _links(limit: int | None, radius: int):
 def link_fingerprints(spark: SparkSession, fps: DataFrame, keyed=_keyed, radius: int = RADIUS) -> DataFrame:
     """Edges ``a``, ``b`` between distinct fingerprints (column ``fp``) that connect all linked ones.
 
-    ``keyed`` gives the keys; two fingerprints within ``radius`` bits must
-    share one.  Keys are shuffled once and compared in sorted runs.  A run longer than
+    ``keyed`` gives the keys from the rows of ``fps``; two fingerprints within
+    ``radius`` bits link if they share one.  Keys are shuffled once and compared in sorted runs.  A run longer than
     ``BUCKET_ROWS`` is cut into slices by hash, and every pair of slices meets
     in a task of its own: bounded memory, no link lost, and no pairs written
     but a forest.
     """
-    keys = fps.select("fp").mapInArrow(keyed, "key bigint, fp bigint")
+    keys = fps.mapInArrow(keyed, "key bigint, fp bigint")
     found = stored(
         spark,
         keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(
@@ -308,7 +308,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     """
     rows = stored(spark, fingerprints(docs, id_col, text_col))
     known = stored(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("_first")))
-    roots = components(spark, link_fingerprints(spark, known))
+    roots = components(spark, link_fingerprints(spark, known.select("fp")))
     placed = known.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "_first", F.coalesce("root", "fp").alias("_root")
     )

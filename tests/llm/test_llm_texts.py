@@ -226,6 +226,32 @@ def test_lines_of_odd_rows(spark, odd):
     assert line_dedup.without_repeats(spark, odd.limit(0)).count() == 0
 
 
+def lines_left(spark, lines):
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return {r.doc_id for r in line_dedup.dedup_lines(spark, df).collect() if r.n_removed == 0}
+
+
+@pytest.mark.parametrize("n", [5, 10, 20, 40, 100])
+def test_lines_with_changed_words_are_found(spark, n):
+    """One word in ten, or one, is another: recall against edit similarity alone."""
+    rng = random.Random(n)
+
+    def word():
+        return "".join(rng.choices("abcdefghij", k=rng.randint(2, 9)))
+
+    pairs = []
+    while len(pairs) < 60:
+        a = [word() for _ in range(n)]
+        b = list(a)
+        for k in rng.sample(range(n), max(1, n // 10)):
+            b[k] = word()
+        a, b = " ".join(a), " ".join(b)
+        if plain_distance(a, b) <= 0.2 * max(len(a), len(b)):
+            pairs += [(a, b)]
+    left = lines_left(spark, [x for p in pairs for x in p])
+    assert {2 * k for k in range(60)} <= left and sum(2 * k + 1 not in left for k in range(60)) >= 0.85 * 60
+
+
 # -- quality ----------------------------------------------------------------------------------------
 
 
