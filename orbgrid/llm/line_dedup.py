@@ -16,7 +16,7 @@ from orbgrid.llm.simhash import link_fingerprints
 
 #: Shorter lines (headings, answers) repeat by right and are left alone.
 MIN_WORDS = 5
-#: Lines link at this edit similarity, or more, of the normalised lines.
+#: Lines link at this edit similarity, or more, of the lower-cased lines.
 SIMILARITY = 0.8
 #: Candidates share a band of ROWS MinHashes, one of BANDS, and differ in at most so many SimHash bits.
 BANDS, ROWS, RADIUS = 16, 4, 20
@@ -31,7 +31,7 @@ BROADCAST_KEYS = 500_000
 CHUNK_CHARS = 1 << 20
 
 # ASCII marks, controls and white space (but the line end) as a space.
-_PLAIN = bytes(48 if 48 <= b < 58 else b if b == 10 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
+_PLAIN = bytes(b if b == 10 or 48 <= b < 58 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 _ODD = 0x9E3779B97F4A7C15
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -117,7 +117,7 @@ def hash_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 
 
 def describe_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-    """As ``hash_lines``, but SimHashes of their features, and MinHash bands.
+    """As ``hash_lines``, but digests of the lower-cased lines themselves, SimHashes of their features, and MinHash bands.
 
     Features are the distinct words; short ones only where few are long.
     """
@@ -128,7 +128,7 @@ def describe_lines(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarra
     breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
     begins = np.concatenate([[0], breaks + 1])[numbers].tolist()
     stops = np.concatenate([breaks, [len(raw)]])[numbers].tolist()
-    digests = [xxhash.xxh3_128_digest(b" ".join(raw[a:b].translate(_PLAIN).split())) for a, b in zip(begins, stops, strict=True)]
+    digests = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(begins, stops, strict=True)]
 
     long = (ends - starts)[once] >= LONG_BYTES
     enough = np.bincount(line[once][long], minlength=numbers[-1] + 1) >= MIN_WORDS
@@ -275,7 +275,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def links() -> pa.RecordBatch:
         sims = np.array([s for _, s, _ in held], np.int64)
-        found = group_forest(sims, [normalise(t) for _, _, t in held])
+        found = group_forest(sims, [t.lower() for _, _, t in held])
         return pa.RecordBatch.from_pydict(
             {"a": pa.array([held[i][0] for i, _ in found], pa.binary()), "b": pa.array([held[j][0] for _, j in found], pa.binary())}
         )
@@ -307,8 +307,8 @@ def _same_row(a: DataFrame, b: DataFrame):
 def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored lines that count, and for each hash that repeats or links: the occurrence that stays.
 
-    Two lines link when their normalised edit similarity is SIMILARITY
-    or more; equal normalised lines are one.  Candidates share one of BANDS bands of
+    Two lines link when their edit similarity, in lower case with all digits
+    and marks, is SIMILARITY or more.  Candidates share one of BANDS bands of
     ROWS MinHashes of their words and differ in at most RADIUS SimHash bits;
     the connected groups of candidates are fetched (no other texts) and compared.  Groups over GROUP_LINES are cut into
     slices and each pair of slices is compared in a task of its own.

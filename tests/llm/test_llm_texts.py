@@ -252,6 +252,14 @@ def test_lines_with_changed_words_are_found(spark, n):
     assert {2 * k for k in range(60)} <= left and sum(2 * k + 1 not in left for k in range(60)) >= 0.85 * 60
 
 
+def test_lines_that_differ_in_digits_or_marks_stay(spark):
+    lines = [
+        "12 45 30 18 77", "99 81 26 64 13", "12 45 30 18 77", "a + b * c - d / e", "a=b;c(d){e}[]", "a & b | c ^ d % e",
+        "Total of the day: 12 parts", "total of the day: 13 parts!",
+    ]
+    assert lines_left(spark, lines) == {0, 1, 3, 4, 5, 6}
+
+
 # -- quality ----------------------------------------------------------------------------------------
 
 
