@@ -321,15 +321,15 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, groups=near_duplicates) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the one with the smallest id.
 
     Of rows that repeat under that id, the one with the smallest text (then the
     smallest of the other columns) stays.  Rows with a null id can't be named
-    and all stay.  Columns are unchanged.
+    and all stay.  Columns are unchanged.  ``groups`` gives each row its ``component_id``.
     """
     named = docs.where(F.col("doc_id").isNotNull())
-    stay = near_duplicates(spark, named).where("doc_id = component_id").select("doc_id").distinct()
+    stay = groups(spark, named).where("doc_id = component_id").select("doc_id").distinct()
     rest = [F.col("_rest").getField(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]
     order = Window.partitionBy("doc_id").orderBy("text", *rest)
     first = (

@@ -126,6 +126,25 @@ def test_near_duplicate_stage_keeps_one_of_each(spark, steps):
     assert by_id(steps[3]).keys() == {min(g) for g in groups.values()}
 
 
+def test_near_duplicate_stage_against_brute_force(spark):
+    """Copies with one to six changed words of 120: five-word shingles, Jaccard 0.8."""
+    rng = np.random.default_rng(8)
+    rows, pairs = [], []
+    for k in range(90):
+        words = [f"w{x}" for x in rng.integers(0, 3000, 120)]
+        copy = list(words)
+        for at in rng.choice(120, 1 + k % 6, replace=False):
+            copy[at] = f"new{at}"
+        a, b = ({tuple(w[i : i + 5]) for i in range(116)} for w in (words, copy))
+        pairs.append(len(a & b) / len(a | b) >= 0.8)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    df = spark.createDataFrame([(*r, "en", "src0", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = by_id(corpus_pipeline.one_of_each(spark, df, SF)).keys()
+    found = [2 * k + 1 not in left for k in range(90)]
+    assert all(2 * k in left for k in range(90)) and not any(f and not p for f, p in zip(found, pairs))
+    assert sum(found) >= 0.95 * sum(pairs) > 0
+
+
 def test_mixture_keeps_all_and_pieces_decode(steps):
     assert by_id(steps[3]) == by_id(steps[4])
     last = by_id(steps[5])
