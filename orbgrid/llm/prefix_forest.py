@@ -9,7 +9,7 @@ binary search.
 
 A search descends in all trees at once to the longest prefix, then ascends
 in step: the level is the deepest at which the ranges of all trees together
-hold ``candidates`` entries.  Every entry of those ranges is scored.  If even
+hold ``candidates`` entries, which grow with the table (``wanted``).  Every entry of those ranges is scored.  If even
 the first symbol doesn't give so many, all vectors are scored.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from orbgrid.llm.common import stored
 
 TREES, SYMBOLS, SEED = 56, 4, 4711
-#: Entries that the ranges of all trees hold at the level of a search.
+#: Entries that the ranges of all trees hold at the level of a search, at least.
 CANDIDATES = 2500
 #: Entries of a sorted array that a task holds; more under one first symbol are cut into slices.
 SLICE_ROWS = 4096
@@ -39,6 +39,15 @@ def symbol_bits(dims: int) -> int:
     return (2 * (dims + 1) - 1).bit_length()
 
 
+def wanted(rows: int, dims: int) -> int:
+    """Entries that a search asks for: half of what one symbol leaves of ``rows`` evenly spread vectors.
+
+    A second symbol leaves too few of them, at any size of the table; where
+    vectors are dense enough for longer prefixes to hold as many, those do.
+    """
+    return max(CANDIDATES, -(-TREES * rows // (4 * (dims + 1))))
+
+
 def hash_strings(vectors: np.ndarray, tree: int) -> np.ndarray:
     """The string of each (extended) vector in one tree, first symbol in the highest bits."""
     dims = vectors.shape[1]
@@ -147,12 +156,14 @@ def nearest(
     vectors: DataFrame,
     is_query,
     k: int = 20,
-    candidates: int = CANDIDATES,
+    candidates: int | None = None,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` largest inner products found for each query.
 
+    ``candidates`` are by default those of ``wanted``.
+
     Queries are the rows where the column ``is_query`` holds; candidates all
     rows but the query's own.  Products are of the original numbers, in double
     precision; ties go to the smaller id.  Rows take no part whose id or vector
@@ -211,6 +222,7 @@ def nearest(
         F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("slices")
     )
     n_all = classes.count()
+    candidates = wanted(n_all, dims) if candidates is None else candidates
 
     def dealt(asked: DataFrame) -> DataFrame:
         """Array entries and queries, each with the key of its slice (queries: of all slices)."""

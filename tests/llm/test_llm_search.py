@@ -54,6 +54,22 @@ def test_recall_of_the_trees(spark, monkeypatch):
     assert all(abs(s - x[q] @ x[i]) < 1e-12 for q, rows in got.items() for i, s in rows)
 
 
+def test_recall_past_the_second_symbol(spark, monkeypatch):
+    """Evenly spread vectors, so many that two symbols leave CANDIDATES entries."""
+    monkeypatch.setattr(prefix_forest, "CANDIDATES", 100)
+    x = np.random.default_rng(12).standard_normal((12_000, 16))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = exact(list(range(12_000)), x, range(0, 12_000, 400), 10)
+
+    def recall(**options):
+        got = found(prefix_forest.nearest(spark, df, F.col("vec_id") % 400 == 0, 10, **options))
+        return sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) / (10 * len(want))
+
+    fixed, grown = recall(candidates=100), recall()
+    print(f"recall {fixed:.2f} with a fixed number of candidates, {grown:.2f} with one that grows")
+    assert fixed < 0.9 <= grown
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     same = [1.0, 2.0]
