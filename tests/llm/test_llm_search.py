@@ -179,3 +179,21 @@ def test_stages_on_odd_and_empty_tables(spark, k):
 
 def test_run_gives_the_last_stage(spark, steps):
     assert by_id(corpus_pipeline.run(spark, SF)).keys() == by_id(steps[5]).keys()
+
+
+def test_prefixes_of_the_result_hold_the_weights(spark):
+    """A hot source, and stages that are written and read again; until the first source runs out."""
+    n = {"src0": 300, "src1": 60, "src2": 60, "src3": 40, "other": 20}
+    named = [s for s, k in n.items() for _ in range(k)]
+    df = spark.createDataFrame([(k, f"text {k}", "en", s, 6) for k, s in enumerate(named)], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[3:]:
+        df = stored(spark, stage(spark, df, SF))
+    rows = sorted(df.select("source", "position").collect(), key=lambda r: r.position)
+    assert [r.position for r in rows] == list(range(len(named)))
+    tickets = {s: corpus_pipeline.TICKETS.get(s, 1) for s in n}
+    ends = min(max(r.position for r in rows if r.source == s) for s in n)
+    assert ends > 150
+    for k in range(1, ends + 1):
+        for s in n:
+            share = k * tickets[s] / sum(tickets.values())
+            assert abs(sum(r.source == s for r in rows[:k]) - share) < 2 * corpus_pipeline.BLOCK_ROWS
