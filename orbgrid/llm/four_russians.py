@@ -124,14 +124,14 @@ class _Best:
             self.vec[anchor[keep], k, place[keep]] = vec[keep]
 
 
-def _search(dims: int, planes: int, largest: int, keep: int, same_label: bool):
+def _search(dims: int, planes: int, largest: int, keep: int, same_label: bool, block_anchors: int):
     """Slabs come before the anchors of their key; answers are (anchor row, window, candidate, score)."""
     groups = dims // GROUP
     shape = (-1, planes, groups)
 
     def answer(held: list[pa.RecordBatch], asked: pa.Table) -> Iterator[pa.RecordBatch]:
-        for at in range(0, asked.num_rows, BLOCK_ANCHORS):
-            block = asked.slice(at, BLOCK_ANCHORS).combine_chunks()
+        for at in range(0, asked.num_rows, block_anchors):
+            block = asked.slice(at, block_anchors).combine_chunks()
             x = _integers(block["x"], dims)
             bound = int(np.abs(x).sum(axis=1).max())
             tables = subset_sums(x).astype(_narrowest(bound))
@@ -245,7 +245,7 @@ def hard_negatives(
         only = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in ("row", "x", "low", "high")]
         held = held.select("own", "slab", F.lit(False).alias("anchor"), "vec_id", "label", "planes", *only)
         runs = held.unionByName(asked).repartition(4 * slabs, "own", "slab").sortWithinPartitions("own", "slab", "anchor", "vec_id")
-        found = runs.mapInArrow(_search(dims, planes, largest, keep, same_label), "row long, k int, found_id long, score long")
+        found = runs.mapInArrow(_search(dims, planes, largest, keep, same_label, BLOCK_ANCHORS), "row long, k int, found_id long, score long")
         first = Window.partitionBy("row", "k").orderBy(F.desc("score"), "found_id")
         return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= keep)
 

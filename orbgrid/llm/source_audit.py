@@ -93,31 +93,32 @@ def compare(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndar
     return int(((p - q) ** 2 // (p + q) * cells[w, i, j]).sum())
 
 
-def _pairs(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """All pairs of the groups of one chunk with those of another (or its own) over one block of ids."""
-    lang, block, low, high = (k.as_py() for k in key)
-    size = min(BLOCK_IDS, max(0, rows["terms"][0].as_py() - block * BLOCK_IDS))
-    full, rest = divmod(size, WORD)
-    valid = np.zeros(BLOCK_IDS // WORD, np.uint64)
-    valid[:full] = ~np.uint64(0)
-    if rest:
+def _pairs(block_ids: int, chunk_groups: int):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        """All pairs of the groups of one chunk with those of another (or its own) over one block of ids."""
+        lang, block, low, high = (k.as_py() for k in key)
+        size = min(block_ids, max(0, rows["terms"][0].as_py() - block * block_ids))
+        full, rest = divmod(size, WORD)
+        valid = np.full(full + 1, ~np.uint64(0))
         valid[full] = np.uint64((1 << rest) - 1)
-    valid = valid[: max(1, full + (rest > 0))]
-    group = rows["number"].to_numpy()
-    order = np.argsort(group, kind="stable")
-    rows, group = rows.take(pa.array(order)), group[order]
-    heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    ends = np.append(heads[1:], len(group))
-    names = group[heads]
-    held = [_levels(rows.slice(a, b - a), valid) for a, b in zip(heads, ends, strict=True)]
-    out: list[tuple[int, int, int]] = []
-    for i, one in enumerate(held):
-        for j in range(i + 1, len(held)):
-            # Two of one chunk belong to the task of that chunk alone.
-            if low == high or names[i] // CHUNK_GROUPS != names[j] // CHUNK_GROUPS:
-                out.append((names[i], names[j], compare(one, held[j])))
-    a, b, v = zip(*out, strict=True) if out else ((), (), ())
-    return pa.table({"lang": pa.array([lang] * len(out), pa.string()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "value": pa.array(v, pa.int64())})
+        group = rows["number"].to_numpy()
+        order = np.argsort(group, kind="stable")
+        rows, group = rows.take(pa.array(order)), group[order]
+        heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        ends = np.append(heads[1:], len(group))
+        names = group[heads]
+        held = [_levels(rows.slice(a, b - a), valid) for a, b in zip(heads, ends, strict=True)]
+        out: list[tuple[int, int, int]] = []
+        for i, one in enumerate(held):
+            for j in range(i + 1, len(held)):
+                # Two of one chunk belong to the task of that chunk alone.
+                if low == high or names[i] // chunk_groups != names[j] // chunk_groups:
+                    out.append((names[i], names[j], compare(one, held[j])))
+        a, b, v = zip(*out, strict=True) if out else ((), (), ())
+        columns = {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "value": pa.array(v, pa.int64())}
+        return pa.table({"lang": pa.array([lang] * len(out), pa.string()), **columns})
+
+    return run
 
 
 def audit(
@@ -197,7 +198,7 @@ def audit(
         .withColumns({"low": F.least(own, "other"), "high": F.greatest(own, "other")})
         .select("lang", "block", "low", "high", "number", "terms", "n", "p", "word", "bits")
     )
-    pairs = dealt.groupBy("lang", "block", "low", "high").applyInArrow(_pairs, "lang string, a long, b long, value long")
+    pairs = dealt.groupBy("lang", "block", "low", "high").applyInArrow(_pairs(BLOCK_IDS, CHUNK_GROUPS), "lang string, a long, b long, value long")
     pairs = pairs.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = pairs.unionByName(pairs.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     name = lambda c, out: groups.select("lang", F.col("number").alias(c), F.col("source").alias(out))
