@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orbgrid.functions.scalars import order_bits
 from orbgrid.operators.joins import attach
 from orbgrid.session import lineage_cutter
 
@@ -66,68 +67,67 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: ``group..., prob, quantile``.
 
-    Each wanted rank is narrowed down by histograms: count the values of its
-    interval in ``bins`` equal bins, keep the bin that holds the rank, repeat
-    until no bin holds more than ``window`` distinct values.  A bin ends at
-    values that occur, and the ends of an interval fall into different bins,
-    so every round takes some away, however the values are spread.  Equal values
-    are merged first and counts combine map-side: the last window sees
-    ``window`` rows at most.  ``max_groups`` bounds the number of groups, if it is known.
+    Radix selection: values are ordered as their 64-bit keys (``order_bits``),
+    and each wanted rank fixes the bits of its key from the top, those of
+    ``bins`` (a power of two) in a round, until no prefix holds more than
+    ``window`` distinct values.  With 4096 bins that takes six rounds at most,
+    however the values are spread, and none where groups are small.  Equal
+    values are merged first and counts combine map-side: the last step sees
+    ``window`` rows at most.  ``max_groups`` bounds the number of groups, if
+    it is known.
+
+    Infinities are values; between one and a number lies the infinity.  NaN
+    orders above all.  Null values are left out, null groups kept.
     """
+    if bins < 2 or bins & (bins - 1):
+        raise ValueError("bins must be a power of two")
     cut = lineage_cutter(df.sparkSession)  # every round reads the merged values again
+    x = F.col(value).cast("double")
     counted = cut(
         df.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_x"))
+        .groupBy(*group, (x + F.lit(0.0)).alias("_x"))  # -0 becomes 0
         .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_key", order_bits("_x"))
     )
-    ends = counted.groupBy(*group).agg(
-        F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("_n")
-    )
+    ends = counted.groupBy(*group).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"))
     at = F.col("prob") * (F.col("_n") - 1)
     ranks = (
         ends.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumns({"_k": F.floor(at).cast("bigint"), "_frac": at - F.floor(at)})
         .withColumn("_r", F.explode(F.array_distinct(F.array("_k", F.least(F.col("_k") + 1, F.col("_n") - 1)))))
-        .withColumn("_below", F.lit(0).cast("bigint"))
+        .select(*group, "prob", "_k", "_frac", "_r", F.lit(0).cast("bigint").alias("_below"), F.lit(0).cast("bigint").alias("_prefix"), "_d")
     )
+    ranks = cut(ranks)
     target = [*group, "prob", "_r"]
     max_ranks = None if max_groups is None else 2 * len(probs) * max_groups
-    half = F.lit(0.5)  # the whole range of doubles has no finite width, half of it does
-    spread = F.col("_hi") * half - F.col("_lo") * half
-    share = F.try_divide(F.col("_x") * half - F.col("_lo") * half, spread)
-    # The upper end gets the last bin and the lower end the first, also where the width is tiny.
-    slot = F.when(F.col("_x") == F.col("_hi"), bins - 1).otherwise(F.least(F.floor(share * bins), F.lit(bins - 2)))
-    while True:
-        hist = (
-            attach(counted, ranks, group, max_rows=max_ranks)
-            .filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-            .groupBy(*target, "_k", "_frac", "_below", F.when(F.col("_hi") > F.col("_lo"), F.coalesce(slot, F.lit(0))).otherwise(0).cast("int").alias("_bin"))
-            .agg(F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_d"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    open_bits, width = 64, bins.bit_length() - 1
+
+    def within() -> DataFrame:
+        """Values that share the fixed bits of each rank."""
+        met = attach(counted, ranks.drop("_d"), group, max_rows=max_ranks, null_safe=True)
+        # A shift by 64 bits would be none.
+        return met if open_bits == 64 else met.filter(F.shiftright("_key", open_bits) == F.col("_prefix"))
+
+    while open_bits and (ranks.agg(F.max("_d")).first()[0] or 0) > window:
+        found, open_bits = within(), max(0, open_bits - width)
+        hist = found.groupBy(*target, "_k", "_frac", "_below", F.shiftright("_key", open_bits).alias("_bin")).agg(
+            F.sum("_c").alias("_c"), F.count(F.lit(1)).alias("_d")
         )
         upto = F.sum("_c").over(Window.partitionBy(*target).orderBy("_bin"))
         ranks = cut(
             hist.withColumn("_upto", F.col("_below") + upto)
             .filter((F.col("_upto") > F.col("_r")) & (F.col("_upto") - F.col("_c") <= F.col("_r")))
-            .withColumn("_below", F.col("_upto") - F.col("_c"))
-            .drop("_upto", "_c", "_bin")
+            .select(*group, "prob", "_k", "_frac", "_r", (F.col("_upto") - F.col("_c")).alias("_below"), F.col("_bin").alias("_prefix"), "_d")
         )
-        widest = ranks.agg(F.max("_d")).first()[0] or 0
-        ranks = ranks.drop("_d")
-        if widest <= window:
-            break
-    upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*target).orderBy("_x"))
-    picked = (
-        attach(counted, ranks, group, max_rows=max_ranks)
-        .filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-        .withColumn("_upto", upto)
-        .filter((F.col("_upto") > F.col("_r")) & (F.col("_upto") - F.col("_c") <= F.col("_r")))
+    upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*target).orderBy("_key"))
+    picked = within().withColumn("_upto", upto).filter(
+        (F.col("_upto") > F.col("_r")) & (F.col("_upto") - F.col("_c") <= F.col("_r"))
     )
     low = F.max(F.when(F.col("_r") == F.col("_k"), F.col("_x")))
     high = F.max(F.when(F.col("_r") > F.col("_k"), F.col("_x")))
     frac = F.max("_frac")
-    return picked.groupBy(*group, "prob").agg(
-        F.when(frac > 0, low + (high - low) * frac).otherwise(low).alias("quantile")
-    )
+    between = F.when(low == high, low).when(low == float("-inf"), low).otherwise(low + (high - low) * frac)
+    return picked.groupBy(*group, "prob").agg(F.when(frac > 0, between).otherwise(low).alias("quantile"))
 
 
 def robust_range(df: DataFrame, group: list[str], value: str, max_groups: int | None = None) -> DataFrame:

@@ -435,3 +435,21 @@ SELECT variable, unnest([0.02e0, 0.5e0, 0.98e0]) AS prob, unnest(quantile_cont(v
 def exact_percentiles(spark: SparkSession, d: str) -> DataFrame:
     out = red.exact_quantiles(_measures(spark, d), ["variable"], "v", (0.02, 0.5, 0.98), max_groups=3)
     return out.select("variable", "prob", r6("quantile"))
+
+
+_WIDE = """SELECT l_linestatus AS variable, CASE l_orderkey % 997 WHEN 0 THEN 'Infinity'::DOUBLE WHEN 1 THEN '-Infinity'::DOUBLE
+ELSE (l_quantity - 25) * ('1e' || (l_partkey % 121 - 60))::DOUBLE END AS v FROM lineitem"""
+
+
+@register(
+    f"""WITH m AS ({_WIDE}) SELECT variable, prob, sign(q)::BIGINT AS side, round(log10(abs(q)), 6) AS magnitude FROM (
+SELECT variable, unnest([0.02e0, 0.4e0, 0.7e0, 0.98e0]) AS prob, unnest(quantile_cont(v, [0.02, 0.4, 0.7, 0.98])) AS q FROM m GROUP BY variable)"""
+)
+def wide_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of values over 120 powers of ten, infinities among them, from small windows."""
+    odd = F.col("l_orderkey") % 997
+    power = F.concat(F.lit("1e"), F.col("l_partkey") % 121 - 60).cast("double")
+    v = F.when(odd == 0, F.lit(float("inf"))).when(odd == 1, F.lit(float("-inf"))).otherwise((F.col("l_quantity") - 25) * power)
+    values = table(spark, d, "lineitem").select(F.col("l_linestatus").alias("variable"), v.alias("v"))
+    out = red.exact_quantiles(values, ["variable"], "v", (0.02, 0.4, 0.7, 0.98), window=16, max_groups=2)
+    return out.select("variable", "prob", F.signum("quantile").cast("bigint").alias("side"), F.round(F.log10(F.abs("quantile")), 6).alias("magnitude"))
