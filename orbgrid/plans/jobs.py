@@ -6,11 +6,11 @@ any time: regions are replaced as a whole and marked done only afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orbgrid.functions.axes import PRESSURE_LEVELS_HPA, LatLonGrid, hpa_to_pa
@@ -33,28 +33,55 @@ from orbgrid.operators.regrid import apply_weights, regrid
 from orbgrid.operators.timeline import settle_times, snap_time
 from orbgrid.operators.vertical import interpolate_levels
 from orbgrid.plans.config import MODEL_LEVEL_PRESSURE, Experiment, GroupSpec, space_chunk, work_chunk
+from orbgrid.sources import ledger
 from orbgrid.sources.manifest import coverage_gate
-from orbgrid.sources.store import CellStore, cached_weights, dataset_metadata
+from orbgrid.sources.store import CellStore, Region, cached_weights, dataset_metadata
 
-DONE_SCHEMA = "cycle timestamp_ntz, part string, task string, sim string"
+DONE_SCHEMA = "cycle timestamp_ntz, part string, at bigint, task string, sim string"
 CYCLE_HOURS = 12
+#: Cycles, and time chunks of a coarser zoom, that one write takes up and marks done.
+WAVE_CYCLES, WAVE_CHUNKS = 8, 32
 DIMS_STORE = {"2d": "PT1H", "3d": "PT3H"}
 
 
 # --- bookkeeping -------------------------------------------------------------
 
 
+def _events(store: CellStore, task: str, sim: str) -> DataFrame:
+    rows = store.read_table("done", DONE_SCHEMA).filter((F.col("sim") == sim) & (F.col("task") == task))
+    return rows.groupBy("sim", "cycle").agg(F.max(F.coalesce("at", F.lit(0).cast("bigint"))).alias(task))
+
+
 def done_cycles(store: CellStore, sim: str) -> DataFrame:
-    done = store.read_table("done", DONE_SCHEMA)
-    return done.filter((F.col("task") == "regrid") & (F.col("sim") == sim)).select("sim", "cycle").distinct()
+    """Cycles that were regridded and not reopened since."""
+    both = _events(store, "regrid", sim).join(_events(store, "reopen", sim), ["sim", "cycle"], "left")
+    return both.filter(F.col("reopen").isNull() | (F.col("regrid") > F.col("reopen"))).select("sim", "cycle")
 
 
 def mark_done(store: CellStore, task: str, sim: str, rows: DataFrame, part: str) -> None:
-    """``rows`` holds ``cycle`` (or nothing of interest) and a ``part`` column; one file for all of them."""
-    out = rows.select(F.col("cycle"), F.col(part).alias("part"), F.lit(task).alias("task"), F.lit(sim).alias("sim"))
+    """``rows`` holds ``cycle`` (or nothing of interest) and a ``part`` column; one file for all of them.
+
+    ``at`` numbers the calls, so that a later one can be told from an earlier.
+    """
+    mine = store.read_table("done", DONE_SCHEMA).filter(F.col("sim") == sim)
+    at = (mine.agg(F.max("at")).first()[0] or 0) + 1
+    out = rows.select(
+        F.col("cycle"), F.col(part).alias("part"), F.lit(at).cast("bigint").alias("at"), F.lit(task).alias("task"), F.lit(sim).alias("sim")
+    )
     store.append_table(out, "done", ["task", "sim"])
 
 
+def _mark_cycles(store: CellStore, task: str, sim: str, cycles: list) -> None:
+    if cycles:
+        rows = [(c, c.strftime("%Y%m%dT%H")) for c in cycles]
+        mark_done(store, task, sim, store.spark.createDataFrame(rows, "cycle timestamp_ntz, p string"), "p")
+
+
+def reopen_cycles(store: CellStore, experiment: Experiment, cycles: list) -> None:
+    """Have cycles done again: they count as pending, and what depends on them is made again after them."""
+    _mark_cycles(store, "reopen", experiment.key, sorted(cycles))
+
+
 # --- regridding --------------------------------------------------------------
 
 
@@ -228,26 +255,46 @@ def regrid_cycles(
     grid_of: Callable[[str], LatLonGrid],
     store: CellStore,
     strict: bool = True,
+    wave: int = WAVE_CYCLES,
 ) -> None:
-    """Regrid the given cycles of one experiment and mark them done.
+    """Regrid the given cycles of one experiment and mark them done, ``wave`` at a time.
 
     ``fields`` is the long source-field table partitioned by ``sim, cycle``;
-    ``cycles`` holds ``sim, cycle``, at most one row per cycle.  Cycles with
-    unmatched fields, bad times or a variable without any value are set aside
-    in the table ``rejected`` with the reason; the others go on and are marked
-    done.  They stay pending, so that mended input is taken up by a later
-    call.  With ``strict`` the call then raises.
+    ``cycles`` holds ``sim, cycle``, at most one row per cycle.  Each wave is
+    written, counted and marked done by itself: a failure keeps the waves
+    before it, and no plan grows with the backlog.
+
+    Cycles with unmatched fields, bad times or a variable without any value
+    are set aside in the table ``rejected`` with the reason; the others go on
+    and are marked done.  They stay (or become) pending, so that mended input
+    is taken up by a later call; their row goes once they are done.  With
+    ``strict`` the call raises in the end.  Cycles that were done before are
+    replaced, and ``coarsen_zoom`` makes again what they are part of.
     """
     todo = sorted(
         r.cycle for r in cycles.filter(F.col("sim") == experiment.key).select("cycle").distinct().collect()
     )
-    if not todo:
-        return
+    problems: dict = {}
+    unmatched = False
+    for at in range(0, len(todo), wave):
+        some, odd = _regrid_wave(fields, todo[at : at + wave], experiment, grid_of, store)
+        problems |= some
+        unmatched = unmatched or odd
+    if problems and strict:
+        first = min(problems)
+        kind = FieldMismatch if unmatched else QualityError
+        raise kind(f"{len(problems)} of {len(todo)} cycles rejected; {first}: {problems[first]}")
+
+
+def _regrid_wave(
+    fields: DataFrame, todo: list, experiment: Experiment, grid_of: Callable[[str], LatLonGrid], store: CellStore
+) -> tuple[dict, bool]:
+    """One wave; what is wrong with its cycles, and whether that is unmatched fields."""
+    sim = experiment.key
 
     def of(wanted: list) -> DataFrame:
-        return fields.filter(
-            (F.col("sim") == experiment.key) & F.col("cycle").isin([F.lit(c).cast("timestamp_ntz") for c in wanted])
-        )
+        # At most as many as a wave.
+        return fields.filter((F.col("sim") == sim) & F.col("cycle").isin([F.lit(c).cast("timestamp_ntz") for c in wanted]))
 
     unmatched: dict = {}
     mistimed: dict = {}
@@ -258,13 +305,20 @@ def regrid_cycles(
                 whole[c] = "; ".join(filter(None, [whole.get(c), text]))
     good = [c for c in todo if c not in unmatched and c not in mistimed]
     empty: dict = {}
+    versions: dict[str, dict[int, int]] = {}
     if good:
         mine = of(good)
         for group in experiment.groups:
             inv = inventory(mine.filter(group.constraint()), ["sim"]).persist()
-            written = store.write_region(regrid_group(mine, group, experiment, grid_of, store, inv.count() * len(good)))
+            at = {c: _cycle_block(group, c) for c in good}
+            names = [s.short for s in group.specs]
+            region = Region(sim, group.store, experiment.max_zoom, names, set(at.values()))
+            written = store.write_region(regrid_group(mine, group, experiment, grid_of, store, inv.count() * len(good)), region)
+            there = versions.setdefault(group.store, {})
+            for block, digest in written.digests.items():
+                there[block] = there.get(block, 0) ^ digest
             for c in good:
-                gone = [s.short for s in group.specs if (s.short, _cycle_block(group, c)) not in written]
+                gone = [n for n in names if (n, at[c]) not in written.parts]
                 if gone:
                     text = "all values missing: " + ", ".join(gone)
                     empty[c] = "; ".join(filter(None, [empty.get(c), text]))
@@ -275,20 +329,22 @@ def regrid_cycles(
                 ["sim", "freq", "group"],
             )
             inv.unpersist()
+    for freq, there in versions.items():
+        ledger.record(store, sim, freq, experiment.max_zoom, there)
     done = [c for c in good if c not in empty]
-    if done:
-        rows = [(c, c.strftime("%Y%m%dT%H")) for c in done]
-        mark_done(store, "regrid", experiment.key, store.spark.createDataFrame(rows, "cycle timestamp_ntz, p string"), "p")
+    _mark_cycles(store, "regrid", sim, done)
     problems = {
         c: "; ".join(filter(None, [unmatched.get(c), mistimed.get(c), empty.get(c)])) for c in todo if c not in done
     }
     if problems:
-        rows = [(text, experiment.key, c) for c, text in problems.items()]
+        # One that lost its values is not done any more.
+        before = {r.cycle for r in done_cycles(store, sim).collect()} if empty else set()
+        _mark_cycles(store, "reopen", sim, [c for c in empty if c in before])
+        rows = [(text, sim, c) for c, text in problems.items()]
         store.write_table(store.spark.createDataFrame(rows, REJECTED_SCHEMA), "rejected", ["sim", "cycle"])
-        if strict:
-            first = min(problems)
-            kind = FieldMismatch if unmatched else QualityError
-            raise kind(f"{len(problems)} of {len(todo)} cycles rejected; {first}: {problems[first]}")
+    for c in done:
+        store.remove_rows("rejected", {"sim": sim, "cycle": c})
+    return problems, bool(unmatched)
 
 
 def region_report(store: CellStore, experiment: Experiment, freq: str, zoom: int) -> DataFrame:
@@ -407,12 +463,27 @@ def _source_blocks(chunk: int, zoom: int, experiment: Experiment, step_hours: in
     return first // finer, last // finer
 
 
-def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int, end=None) -> int:
-    """Coarsen to ``zoom`` every time chunk that became complete; returns how many.
+def in_ranges(column: str, numbers: Iterable[int]) -> Column:
+    """Whether a column is one of the numbers, as ranges of consecutive ones."""
+    ranges: list[list[int]] = []
+    for n in sorted(set(numbers)):
+        if ranges and n == ranges[-1][1] + 1:
+            ranges[-1][1] = n
+        else:
+            ranges.append([n, n])
+    return reduce(lambda a, b: a | b, [F.col(column).between(lo, hi) for lo, hi in ranges], F.lit(False))
+
+
+def coarsen_zoom(
+    store: CellStore, experiment: Experiment, dim: str, zoom: int, end=None, wave: int = WAVE_CHUNKS
+) -> int:
+    """Coarsen to ``zoom`` every time chunk that became complete or out of date; returns how many.
 
     Right below the top a chunk waits for all cycles that it touches and for
     the one before its first stamp; further down for all chunks of the finer
-    zoom that it is made of.  ``end`` leaves out cycles after that time.
+    zoom that it is made of.  A chunk is made again when a cycle or finer chunk
+    that it was made of has been written since.  ``end`` leaves out cycles
+    after that time.  Chunks are written and marked done ``wave`` at a time.
     """
     spark, sim, freq = store.spark, experiment.key, DIMS_STORE[dim]
     axis = next(g.axis for g in experiment.groups if g.store == freq)
@@ -424,8 +495,7 @@ def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int,
     gate = coverage_gate(
         spark.createDataFrame([(sim,)], "sim string"), cycles, axis, size, CYCLE_HOURS, preceding=True
     ).filter("runnable")
-    done = _done_parts(store, task, sim)
-    chunks = sorted({r.chunk for r in gate.select("chunk").collect()} - done)  # at most one per step of the axis
+    chunks = sorted(r.chunk for r in gate.select("chunk").collect())  # at most one per step of the axis
     if zoom + 1 < experiment.max_zoom:
         finer, size_there = _done_parts(store, f"coarsen_{dim}_z{zoom + 1}", sim), work_chunk(zoom + 1, experiment.regional)
         last = (axis.size - 2) // size_there
@@ -434,30 +504,35 @@ def coarsen_zoom(store: CellStore, experiment: Experiment, dim: str, zoom: int,
             for c in chunks
             if all(k in finer for k in range(c * size // size_there, min(((c + 1) * size - 1) // size_there, last) + 1))
         ]
-    if not chunks:
-        return 0
-
     step_hours = int(axis.step.total_seconds() // 3600)
-    spans = [_source_blocks(c, zoom, experiment, step_hours) for c in chunks]
-    blocks = sorted({b for lo, hi in spans for b in range(lo, hi + 1)})
-    source = store.scan(sim, freq, zoom + 1).filter(F.col("block").isin(blocks))
-    chunk = F.floor(axis.nearest_index("time") / F.lit(float(size))).cast("bigint")
-    source = source.withColumn("block", chunk).filter(F.col("block").isin(chunks))
-    coarse = coarsen(source, ["sim", "freq", "variable", "block", "time", "level"], ["value"])
-    if experiment.regional:
+    spans = {c: _source_blocks(c, zoom, experiment, step_hours) for c in chunks}
+    due = ledger.outdated(store, sim, freq, zoom, [(c, lo, hi) for c, (lo, hi) in spans.items()])
+    names = [s.short for name, s in experiment.stored_specs() if name == freq]
+    active = None
+    if due and experiment.regional:
         extent = store.read_table("extent", EXTENT_SCHEMA).filter(F.col("sim") == sim).first()
         if extent is None:
             raise ValueError(f"{sim} has no extent; create_dataset stores it")
         active = active_cells(spark, tuple(extent[:4]), zoom, space_chunk(zoom, True))
-        coarse = gather_regional(coarse, active, zoom)
-    store.write_region(coarse.withColumn("zoom", F.lit(zoom)))
-    if experiment.regional and 0 in chunks:
-        _write_coverage(store, experiment, freq, zoom)
-    rows = spark.createDataFrame(
-        [(axis.start + axis.step * (c * size), str(c)) for c in chunks], "cycle timestamp_ntz, p string"
-    )
-    mark_done(store, task, sim, rows, "p")
-    return len(chunks)
+    listed = sorted(due)
+    for at in range(0, len(listed), wave):
+        some = listed[at : at + wave]
+        blocks = {b for c in some for b in range(spans[c][0], spans[c][1] + 1)}
+        source = store.scan(sim, freq, zoom + 1).filter(in_ranges("block", blocks))
+        chunk = F.floor(axis.nearest_index("time") / F.lit(float(size))).cast("bigint")
+        source = source.withColumn("block", chunk).filter(in_ranges("block", some))
+        coarse = coarsen(source, ["sim", "freq", "variable", "block", "time", "level"], ["value"])
+        if active is not None:
+            coarse = gather_regional(coarse, active, zoom)
+        written = store.write_region(coarse.withColumn("zoom", F.lit(zoom)), Region(sim, freq, zoom, names, some))
+        if experiment.regional and 0 in some:
+            _write_coverage(store, experiment, freq, zoom)
+        ledger.record(store, sim, freq, zoom, written.digests, due)
+        rows = spark.createDataFrame(
+            [(axis.start + axis.step * (c * size), str(c)) for c in some], "cycle timestamp_ntz, p string"
+        )
+        mark_done(store, task, sim, rows, "p")
+    return len(listed)
 
 
 EXTENT_SCHEMA = "west double, east double, south double, north double, sim string"

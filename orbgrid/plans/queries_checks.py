@@ -33,7 +33,7 @@ from orbgrid.plans.inputs import (
     table,
     weights_sql,
 )
-from orbgrid.plans.jobs import coarsen_all, coarsen_zoom, regrid_cycles
+from orbgrid.plans.jobs import coarsen_all, coarsen_zoom, regrid_cycles, reopen_cycles
 from orbgrid.plans.queries_grid import _chain_sql, r6
 from orbgrid.plans.queries_time import DEMO_SPECS
 from orbgrid.plans.registry import register
@@ -573,3 +573,35 @@ def late_cycle_rerun(spark: SparkSession, d: str) -> DataFrame:
     return store.scan().groupBy("zoom", "variable", "time").agg(
         F.count(F.lit(1)).alias("n_cells"), F.round(F.avg(F.col("value").cast("double")), 4).alias("v")
     )
+
+
+_MENDED = replace(_DEMO, key="mended")
+
+
+@register(
+    _RUN_SQL + " " + " UNION ALL ".join(
+        f"SELECT {z} AS zoom, variable, \"time\", count(*) AS n_cells, round(avg(v::DOUBLE), 4) AS v FROM z{z} GROUP BY ALL" for z in range(4)
+    )
+)
+def corrected_cycle(spark: SparkSession, d: str) -> DataFrame:
+    """A cycle that came with wrong values and is done again after all zooms were made.
+
+    The result is that of the right values from the start, at every zoom.
+    """
+    root = scratch_root(spark)
+    store = CellStore(spark, root)
+    fields = source_fields(spark, d).withColumn("sim", F.lit("mended"))
+    fields.write.partitionBy("sim", "cycle").parquet(f"{root}/fields")
+    fields = spark.read.schema(fields.schema).parquet(f"{root}/fields")
+    cycles = fields.select("sim", "cycle").distinct()
+    second = _START + timedelta(hours=12)
+    is_second = F.col("cycle") == F.lit(second).cast("timestamp_ntz")
+    wrong = fields.withColumn("value", F.when(is_second, F.col("value") * 3 - 7).otherwise(F.col("value")))
+    regrid_cycles(wrong, cycles, _MENDED, lambda _: GRID, store)
+    coarsen_all(store, _MENDED, ("2d",))
+    reopen_cycles(store, _MENDED, [second])
+    regrid_cycles(fields, cycles.filter(is_second), _MENDED, lambda _: GRID, store)
+    coarsen_all(store, _MENDED, ("2d",))
+    return store.scan().groupBy("zoom", "variable", "time").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.round(F.avg(F.col("value").cast("double")), 4).alias("v")
+    )

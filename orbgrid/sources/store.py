@@ -12,6 +12,8 @@ zoom, the time chunk at the coarser zooms.
 
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -45,6 +47,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove one partition folder; whether there was one."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def partition_folder(spark: SparkSession, path: str, values: dict) -> str:
+    """Folder of a partition below ``path``, with the names that Spark's writer gives."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([path, *[f"{k}={escape(str(v))}" for k, v in values.items()]])
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     if table_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
@@ -68,6 +83,25 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], order:
     )
 
 
+@dataclass(frozen=True)
+class Region:
+    """Blocks of one dataset that a write is to fill."""
+
+    sim: str
+    freq: str
+    zoom: int
+    variables: Sequence[str]
+    blocks: Collection[int]
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a write left: ``(variable, block)`` pairs with values, and digests of the expected blocks' cells."""
+
+    parts: set[tuple[str, int]]
+    digests: dict[int, int]
+
+
 class CellStore:
     """Cells of all simulations, frequencies and zooms under one root and version."""
 
@@ -78,23 +112,38 @@ class CellStore:
 
     # cells
 
-    def write_region(self, df: DataFrame) -> set[tuple[str, int]]:
+    def write_region(self, df: DataFrame, expected: Region | None = None) -> Written:
         """Write blocks; blocks already there are replaced, others untouched.
 
-        Returns the ``(variable, block)`` pairs that got values in this very
-        write; they are noted while it runs (at most variables x blocks).  A
-        block without any value isn't replaced, and isn't among them.
+        What got values in this very write is noted while it runs: the
+        ``(variable, block)`` pairs (at most variables x blocks), and for the
+        blocks of ``expected`` a digest of their cells.  Pairs of ``expected``
+        that got none are removed from the store, so that no reader is served
+        what an earlier write left there.
         """
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CELL_SCHEMA.fields]
         seen = Observation()
         rows = df.filter(F.col("value").isNotNull()).select(*cols)
-        rows = rows.observe(seen, F.collect_set(F.struct("variable", "block")).alias("parts"))
+        cell = F.xxhash64("variable", "time", "level", "healpix_index", "value")
+        blocks = sorted(set(expected.blocks)) if expected is not None else []
+        digests = [F.bit_xor(F.when(F.col("block") == b, cell)).alias(f"b{b}") for b in blocks]
+        rows = rows.observe(seen, F.collect_set(F.struct("variable", "block")).alias("parts"), *digests)
         overwrite_partitions(rows, self.cells_path, PARTITIONS, ["time", "level", "healpix_index"])
         try:
-            found = seen.get
+            noted = seen.get
         except Py4JJavaError:  # input that is proved empty is planned without the note
-            return set()
-        return {(p["variable"], p["block"]) for p in found["parts"] or []}
+            noted = {}
+        found = {(p["variable"], p["block"]) for p in noted.get("parts") or []}
+        if expected is not None:
+            for variable in expected.variables:
+                for block in blocks:
+                    if (variable, block) not in found:
+                        self.remove_block(expected.sim, expected.freq, expected.zoom, variable, block)
+        return Written(found, {b: noted.get(f"b{b}") or 0 for b in blocks})
+
+    def remove_block(self, sim: str, freq: str, zoom: int, variable: str, block: int) -> bool:
+        values = dict(zip(PARTITIONS, (sim, freq, zoom, variable, block), strict=True))
+        return remove_folder(self.spark, partition_folder(self.spark, self.cells_path, values))
 
     def scan(
         self,
@@ -108,15 +157,15 @@ class CellStore:
         Leading partition values go into the path, so that only the folders of
         the dataset are listed and not the whole store.
         """
-        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         given = {"sim": sim, "freq": freq, "zoom": zoom}
-        folders, whole = [self.cells_path], True
+        leading: dict = {}
         for name, value in given.items():
-            whole = whole and value is not None
-            if whole:
-                folders = [f"{folders[0]}/{name}={escape(str(value))}"]
-        if whole and variables is not None:
-            folders = [f"{folders[0]}/variable={escape(v)}" for v in variables]
+            if value is None:
+                break
+            leading[name] = value
+        folders = [partition_folder(self.spark, self.cells_path, leading)]
+        if len(leading) == len(given) and variables is not None:
+            folders = [partition_folder(self.spark, folders[0], {"variable": v}) for v in variables]
         folders = [f for f in folders if table_exists(self.spark, f)]
         if not folders:
             return self.spark.createDataFrame([], CELL_SCHEMA)
@@ -145,6 +194,10 @@ class CellStore:
         """Add rows in one file a call and partition; a repeated call repeats them."""
         df.coalesce(1).write.mode("append").partitionBy(*partitions).parquet(f"{self.root}/{name}")
 
+    def remove_rows(self, name: str, partition: dict) -> bool:
+        """Remove one partition of a table."""
+        return remove_folder(self.spark, partition_folder(self.spark, f"{self.root}/{name}", partition))
+
     def read_table(self, name: str, schema) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/{name}", schema)
 

@@ -1,5 +1,6 @@
 """Jobs that must not lose data, and arithmetic at its edges."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orbgrid.functions import healpix as hp
+from orbgrid.functions.axes import TimeAxis
 from orbgrid.operators import mapping as mp
 from orbgrid.operators import quality as ql
 from orbgrid.operators import reduce as rd
@@ -34,7 +36,8 @@ def test_rerun_with_all_values_missing_is_refused(spark, tmp_path):
     fresh = CellStore(spark, str(tmp_path))
     with pytest.raises(ql.QualityError, match="all values missing"):
         jobs.regrid_cycles(empty, all_cycles(fields), exp, lambda _: GRID, fresh)
-    assert done(store, exp) == [T0]
+    # Neither is done: what the first one had is gone from the store.
+    assert done(store, exp) == [] and store.scan().count() == 0
 
 
 def test_each_cycle_matches_by_itself_and_bad_ones_stand_aside(spark, tmp_path):
@@ -180,3 +183,69 @@ def test_grids_apart_by_little_have_their_own_key():
 def test_notes_are_whole():
     notes = {s.short: s.attrs.get("notes", "") for s in SURFACE}
     assert notes["prs"].startswith("Hourly mean") and ". Hourly mean" in notes["pr"]
+
+
+def means(store, exp, zoom):
+    return store.scan(exp.key, "PT1H", zoom).agg(F.avg("value")).first()[0]
+
+
+def test_corrected_cycles_reach_every_zoom(spark, tmp_path):
+    exp, store = one_group(max_zoom=3), CellStore(spark, str(tmp_path))
+    fields = source_fields(spark, exp)
+    jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, store)
+    assert all(jobs.coarsen_all(store, exp, ("2d",)).values())
+    assert not any(jobs.coarsen_all(store, exp, ("2d",)).values())
+    before = means(store, exp, 0)
+    mended = fields.withColumn("value", F.col("value") + F.when(F.col("cycle") == cycle(1), 100.0).otherwise(0.0))
+    jobs.reopen_cycles(store, exp, [T0 + timedelta(hours=12)])
+    assert done(store, exp) == [T0]
+    assert not any(jobs.coarsen_all(store, exp, ("2d",)).values())  # waits for the corrected cycle
+    jobs.regrid_cycles(mended, all_cycles(fields).filter(F.col("cycle") == cycle(1)), exp, lambda _: GRID, store)
+    assert all(jobs.coarsen_all(store, exp, ("2d",)).values())
+    assert means(store, exp, 0) == pytest.approx(means(store, exp, 3), abs=1e-3) and means(store, exp, 0) - before == pytest.approx(50.0, abs=9)
+    assert not any(jobs.coarsen_all(store, exp, ("2d",)).values())
+
+
+def test_rerun_without_values_leaves_none_behind(spark, tmp_path):
+    exp, store = one_group(), CellStore(spark, str(tmp_path))
+    fields = source_fields(spark, exp)
+    jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, store)
+    gone = fields.withColumn("value", F.when(F.col("cycle") == cycle(0), F.col("value")))
+    jobs.regrid_cycles(gone, all_cycles(fields), exp, lambda _: GRID, store, strict=False)
+    assert done(store, exp) == [T0]
+    assert store.scan().select("time").distinct().count() == 12
+    rejected = lambda: [r.cycle for r in store.read_table("rejected", jobs.REJECTED_SCHEMA).collect()]
+    assert rejected() == [T0 + timedelta(hours=12)]
+    jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, store)
+    assert rejected() == [] and len(done(store, exp)) == 2
+
+
+def test_backlog_goes_in_waves(spark, tmp_path, monkeypatch):
+    """A failure in the 40th of 50 cycles keeps the 39 before it."""
+    exp, store = one_group(max_zoom=1), CellStore(spark, str(tmp_path))
+    axis = TimeAxis(T0, T0 + timedelta(hours=12 * 50), timedelta(hours=1))
+    exp = replace(exp, groups=(replace(exp.groups[0], axis=axis),))
+    fields = source_fields(spark, exp, cycles=range(50))
+    write, calls = CellStore.write_region, []
+
+    def failing(self, df, expected=None):
+        calls.append(sorted(expected.blocks))
+        if 39 in expected.blocks:
+            raise RuntimeError("disk full")
+        return write(self, df, expected)
+
+    monkeypatch.setattr(CellStore, "write_region", failing)
+    with pytest.raises(RuntimeError, match="disk full"):
+        jobs.regrid_cycles(fields, all_cycles(fields), exp, lambda _: GRID, store, wave=13)
+    assert len(done(store, exp)) == 39 and max(map(len, calls)) == 13
+    monkeypatch.undo()
+    left = mf.todo(all_cycles(fields), jobs.done_cycles(store, exp.key), ["sim", "cycle"])
+    assert left.count() == 11
+    jobs.regrid_cycles(fields, left, exp, lambda _: GRID, store, wave=13)
+    assert len(done(store, exp)) == 50
+
+
+def test_ranges_of_numbers(spark):
+    got = spark.range(20).filter(jobs.in_ranges("id", [3, 4, 5, 9, 11, 12, 4])).collect()
+    assert [r.id for r in got] == [3, 4, 5, 9, 11, 12]
+    assert spark.range(5).filter(jobs.in_ranges("id", [])).count() == 0
