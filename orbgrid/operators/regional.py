@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbgrid.functions.healpix import chunk_id, every_cell, npix, with_lonlat, wrap_lon
+from orbgrid.functions.healpix import chunk_id, every_cell, npix, wrap_lon
+from orbgrid.operators.cover import Extent, cells_of, cover, in_ranges, merge
 from orbgrid.operators.joins import attach
-from orbgrid.operators.weights import inside_extent
-
-Extent = tuple[float, float, float, float]
+from orbgrid.operators.weights import in_extent, target_cells_in
 
 
 def chunks_touched(cells: DataFrame, cells_per_chunk: int, ip: str = "healpix_index") -> DataFrame:
@@ -25,13 +25,29 @@ def expand_chunks(chunks: DataFrame, cells_per_chunk: int) -> DataFrame:
 
 
 def cells_in_extent(spark: SparkSession, extent: Extent, zoom: int) -> DataFrame:
-    cells = with_lonlat(spark.range(npix(zoom)).withColumnRenamed("id", "healpix_index"), zoom)
-    return inside_extent(cells, extent)
+    """Cells of a zoom with their centres inside a domain; others are hardly looked at."""
+    return target_cells_in(spark, extent, zoom)
 
 
 def active_cells(spark: SparkSession, extent: Extent, zoom: int, cells_per_chunk: int) -> DataFrame:
-    """Cells of a domain at a zoom: whole chunks, kept if the extent touches them."""
-    return expand_chunks(chunks_touched(cells_in_extent(spark, extent, zoom), cells_per_chunk), cells_per_chunk)
+    """Cells of a domain at a zoom: whole chunks, kept if the extent touches them.
+
+    Centres are computed on the domain's edge alone, and there for chunks
+    that nothing else touches.
+    """
+    found = cover(extent, zoom)
+    sure = chunk_ranges(found.inside, cells_per_chunk)
+    unsure = in_extent(cells_of(spark, found.edge).filter(~in_ranges("healpix_index", sure)), extent, zoom)
+    chunks = cells_of(spark, sure // cells_per_chunk).withColumnRenamed("healpix_index", "chunk")
+    return expand_chunks(chunks.unionByName(chunks_touched(unsure, cells_per_chunk)), cells_per_chunk)
+
+
+def chunk_ranges(ranges: np.ndarray, cells_per_chunk: int) -> np.ndarray:
+    """Ranges widened to whole chunks."""
+    if not len(ranges):
+        return ranges
+    low = ranges[:, 0] // cells_per_chunk * cells_per_chunk
+    return merge(np.stack([low, -(-ranges[:, 1] // cells_per_chunk) * cells_per_chunk], axis=1))
 
 
 def scatter_global(field: DataFrame, keys: list[str], zoom: int, ip: str = "healpix_index") -> DataFrame:

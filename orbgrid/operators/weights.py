@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orbgrid.functions.axes import LatLonGrid
 from orbgrid.functions.healpix import npix, unwrap_lon, with_lonlat
+from orbgrid.operators.cover import Extent, cells_of, cover
 
 
 def inside_extent(df: DataFrame, extent: tuple[float, float, float, float], lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -24,10 +25,20 @@ def inside_extent(df: DataFrame, extent: tuple[float, float, float, float], lon:
     )
 
 
+def in_extent(cells: DataFrame, extent: Extent, zoom: int) -> DataFrame:
+    return inside_extent(with_lonlat(cells, zoom), extent)
+
+
+def target_cells_in(spark: SparkSession, extent: Extent, zoom: int) -> DataFrame:
+    """Cells with their centres inside an extent, by way of its cover."""
+    return in_extent(cells_of(spark, cover(extent, zoom).ranges), extent, zoom)
+
+
 def target_cells(spark: SparkSession, zoom: int, grid: LatLonGrid | None = None) -> DataFrame:
     """Cell centres of a zoom; for a regional grid only those inside it."""
-    cells = with_lonlat(spark.range(npix(zoom)).withColumnRenamed("id", "healpix_index"), zoom)
-    return inside_extent(cells, grid.extent) if grid is not None and grid.regional else cells
+    if grid is not None and grid.regional:
+        return target_cells_in(spark, tuple(map(float, grid.extent)), zoom)
+    return with_lonlat(spark.range(npix(zoom)).withColumnRenamed("id", "healpix_index"), zoom)
 
 
 def grid_weights(targets: DataFrame, grid: LatLonGrid, lon: str = "lon", lat: str = "lat") -> DataFrame:

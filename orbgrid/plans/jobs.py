@@ -6,6 +6,7 @@ any time: regions are replaced as a whole and marked done only afterwards.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from dataclasses import replace
 from functools import reduce
@@ -47,27 +48,22 @@ DIMS_STORE = {"2d": "PT1H", "3d": "PT3H"}
 # --- bookkeeping -------------------------------------------------------------
 
 
-def _events(store: CellStore, task: str, sim: str) -> DataFrame:
-    rows = store.read_table("done", DONE_SCHEMA).filter((F.col("sim") == sim) & (F.col("task") == task))
-    return rows.groupBy("sim", "cycle").agg(F.max(F.coalesce("at", F.lit(0).cast("bigint"))).alias(task))
-
-
 def done_cycles(store: CellStore, sim: str) -> DataFrame:
     """Cycles that were regridded and not reopened since."""
-    both = _events(store, "regrid", sim).join(_events(store, "reopen", sim), ["sim", "cycle"], "left")
-    return both.filter(F.col("reopen").isNull() | (F.col("regrid") > F.col("reopen"))).select("sim", "cycle")
+    rows = store.read_table("done", DONE_SCHEMA).filter((F.col("sim") == sim) & F.col("task").isin("regrid", "reopen"))
+    at = F.coalesce("at", F.lit(0).cast("bigint"))
+    last = [F.max(F.when(F.col("task") == t, at)).alias(t) for t in ("regrid", "reopen")]
+    both = rows.groupBy("sim", "cycle").agg(*last)
+    return both.filter("regrid is not null and (reopen is null or regrid > reopen)").select("sim", "cycle")
 
 
 def mark_done(store: CellStore, task: str, sim: str, rows: DataFrame, part: str) -> None:
     """``rows`` holds ``cycle`` (or nothing of interest) and a ``part`` column; one file for all of them.
 
-    ``at`` numbers the calls, so that a later one can be told from an earlier.
+    ``at`` tells later calls from earlier ones, by the clock of the driver.
     """
-    mine = store.read_table("done", DONE_SCHEMA).filter(F.col("sim") == sim)
-    at = (mine.agg(F.max("at")).first()[0] or 0) + 1
-    out = rows.select(
-        F.col("cycle"), F.col(part).alias("part"), F.lit(at).cast("bigint").alias("at"), F.lit(task).alias("task"), F.lit(sim).alias("sim")
-    )
+    at = F.lit(time.time_ns()).cast("bigint")
+    out = rows.select(F.col("cycle"), F.col(part).alias("part"), at.alias("at"), F.lit(task).alias("task"), F.lit(sim).alias("sim"))
     store.append_table(out, "done", ["task", "sim"])
 
 

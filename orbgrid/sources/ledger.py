@@ -4,12 +4,14 @@ Every write of blocks adds a row for each: its version, which is a digest of
 its cells, and for blocks of coarser zooms the blocks one zoom up, with their
 versions, that it was made of.  A block is out of date when that is no longer
 what there is; a block that was written again as it had been changes nothing.
-Rows are only added; the latest one of a block counts.  A dataset has one
-writer at a time.
+Rows are only added; the latest one of a block counts, by the clock of the
+driver.  A dataset has one writer at a time.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,7 @@ def record(
     """Note that blocks were written, each with its version and, below the top, what it was made of."""
     if not versions:
         return
-    mine = store.read_table("ledger", LEDGER_SCHEMA).filter((F.col("sim") == sim) & (F.col("freq") == freq))
-    at = (mine.agg(F.max("at")).first()[0] or 0) + 1
+    at = time.time_ns()
     rows = [(freq, zoom, b, at, v, made_of[b] if made_of else None, sim) for b, v in sorted(versions.items())]
     store.append_table(store.spark.createDataFrame(rows, LEDGER_SCHEMA), "ledger", ["sim"])
 
