@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orbgrid.llm.common import join_summary, packed, require_new, stored, unpacked
 from orbgrid.llm.components import components
-from orbgrid.llm.simhash import link_fingerprints
+from orbgrid.llm.simhash import BUCKET_ROWS
 
 #: Shorter lines (headings, answers) repeat by right and are left alone.
 MIN_WORDS = 5
@@ -197,8 +197,11 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # -- edit similarity ------------------------------------------------------------------------------
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance, a column of the table at a time as bits of one integer (Myers)."""
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
+    """Levenshtein distance, a column of the table at a time as bits of one integer (Myers).
+
+    With ``most`` it ends as soon as the distance must be more, and gives some number above.
+    """
     if not a or not b:
         return max(len(a), len(b))
     where: dict[str, int] = {}
@@ -206,92 +209,284 @@ def edit_distance(a: str, b: str) -> int:
         where[c] = where.get(c, 0) | 1 << i
     full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, distance = full, 0, len(a)
+    # Every character still to come takes one off the distance at best.
+    ceiling = None if most is None else most + len(b)
     for c in b:
         match = where.get(c, 0)
         diagonal = (((match & up) + up) ^ up) | match | down
         plus = down | ~(diagonal | up) & full
         minus = up & diagonal
         distance += bool(plus & top) - bool(minus & top)
+        if ceiling is not None:
+            ceiling -= 1
+            if distance > ceiling:
+                return distance
         plus = plus << 1 & full | 1
         up = minus << 1 & full | ~(diagonal | plus) & full
         down = plus & diagonal
     return distance
 
 
+def most_edits(longer: int) -> int:
+    """Edits up to which two lines are similar."""
+    return int((1 - SIMILARITY) * longer + 1e-9)
+
+
+def edits_by_word(a: list[str], b: list[str], most: int) -> int:
+    """Edits of an alignment by words, so at least as many as needed; past ``most`` it ends.
+
+    The lines are the words with a space between them.  Where they differ, the
+    nearest pair of equal words some steps on is taken up again.
+    """
+    i, j, cost, n, m = 0, 0, 0, len(a), len(b)
+    while i < n and j < m:
+        if a[i] == b[j]:
+            i, j = i + 1, j + 1
+            continue
+        di, dj = next(((x, y) for x, y in _AHEAD if i + x < n and j + y < m and a[i + x] == b[j + y]), (n - i, m - j))
+        cost += max(sum(map(len, a[i : i + di])) + di, sum(map(len, b[j : j + dj])) + dj)
+        if cost > most:
+            return cost
+        i, j = i + di, j + dj
+    return cost + max(sum(map(len, a[i:])) + n - i, sum(map(len, b[j:])) + m - j)
+
+
+_AHEAD = sorted(((x, y) for x in range(6) for y in range(6) if x + y), key=lambda p: (max(p), sum(p)))
+
+
+class Line:
+    """A lower-cased line with what comparisons need of it, made when asked for."""
+
+    __slots__ = ("codes", "text", "_grams", "_words")
+
+    def __init__(self, text: str):
+        self.text = text
+        self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        self._grams: np.ndarray | None = None
+        self._words: list[str] | None = None
+
+    @property
+    def words(self) -> list[str]:
+        if self._words is None:
+            self._words = self.text.split(" ")
+        return self._words
+
+    @property
+    def grams(self) -> np.ndarray:
+        """How often each class of three characters in a row occurs."""
+        if self._grams is None:
+            c = self.codes
+            self._grams = np.bincount((c[:-2] * 961 + c[1:-1] * 31 + c[2:]) & 1023, minlength=1024) if len(c) > 2 else np.zeros(1024, np.int64)
+        return self._grams
+
+
+def decide(a: Line, b: Line) -> bool | tuple[str, str, int]:
+    """Whether two lines have an edit similarity of SIMILARITY; or what is left to compare, and the edits allowed.
+
+    Decided by what the lines begin and end with, by an alignment of their
+    words (at least as many edits as needed), and by the triples of characters
+    they share (an edit takes away three at most).
+    """
+    n, m = len(a.codes), len(b.codes)
+    longer, shorter = max(n, m), min(n, m)
+    most = most_edits(longer)
+    if longer - shorter > most:
+        return False
+    if longer <= most:
+        return True
+    apart = np.flatnonzero(a.codes[:shorter] != b.codes[:shorter])
+    head = int(apart[0]) if len(apart) else shorter
+    back = np.flatnonzero(a.codes[n - shorter + head :][::-1] != b.codes[m - shorter + head :][::-1])
+    tail = int(back[0]) if len(back) else shorter - head
+    if longer - head - tail <= most:
+        return True
+    if edits_by_word(a.words, b.words, most) <= most:
+        return True
+    if int(np.minimum(a.grams, b.grams).sum()) < longer - 2 - 3 * most:
+        return False
+    return a.text[head : n - tail], b.text[head : m - tail], most
+
+
 def similar(a: str, b: str) -> bool:
     """Edit similarity ``1 - distance / longer length`` of at least SIMILARITY."""
-    longer = max(len(a), len(b))
-    if longer - min(len(a), len(b)) > (1 - SIMILARITY) * longer + 1e-9:
-        return False
-    # What both begin and end with costs nothing.
-    head = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        head += 1
-    a, b = a[head:], b[head:]
-    tail = 0
-    while tail < min(len(a), len(b)) and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
-    return edit_distance(a[: len(a) - tail], b[: len(b) - tail]) <= (1 - SIMILARITY) * longer + 1e-9
-
-
-def _letters(texts: list[str]) -> np.ndarray:
-    """How often each text has the characters of each of 64 classes."""
-    out = np.zeros((len(texts), 64), np.int32)
-    for k, t in enumerate(texts):
-        out[k] = np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") & 63, minlength=64)
-    return out
-
-
-def group_forest(sims: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
-    """Links (as row numbers) of one group that connect whatever its links connect.
-
-    Each line is compared with those not reached yet, as in ``bucket_forest``;
-    by SimHash, then by letter counts (at least as many edits as letters that one has more), then in full.
+    told = decide(Line(a), Line(b))
+    return told if isinstance(told, bool) else edit_distance(*told) <= told[2]
+
+
+def group_forest(
+    sims: np.ndarray, texts: list[str], bands: np.ndarray | None = None, band: int = 0
+) -> tuple[list[tuple[int, int]], list[tuple[int, int, str, str, int]]]:
+    """Links (as row numbers) of one group that connect whatever its links connect, but for pairs left to compare.
+
+    Each line is compared with those not reached yet: by SimHash, then by
+    letter counts (at least as many edits as letters that one has more), then
+    by ``decide``.  Pairs that share a band before ``band`` meet there.
     """
-    out, rest, letters = [], np.arange(len(sims)), _letters(texts)
-    sizes = letters.sum(axis=1)
+    lines = [Line(t) for t in texts]
+    letters = np.stack([np.bincount(x.codes & 63, minlength=64) for x in lines]).astype(np.int32)
+    out, open_pairs, rest, sizes = [], [], np.arange(len(sims)), letters.sum(axis=1)
     while len(rest) > 1:
         reached, rest = [int(rest[0])], rest[1:]
         while reached and len(rest):
             x = reached.pop()
-            near = np.flatnonzero(np.bitwise_count((sims[rest] ^ sims[x]).view(np.uint64)) <= RADIUS)
+            far = np.bitwise_count((sims[rest] ^ sims[x]).view(np.uint64))
+            ok = far <= RADIUS
+            if bands is not None and band > 0:
+                ok &= (far == 0) | ~(bands[rest, :band] == bands[x, :band]).any(axis=1)
+            near = np.flatnonzero(ok)
             if not len(near):
                 continue
             more = letters[rest[near]] - letters[x]
             least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
             near = near[least <= (1 - SIMILARITY) * np.maximum(sizes[rest[near]], sizes[x]) + 1e-9]
-            hit = np.array([p for p in near if similar(texts[x], texts[rest[p]])], int)
-            out += [(x, int(r)) for r in rest[hit]]
-            reached += rest[hit].tolist()
-            rest = np.delete(rest, hit)
-    return out
+            hit = []
+            for p in near.tolist():
+                told = decide(lines[x], lines[rest[p]])
+                if told is True:
+                    hit.append(p)
+                elif told:
+                    open_pairs.append((x, int(rest[p]), *told))
+            out += [(x, int(r)) for r in rest[hit]] if hit else []
+            reached += rest[hit].tolist() if hit else []
+            rest = np.delete(rest, hit) if hit else rest
+    return out, open_pairs
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within runs of equal ``key``."""
+    """Links within runs of equal ``key``; with ``x``, ``y`` and ``most`` where a distance is left to compare."""
     key, held = None, []
 
     def links() -> pa.RecordBatch:
-        sims = np.array([s for _, s, _ in held], np.int64)
-        found = group_forest(sims, [t.lower() for _, _, t in held])
+        sims = np.array([r[1] for r in held], np.int64)
+        bands = np.frombuffer(b"".join([r[4] for r in held]), np.uint32).reshape(len(held), BANDS)
+        found, left = group_forest(sims, [r[2].lower() for r in held], bands, held[0][3])
+        pairs = [(i, j, None, None, None) for i, j in found] + left
         return pa.RecordBatch.from_pydict(
-            {"a": pa.array([held[i][0] for i, _ in found], pa.binary()), "b": pa.array([held[j][0] for _, j in found], pa.binary())}
-        )
+            {
+                "a": pa.array([held[p[0]][0] for p in pairs], pa.binary()), "b": pa.array([held[p[1]][0] for p in pairs], pa.binary()),
+                "x": pa.array([p[2] for p in pairs], pa.string()), "y": pa.array([p[3] for p in pairs], pa.string()),
+                "most": pa.array([p[4] for p in pairs], pa.int32()),
+            }
+        )
 
     for batch in batches:
-        rows = batch.to_pydict()
-        for k, h, s, t in zip(rows["key"], rows["h"], rows["sim"], rows["text"], strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("key", "h", "sim", "text", "band", "bands")]
+        for k, *row in zip(*columns, strict=True):
             if k != key:
                 if len(held) > 1:
                     yield links()
                 key, held = k, []
-            held.append((h, s, t))
+            held.append(row)
     if len(held) > 1:
         yield links()
 
 
+# -- candidates -----------------------------------------------------------------------------------
+
+
+def near_sets(fps: np.ndarray) -> np.ndarray:
+    """For distinct SimHashes the first one of those they hang together with, at RADIUS bits a step."""
+    root, rest = np.arange(len(fps)), np.arange(len(fps))
+    while len(rest):
+        reached, rest = [rest[0]], rest[1:]
+        first = reached[0]
+        while reached and len(rest):
+            near = np.bitwise_count((fps[rest] ^ fps[reached.pop()]).view(np.uint64)) <= RADIUS
+            root[rest[near]] = first
+            reached += rest[near].tolist()
+            rest = rest[~near]
+    return root
+
+
+def _grouped(limit: int | None):
+    """Runs of equal ``key`` as sets of near SimHashes (``team``), two at least; runs over ``limit`` as they are, marked hot."""
+
+    def out(hot: bool, key: np.ndarray, team: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(fp), hot)), pa.array((key >> 32).astype(np.int32)), pa.array(team), pa.array(fp)], ["hot", "band", "team", "fp"]
+        )
+
+    def sets(k: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        new = np.append(True, (k[1:] != k[:-1]) | (f[1:] != f[:-1]))
+        k, f = k[new], f[new]
+        starts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        sizes = np.diff(np.append(starts, len(k)))
+        # Short runs, by distance within the run: who has company.
+        short, near, shift = np.repeat(sizes <= 16, sizes), np.zeros(len(k), bool), 1
+        while True:
+            same = np.flatnonzero((k[shift:] == k[:-shift]) & short[shift:])
+            if not len(same):
+                break
+            hit = same[np.bitwise_count((f[same] ^ f[same + shift]).view(np.uint64)) <= RADIUS]
+            near[hit] = near[hit + shift] = True
+            shift += 1
+        yield out(False, k[near], _mixed(k[near].view(np.uint64)).view(np.int64), f[near])
+        for at, n in zip(starts[sizes > 16], sizes[sizes > 16], strict=True):
+            fps = f[at : at + n]
+            if limit is not None and n > limit:
+                yield out(True, k[at : at + n], k[at : at + n], fps)
+                continue
+            root = near_sets(fps)
+            some = np.bincount(root, minlength=n)[root] > 1
+            team = _mixed(_mixed(k[at : at + n].view(np.uint64)) ^ fps[root].view(np.uint64)).view(np.int64)
+            yield out(False, k[at : at + n][some], team[some], fps[some])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_k = held_f = np.zeros(0, np.int64)
+        hot = None
+        for batch in batches:
+            k, f = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp"))
+            if hot is not None:
+                n = int(np.searchsorted(k, hot, "right"))
+                if n:
+                    yield out(True, k[:n], k[:n], f[:n])
+                k, f = k[n:], f[n:]
+            k, f = np.concatenate([held_k, k]), np.concatenate([held_f, f])
+            if not len(k):
+                continue
+            hot = None
+            last = int(np.searchsorted(k, k[-1], "left"))
+            if last:
+                yield from sets(k[:last], f[:last])
+            held_k, held_f = k[last:], f[last:]
+            if limit is not None and len(held_k) > limit:
+                yield out(True, held_k, held_k, held_f)
+                hot, held_k, held_f = held_k[0], held_k[:0], held_f[:0]
+        if len(held_k):
+            yield from sets(held_k, held_f)
+
+    return run
+
+
+def near_teams(spark: SparkSession, sims: DataFrame) -> DataFrame:
+    """``band``, ``team``, ``fp``: SimHashes (columns ``fp``, ``bands``) that share a band and hang together there.
+
+    Keys are shuffled once and read in sorted runs.  A run over BUCKET_ROWS is
+    cut into slices by hash, and every pair of slices is a run of its own.
+    """
+    ddl = "hot boolean, band int, team bigint, fp bigint"
+    keys = sims.mapInArrow(_keyed, "key bigint, fp bigint")
+    found = stored(spark, keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_grouped(BUCKET_ROWS), ddl))
+    hot = found.where("hot").select(F.col("team").alias("key"), "fp").distinct()
+    sizes = hot.groupBy("key").agg(F.ceil(F.count("*") / (BUCKET_ROWS / 2)).cast("int").alias("g"))
+    # A key keeps its band in the upper half; the lower half names the pair of slices.
+    pair = F.xxhash64("key", F.least("s", "t"), F.greatest("s", "t")).bitwiseAND(F.lit(0xFFFFFFFF))
+    met = (
+        join_summary(hot, sizes, "key")
+        .withColumn("s", F.pmod(F.xxhash64("fp"), F.col("g")).cast("int"))
+        .select("key", "fp", "s", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("t"))
+        .select(F.shiftleft(F.shiftright("key", 32), 32).bitwiseOR(pair).alias("key"), "fp")
+    )
+    more = met.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_grouped(None), ddl)
+    teams = stored(spark, found.where(~F.col("hot")).unionByName(more).select("band", "team", "fp").distinct())
+    # Near lines share most bands: of teams with the same members (by 128 bits and number) the first is enough.
+    same = teams.groupBy("team").agg(
+        F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"), F.count("*").alias("n"), F.min("band").alias("band")
+    )
+    one = same.groupBy("x", "y", "n").agg(F.min(F.struct("band", "team")).alias("m")).select("m.team")
+    return teams.join(one, "team", "left_semi")
+
+
 # -- jobs -----------------------------------------------------------------------------------------
 
 
@@ -300,18 +495,17 @@ def _with_row(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
 
 
-def _same_row(a: DataFrame, b: DataFrame):
-    return (a["_row"] == b["_row"]) & a["doc_id"].eqNullSafe(b["doc_id"])
-
-
 def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored lines that count, and for each hash that repeats or links: the occurrence that stays.
 
     Two lines link when their edit similarity, in lower case with all digits
     and marks, is SIMILARITY or more.  Candidates share one of BANDS bands of
-    ROWS MinHashes of their words and differ in at most RADIUS SimHash bits;
-    the connected groups of candidates are fetched (no other texts) and compared.  Groups over GROUP_LINES are cut into
-    slices and each pair of slices is compared in a task of its own.
+    ROWS MinHashes of their words, and hang together among the lines of that
+    band by steps of RADIUS SimHash bits at most.  Each such team is fetched
+    (each line's text once) and compared by itself, so that chains of chance
+    neighbours through different bands don't grow into one.  Teams over
+    GROUP_LINES are cut into slices and each pair of slices is compared in a
+    task of its own.
     """
     named = _with_row(docs.select("doc_id", "text"))
     lines = stored(
@@ -324,26 +518,27 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataF
             F.min(F.struct("doc_id", "_row", "line")).alias("first"), F.count("*").alias("n"), F.min("sim").alias("sim"), F.first("bands").alias("bands")
         ),
     )
-    sims = groups.groupBy(F.col("sim").alias("fp")).agg(F.count("*").alias("n"), F.min("bands").alias("bands"))
-    near = components(spark, link_fingerprints(spark, sims, _keyed, RADIUS))
-    # Every SimHash that has company: its group, roots included.
-    known = near.select("node", "root").unionByName(near.select(F.col("root").alias("node"), "root").distinct())
-    alone = sims.where("n > 1").join(known, F.col("fp") == F.col("node"), "left_anti").select(
-        F.col("fp").alias("node"), F.col("fp").alias("root")
-    )
-    members = groups.join(known.unionByName(alone), groups["sim"] == F.col("node")).select("h", "sim", "first", "root")
-    members = stored(spark, members)
-    texts = _fetch(named, members)
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / (GROUP_LINES / 2)).cast("int").alias("_g"))
+    sims = groups.groupBy(F.col("sim").alias("fp"), "bands").agg(F.count("*").alias("n"))
+    near = stored(spark, near_teams(spark, sims))
+    # Lines of one SimHash are a team of their own if they are in no other.
+    twice = sims.groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp")
+    teams = near.unionByName(twice.join(near, "fp", "left_anti").select(F.lit(0).alias("band"), F.col("fp").alias("team"), "fp"))
+    wanted = groups.join(near.select("fp").union(twice).distinct(), F.col("sim") == F.col("fp"), "left_semi").select("h", "sim", "bands", "first")
+    texts = stored(spark, _fetch(spark, named, stored(spark, wanted)))
+    members = stored(spark, teams.join(texts.select("h", F.col("sim").alias("fp")), "fp").select("band", "team", "h"))
+    sizes = members.groupBy("team").agg(F.ceil(F.count("*") / (GROUP_LINES / 2)).cast("int").alias("_g"))
     mine = F.pmod(F.xxhash64("h"), F.col("_g")).cast("int")
     met = (
-        texts.join(sizes, "root")
+        join_summary(members, sizes, "team")
         .withColumn("_s", mine)
-        .select("root", "h", "sim", "text", "_s", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)).alias("_t"))
-        .select(F.xxhash64("root", F.least("_s", "_t"), F.greatest("_s", "_t")).alias("key"), "h", "sim", "text")
+        .select("band", "team", "h", "_s", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)).alias("_t"))
+        .select(F.xxhash64("team", F.least("_s", "_t"), F.greatest("_s", "_t")).alias("key"), "band", "h")
+        .join(texts, "h")
+        .select("key", "h", "sim", "text", "band", "bands")
     )
-    edges = met.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_verified, "a binary, b binary")
-    roots = components(spark, edges)
+    pairs = met.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_verified, "a binary, b binary, x string, y string, most int")
+    edges = pairs.where("x is null or levenshtein(x, y, most) >= 0").select("a", "b")
+    roots = components(spark, edges.distinct())
     placed = groups.join(roots, groups["h"] == roots["node"], "left").select(
         "h", "first", "n", F.coalesce("root", "h").alias("_class")
     )
@@ -351,17 +546,17 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataF
     return lines, join_summary(placed.select("h", "_class"), classes, "_class").select("h", "stays")
 
 
-def _fetch(named: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` with the text of their first occurrence."""
-    wanted = members.select("h", "sim", "root", F.col("first._row").alias("_row"), F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("_line"))
-    docs = named.select("_row", "doc_id", "text")
+def _fetch(spark: SparkSession, named: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``h, sim, bands, text`` of the wanted lines, from the texts of their first occurrences, each cut up once."""
+    at = wanted.select("h", "sim", "bands", F.struct(F.col("first._row"), F.col("first.doc_id"), F.col("first.line")).alias("_at"))
     if wanted.count() <= BROADCAST_KEYS:
-        rows = F.broadcast(wanted.select("_row").distinct())
-        docs = docs.join(rows, "_row", "left_semi")
-    found = docs.join(wanted, _same_row(docs, wanted)).select(
-        "h", "sim", "root", F.element_at(F.split("text", "\n"), F.col("_line") + 1).alias("text")
+        at = F.broadcast(at)
+    own = named.select("_row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    own = own.select(F.struct("_row", "doc_id", "line").alias("_at"), "text")
+    # Rows that repeat with id and text have the line more than once.
+    return own.join(at, own["_at"].eqNullSafe(at["_at"])).groupBy("h").agg(
+        F.first("sim").alias("sim"), F.first("bands").alias("bands"), F.first("text").alias("text")
     )
-    return found
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
@@ -385,17 +580,15 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, names: tuple[str, str] = (
     gone = gone.withColumnRenamed("doc_id", "_gone_id").withColumnRenamed("_row", "_gone_row")
     same = (F.col("_row") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
     own = F.split("text", "\n", -1)
-    kept = F.filter(
-        F.transform(own, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("_gone", s["i"])
-    )
+    left = F.array_except(F.sequence(F.lit(0), F.size("_own") - 1), "_gone")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda s: s["x"]), "\n")
+        F.array_join(F.transform(left, lambda i: F.get("_own", i)), "\n")
     )
-    rewritten = named.join(gone, same, "left").select(
+    rewritten = named.join(gone, same, "left").withColumn("_own", own).select(
         "doc_id",
         text.alias("text"),
         "_rest",
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(own)).alias("_n"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("_own")).alias("_n"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_g"),
     )
     return unpacked(

@@ -6,8 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orbgrid.llm.common import dense_index, packed, require_new, unpacked
+from orbgrid.session import keep_copartitioning
 
 #: Slots of one period of the schedule, which one row holds.
 MAX_TICKETS = 20_000
@@ -149,6 +151,34 @@ def mix(
     return unpacked(ordered, docs.columns, _kept(source_col, order), *added)
 
 
+def with_places(
+    spark: SparkSession,
+    docs: DataFrame,
+    tickets: Mapping[str, int],
+    default: int = 1,
+    block_rows: int = 1,
+    source_col: str = "source",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    name: str = "position",
+) -> DataFrame:
+    """``docs`` with each row's dense place in the mixture (``name``), as ``mix`` gives it.
+
+    Only ids, sources and a hash of the row are mixed; the texts move once, to
+    meet their places.  Rows alike in id, source and text are numbered on both
+    sides and share their places among them.  An empty table stays empty.
+    """
+    require_new(docs, (name,))
+    keep_copartitioning(spark)  # numbering and join share one shuffle
+    key = F.xxhash64(id_col, source_col, text_col).alias("_k")
+    small = mix(spark, docs.select(id_col, source_col, key), tickets, default, block_rows, source_col, (id_col,), ("_block", "_slot", "_place"))
+    nth = lambda order: F.row_number().over(Window.partitionBy("_k").orderBy(order))
+    places = small.select("_k", "_place").withColumn("_n", nth("_place"))
+    rows = packed(docs, id_col, source_col, text_col).withColumn("_k", key).withColumn("_n", nth("_k"))
+    met = rows.join(places, ["_k", "_n"])
+    return unpacked(met, docs.columns, (id_col, source_col, text_col), F.col("_place").alias(name))
+
+
 def mixed_order(
     spark: SparkSession,
     docs: DataFrame,
