@@ -200,30 +200,29 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Levenshtein distance, a column of the table at a time as bits of one integer (Myers).
 
-    With ``most`` it ends as soon as the distance must be more, and gives some number above.
+    With ``most`` it ends once the distance must be more, and gives some number above.
     """
-    if not a or not b:
-        return max(len(a), len(b))
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a)
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, distance = full, 0, len(a)
-    # Every character still to come takes one off the distance at best.
-    ceiling = None if most is None else most + len(b)
-    for c in b:
-        match = where.get(c, 0)
-        diagonal = (((match & up) + up) ^ up) | match | down
-        plus = down | ~(diagonal | up) & full
-        minus = up & diagonal
-        distance += bool(plus & top) - bool(minus & top)
-        if ceiling is not None:
-            ceiling -= 1
-            if distance > ceiling:
-                return distance
-        plus = plus << 1 & full | 1
-        up = minus << 1 & full | ~(diagonal | plus) & full
-        down = plus & diagonal
+    full, get, columns = (1 << len(a)) - 1, where.get, len(b)
+    # The steps down a column, up by one or down by one; their sum is how far its end is from its top.
+    up, down = full, 0
+    for at in range(0, columns, 64):
+        for c in b[at : at + 64]:
+            match = get(c, 0)
+            diagonal = (((match & up) + up ^ up) | match | down) & full
+            plus = (down | full ^ (diagonal | up)) << 1 & full | 1
+            up, down = (up & diagonal) << 1 & full | full ^ (diagonal | plus), plus & diagonal
+        # Each column still to come takes one off the distance at best.
+        done = min(at + 64, columns)
+        distance = done + up.bit_count() - down.bit_count()
+        if most is not None and distance > most + columns - done:
+            return distance
     return distance
 
 
@@ -236,17 +235,22 @@ def edits_by_word(a: list[str], b: list[str], most: int) -> int:
     """Edits of an alignment by words, so at least as many as needed; past ``most`` it ends.
 
     The lines are the words with a space between them.  Where they differ, the
-    nearest pair of equal words some steps on is taken up again.
+    nearest pair of equal words some steps on is taken up again, and what lies
+    between is compared by itself.
     """
     i, j, cost, n, m = 0, 0, 0, len(a), len(b)
-    while i < n and j < m:
+    while i < n and j < m and cost <= most:
         if a[i] == b[j]:
             i, j = i + 1, j + 1
             continue
         di, dj = next(((x, y) for x, y in _AHEAD if i + x < n and j + y < m and a[i + x] == b[j + y]), (n - i, m - j))
-        cost += max(sum(map(len, a[i : i + di])) + di, sum(map(len, b[j : j + dj])) + dj)
-        if cost > most:
-            return cost
+        x, y = " ".join(a[i : i + di]), " ".join(b[j : j + dj])
+        if not di or not dj:
+            cost += max(len(x), len(y)) + 1  # and a space
+        elif max(di, dj) < 6:
+            cost += edit_distance(x, y)
+        else:
+            cost += max(len(x), len(y))
         i, j = i + di, j + dj
     return cost + max(sum(map(len, a[i:])) + n - i, sum(map(len, b[j:])) + m - j)
 
@@ -280,12 +284,12 @@ class Line:
         return self._grams
 
 
-def decide(a: Line, b: Line) -> bool | tuple[str, str, int]:
-    """Whether two lines have an edit similarity of SIMILARITY; or what is left to compare, and the edits allowed.
+def alike(a: Line, b: Line) -> bool:
+    """Edit similarity ``1 - distance / longer length`` of at least SIMILARITY.
 
     Decided by what the lines begin and end with, by an alignment of their
-    words (at least as many edits as needed), and by the triples of characters
-    they share (an edit takes away three at most).
+    words (at least as many edits as needed), by the triples of characters
+    they share (an edit takes away three at most), and else by the distance itself.
     """
     n, m = len(a.codes), len(b.codes)
     longer, shorter = max(n, m), min(n, m)
@@ -304,27 +308,25 @@ def decide(a: Line, b: Line) -> bool | tuple[str, str, int]:
         return True
     if int(np.minimum(a.grams, b.grams).sum()) < longer - 2 - 3 * most:
         return False
-    return a.text[head : n - tail], b.text[head : m - tail], most
+    return edit_distance(a.text[head : n - tail], b.text[head : m - tail], most) <= most
 
 
 def similar(a: str, b: str) -> bool:
-    """Edit similarity ``1 - distance / longer length`` of at least SIMILARITY."""
-    told = decide(Line(a), Line(b))
-    return told if isinstance(told, bool) else edit_distance(*told) <= told[2]
+    return alike(Line(a), Line(b))
 
 
 def group_forest(
     sims: np.ndarray, texts: list[str], bands: np.ndarray | None = None, band: int = 0
-) -> tuple[list[tuple[int, int]], list[tuple[int, int, str, str, int]]]:
-    """Links (as row numbers) of one group that connect whatever its links connect, but for pairs left to compare.
+) -> list[tuple[int, int]]:
+    """Links (as row numbers) of one group that connect whatever its links connect.
 
     Each line is compared with those not reached yet: by SimHash, then by
     letter counts (at least as many edits as letters that one has more), then
-    by ``decide``.  Pairs that share a band before ``band`` meet there.
+    in full.  Pairs that share a band before ``band`` meet there.
     """
     lines = [Line(t) for t in texts]
     letters = np.stack([np.bincount(x.codes & 63, minlength=64) for x in lines]).astype(np.int32)
-    out, open_pairs, rest, sizes = [], [], np.arange(len(sims)), letters.sum(axis=1)
+    out, rest, sizes = [], np.arange(len(sims)), letters.sum(axis=1)
     while len(rest) > 1:
         reached, rest = [int(rest[0])], rest[1:]
         while reached and len(rest):
@@ -339,35 +341,24 @@ def group_forest(
             more = letters[rest[near]] - letters[x]
             least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
             near = near[least <= (1 - SIMILARITY) * np.maximum(sizes[rest[near]], sizes[x]) + 1e-9]
-            hit = []
-            for p in near.tolist():
-                told = decide(lines[x], lines[rest[p]])
-                if told is True:
-                    hit.append(p)
-                elif told:
-                    open_pairs.append((x, int(rest[p]), *told))
+            hit = [p for p in near.tolist() if alike(lines[x], lines[rest[p]])]
             out += [(x, int(r)) for r in rest[hit]] if hit else []
             reached += rest[hit].tolist() if hit else []
             rest = np.delete(rest, hit) if hit else rest
-    return out, open_pairs
+    return out
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within runs of equal ``key``; with ``x``, ``y`` and ``most`` where a distance is left to compare."""
+    """Links within runs of equal ``key``."""
     key, held = None, []
 
     def links() -> pa.RecordBatch:
         sims = np.array([r[1] for r in held], np.int64)
         bands = np.frombuffer(b"".join([r[4] for r in held]), np.uint32).reshape(len(held), BANDS)
-        found, left = group_forest(sims, [r[2].lower() for r in held], bands, held[0][3])
-        pairs = [(i, j, None, None, None) for i, j in found] + left
+        found = group_forest(sims, [r[2].lower() for r in held], bands, held[0][3])
         return pa.RecordBatch.from_pydict(
-            {
-                "a": pa.array([held[p[0]][0] for p in pairs], pa.binary()), "b": pa.array([held[p[1]][0] for p in pairs], pa.binary()),
-                "x": pa.array([p[2] for p in pairs], pa.string()), "y": pa.array([p[3] for p in pairs], pa.string()),
-                "most": pa.array([p[4] for p in pairs], pa.int32()),
-            }
-        )
+            {"a": pa.array([held[i][0] for i, _ in found], pa.binary()), "b": pa.array([held[j][0] for _, j in found], pa.binary())}
+        )
 
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("key", "h", "sim", "text", "band", "bands")]
@@ -536,8 +527,7 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataF
         .join(texts, "h")
         .select("key", "h", "sim", "text", "band", "bands")
     )
-    pairs = met.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_verified, "a binary, b binary, x string, y string, most int")
-    edges = pairs.where("x is null or levenshtein(x, y, most) >= 0").select("a", "b")
+    edges = met.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_verified, "a binary, b binary")
     roots = components(spark, edges.distinct())
     placed = groups.join(roots, groups["h"] == roots["node"], "left").select(
         "h", "first", "n", F.coalesce("root", "h").alias("_class")
