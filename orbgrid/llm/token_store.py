@@ -398,5 +398,7 @@ def _documents(rows: list[tuple], arrays: bool) -> pa.RecordBatch:
 def read_tokens(manifest: DataFrame, ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ``ids``) of every document, from the files."""
     ddl = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * ids
-    spread = manifest.select("file", "start").repartition("file")
+    # A given number, as adaptive execution would put so few rows into one task; files are long.
+    files = manifest.count()
+    spread = manifest.select("file", "start").repartition(max(1, min(files, 64 + files // 16)), "file")
     return spread.mapInArrow(_reader(ids), ddl)

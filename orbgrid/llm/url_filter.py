@@ -96,7 +96,9 @@ def judge_urls(
             ).alias("_best")
         )
     )
-    return urls.join(found, ["host", "path"], "left").select(
+    # The key is made after the aggregation: both sides are shuffled for the join alone, and a hot url's rows can be split.
+    judged = found.select(F.struct("host", "path").alias("_url"), "_best")
+    return urls.withColumn("_url", F.struct("host", "path")).join(judged, "_url", "left").select(
         "page_id",
         "host",
         "path",

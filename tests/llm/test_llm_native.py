@@ -181,3 +181,27 @@ def test_mixing_edges(spark):
     assert mixing.mix(spark, df.limit(0), {}).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(spark, df, {"s": 0})
+
+
+def test_a_hot_url_is_split(spark):
+    """Three quarters of the rows without a url: the join may deal them to several tasks."""
+    from orbgrid.llm import url_filter
+
+    urls = ["NULL", "NULL", "NULL", "concat('https://host', id % 997, '.org/p/', id % 13)"]
+    pages = spark.range(40_000).selectExpr("id as page_id", f"case id % 4 when 3 then {urls[3]} end as url")
+    rules = spark.createDataFrame([("org", "/", "allow"), ("host1.org", "/p/1", "block")], "host string, path string, verdict string")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = url_filter.judge_urls(pages, rules).withColumn("task", F.spark_partition_id())
+        null_rows = [r["count"] for r in out.where("host = ''").groupBy("task").count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(null_rows) == 30_000 and max(null_rows) < 20_000
