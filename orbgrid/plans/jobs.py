@@ -9,13 +9,15 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import replace
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbgrid.functions.axes import PRESSURE_LEVELS_HPA, LatLonGrid, hpa_to_pa
+from orbgrid.functions.axes import PRESSURE_LEVELS_HPA, LatLonGrid, TimeAxis, hpa_to_pa
 from orbgrid.functions.healpix import npix
+from orbgrid.operators.cover import Extent
 from orbgrid.operators.joins import attach
 from orbgrid.operators.mapping import (
     FieldMismatch,
@@ -439,6 +441,38 @@ def is_created(store: CellStore, experiment: Experiment) -> bool:
     return not store.read_table("metadata", METADATA_SCHEMA).filter(F.col("sim") == experiment.key).isEmpty()
 
 
+# --- reading -----------------------------------------------------------------
+
+
+def open_dataset(
+    store: CellStore,
+    experiment: Experiment,
+    freq: str,
+    zoom: int,
+    variables: list[str] | None = None,
+    extent: Extent | None = None,
+    time: tuple[datetime | None, datetime | None] | None = None,
+    signed_lon: bool = False,
+) -> DataFrame:
+    """``CellStore.open`` with only the folders that can hold the times; times are half open."""
+    blocks = None
+    if time is not None:
+        axis = next(g.axis for g in experiment.groups if g.store == freq)
+        blocks = _blocks_of(time, axis, zoom, experiment)
+    return store.open(experiment.key, freq, zoom, variables, signed_lon, extent, time, blocks)
+
+
+def _blocks_of(time, axis: TimeAxis, zoom: int, experiment: Experiment) -> tuple[int, int]:
+    """First and last block of a zoom that can hold times in a half-open range."""
+    first, before = time
+    top = zoom == experiment.max_zoom
+    width = timedelta(hours=CYCLE_HOURS) if top else axis.step * work_chunk(zoom, experiment.regional)
+    low = 0 if first is None else (first - axis.start) // width
+    high = (1 << 62) if before is None else (before - axis.start) // width
+    # A cycle may hold the stamp that its successor starts with; a step is half a step around its stamp.
+    return low - 1, high + 1
+
+
 # --- coarsening --------------------------------------------------------------
 
 

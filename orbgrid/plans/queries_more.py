@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from orbgrid.operators.mapping import FieldRule, VariableSpec, inventory
 from orbgrid.operators.timeline import snapshot
 from orbgrid.operators.weights import build_weights, explode_corners
 from orbgrid.plans import jobs
-from orbgrid.plans.inputs import CELLS_SQL, GRID, SOURCES_SQL, ZOOM, cells, sources, table, weights_sql
+from orbgrid.plans.inputs import CELLS_SQL, GRID, SOURCES_SQL, ZOOM, cells, lonlat_sql, sources, table, weights_sql
 from orbgrid.plans.queries_checks import _DEMO, _K, _SNAP_SQL, NPIX, _stored
 from orbgrid.plans.queries_grid import _chain_sql
 from orbgrid.plans.registry import register
@@ -23,6 +24,8 @@ from orbgrid.session import scratch_root
 from orbgrid.sources import manifest as mf
 from orbgrid.sources.store import CellStore, cached_weights
 
+_BOX = (330.5, 401.0, -33.0, 47.0)
+_BOX_SQL = "(lon > 330.5 OR lon < 41) AND lat > -33 AND lat < 47"
 _RANGES = {"click": (2.0, None), "view": (0.0, 1e9)}
 
 
@@ -79,6 +82,23 @@ def region_report(spark: SparkSession, d: str) -> DataFrame:
     return jobs.region_report(store, replace(_DEMO, max_zoom=ZOOM), "P1D", ZOOM)
 
 
+@register(
+    f"""WITH {CELLS_SQL}, p AS ({lonlat_sql('ev', ZOOM, '*')})
+SELECT variable, "time", healpix_index, round(v::FLOAT::DOUBLE, 4) AS value, round(CASE WHEN lon <= 180 THEN lon ELSE lon - 360 END, 6) AS lon,
+round(lat, 6) AS lat FROM p WHERE "time" >= TIMESTAMP '2024-01-05' AND "time" < TIMESTAMP '2024-01-19' AND {_BOX_SQL}"""
+)
+def region_read(spark: SparkSession, d: str) -> DataFrame:
+    """A box across the zero meridian and two weeks of a stored dataset."""
+    store = CellStore(spark, scratch_root(spark))
+    store.write_region(_stored(spark, d))
+    days = (datetime(2024, 1, 5), datetime(2024, 1, 19))
+    out = store.open("demo", "P1D", ZOOM, extent=_BOX, time=days, blocks=(4, 17), signed_lon=True)
+    return out.select(
+        "variable", "time", "healpix_index", F.round(F.col("value").cast("double"), 4).alias("value"),
+        F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"),
+    )
+
+
 @register(
     f"""WITH {CELLS_SQL} SELECT 'v1' AS version, variable, count(*) AS n FROM ev GROUP BY ALL
 UNION ALL SELECT 'v2', variable, count(*) FROM ev WHERE variable <> 'click' GROUP BY ALL"""

@@ -8,12 +8,17 @@ partitions just as it would prune columns.
 
 ``block`` numbers the unit of rewriting along time: the input cycle at the top
 zoom, the time chunk at the coarser zooms.
+
+Within a block, rows are laid out by tiles of cells, then by time and cell: the
+statistics of files, row groups and pages are narrow, so that a read of a box
+skips most of a block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -22,10 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbgrid.functions.axes import LatLonGrid
-from orbgrid.functions.healpix import with_lonlat
-from orbgrid.operators.weights import build_weights
+from orbgrid.functions.healpix import npix, signed_lon as to_signed, with_lonlat
+from orbgrid.operators.cover import Extent, cover, in_ranges, merge
+from orbgrid.operators.weights import build_weights, inside_extent
 
 PARTITIONS = ["sim", "freq", "zoom", "variable", "block"]
+#: Bits of the cells in a tile: a million cells, a base cell of zoom 10.  Zooms up to 8 are one tile.
+TILE_BITS = 20
+#: Index ranges in the filter of a read; more are joined across the smallest gaps.
+READ_RANGES = 64
 CELL_SCHEMA = T.StructType(
     [
         T.StructField("time", T.TimestampNTZType()),
@@ -66,17 +76,22 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: list[str], order: list[str] | None = None) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partitions: list[str], order: Sequence[str] = (), tile: Column | None = None
+) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
-    Rows are rebalanced by partition: large partitions are split over several
-    tasks and small ones share one, so no writer gets a hot partition whole.
+    Rows are rebalanced by partition and ``tile``: large parts are split over
+    several tasks and small ones share one, so no writer gets a hot partition
+    whole.  In a file, rows go by partition, tile and ``order``.
     """
-    out = df.hint("rebalance", *partitions)
-    if order:
-        out = out.sortWithinPartitions(*partitions, *order)
+    tiles = [] if tile is None else ["_tile"]
+    out = df if tile is None else df.withColumn("_tile", tile)
+    out = out.hint("rebalance", *partitions, *tiles)
+    if order or tiles:
+        out = out.sortWithinPartitions(*partitions, *tiles, *order)
     (
-        out.write.mode("overwrite")
+        out.drop("_tile").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -105,8 +120,9 @@ class Written:
 class CellStore:
     """Cells of all simulations, frequencies and zooms under one root and version."""
 
-    def __init__(self, spark: SparkSession, root: str, version: str = "v1"):
+    def __init__(self, spark: SparkSession, root: str, version: str = "v1", tile_bits: int = TILE_BITS):
         self.spark = spark
+        self.tile_bits = tile_bits
         self.root = f"{root.rstrip('/')}/{version}"
         self.cells_path = f"{self.root}/cells"
 
@@ -128,7 +144,8 @@ class CellStore:
         blocks = sorted(set(expected.blocks)) if expected is not None else []
         digests = [F.bit_xor(F.when(F.col("block") == b, cell)).alias(f"b{b}") for b in blocks]
         rows = rows.observe(seen, F.collect_set(F.struct("variable", "block")).alias("parts"), *digests)
-        overwrite_partitions(rows, self.cells_path, PARTITIONS, ["time", "level", "healpix_index"])
+        tile = F.shiftright("healpix_index", self.tile_bits)
+        overwrite_partitions(rows, self.cells_path, PARTITIONS, ["time", "level", "healpix_index"], tile)
         try:
             noted = seen.get
         except Py4JJavaError:  # input that is proved empty is planned without the note
@@ -176,10 +193,43 @@ class CellStore:
         return out if variables is None else out.filter(F.col("variable").isin(variables))
 
     def open(
-        self, sim: str, freq: str, zoom: int, variables: list[str] | None = None, signed_lon: bool = False
+        self,
+        sim: str,
+        freq: str,
+        zoom: int,
+        variables: list[str] | None = None,
+        signed_lon: bool = False,
+        extent: Extent | None = None,
+        time: tuple[datetime | None, datetime | None] | None = None,
+        blocks: tuple[int, int] | None = None,
     ) -> DataFrame:
-        """One dataset with coordinates; only its partitions are read."""
-        return with_lonlat(self.scan(sim, freq, zoom, variables), zoom, signed=signed_lon)
+        """One dataset with coordinates; only its partitions are read.
+
+        ``extent`` (west, east, south, north; east may pass 360) keeps cells with
+        their centres strictly inside, ``time`` (from, before; either may be
+        None) a half-open range of times.  A box reaches the Parquet scan as the
+        index ranges of its cover, which skip what lies apart; the centres of
+        the rest are looked at.  Times are compared row by row, as Parquet
+        filters leave out timestamps without a zone: ``blocks`` (first, last)
+        prunes their folders, and ``jobs.open_dataset`` derives it from them.
+        ``signed_lon`` concerns the longitudes of the result alone.
+        """
+        out = self.scan(sim, freq, zoom, variables)
+        if blocks is not None:
+            out = out.filter(F.col("block").between(*blocks))
+        first, before = time or (None, None)
+        if first is not None:
+            out = out.filter(F.col("time") >= F.lit(first).cast("timestamp_ntz"))
+        if before is not None:
+            out = out.filter(F.col("time") < F.lit(before).cast("timestamp_ntz"))
+        if extent is None:
+            return with_lonlat(out, zoom, signed=signed_lon)
+        ranges = merge(cover(extent, zoom).ranges, READ_RANGES)
+        if len(ranges) != 1 or tuple(ranges[0]) != (0, npix(zoom)):
+            out = out.filter(in_ranges("healpix_index", ranges))
+        placed = with_lonlat(out, zoom).withColumn("_lon", F.col("lon"))
+        boxed = inside_extent(placed, extent, lon="_lon").drop("_lon")
+        return boxed.withColumn("lon", to_signed("lon")) if signed_lon else boxed
 
     def catalog(self) -> DataFrame:
         """Datasets and variables there are, from partition values only."""
