@@ -3,79 +3,119 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from math import gcd
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orbgrid.llm.common import dense_index, packed, require_new, unpacked
+from orbgrid.llm.common import dense_index, join_summary, packed, require_new, stored, unpacked
 from orbgrid.session import keep_copartitioning
 
-#: Slots of one period of the schedule, which one row holds.
-MAX_TICKETS = 20_000
+#: Slots that one row schedules; a longer period takes a row after another.
+CHUNK_SLOTS = 1 << 17
+#: Slots whose candidates are looked at together.
+BATCH_SLOTS = 256
+#: Tickets up to which the schedule is broadcast.
+BROADCAST_TICKETS = 100_000
 
 
-def period(sources: DataFrame) -> DataFrame:
+def period(sources: DataFrame, chunk_slots: int = CHUNK_SLOTS, batch_slots: int = BATCH_SLOTS) -> DataFrame:
     """One period of the schedule: source, tickets, k (the source's k-th block, from 0), slot, total.
 
-    ``sources`` has ``source`` and integer ``tickets``; a source's weight is its
+    ``sources`` has ``source`` (unique) and integer ``tickets``; a source's weight is its
     tickets over their sum Q.  Its block j (from 1) may not come before slot
     ``floor((j-1) * Q / tickets)`` and must come before slot
     ``ceil(j * Q / tickets)``.  In each slot the released block with the
     earliest deadline goes (ties: smaller source).  Weights sum to 1, so every
     deadline is met and every prefix has each source within one block of its share.
 
-    The period is a fold over Q slots in one row; more than ``MAX_TICKETS``
-    tickets in all stop the job.
+    Blocks are made where their slots are scheduled, ``chunk_slots`` at a time.
+    What one chunk leaves for the next is a block or two of each source, stored
+    between them.  No sources give no rows.
     """
-    # More sources than tickets can be are cut off, and then stop the job below.
-    one = sources.limit(MAX_TICKETS + 1).agg(F.array_sort(F.collect_list(F.struct("source", "tickets"))).alias("s")).withColumn(
-        "q", F.coalesce(F.aggregate("s", F.lit(0).cast("long"), lambda x, s: x + s["tickets"]), F.lit(0).cast("long"))
-    )
-    one = one.where(F.size("s") > 0).withColumn(
-        "q", F.when(F.col("q") <= MAX_TICKETS, F.col("q")).otherwise(F.raise_error(F.lit("too many tickets")).cast("long"))
-    )
-    n, q, s = F.size("s"), F.col("q"), F.col("s")
-    every = F.sequence(F.lit(0), n - 1)
+    spark = sources.sparkSession
+    total = sources.agg(F.sum("tickets")).first()[0]
+    named = sources.select("source", F.col("tickets").cast("long").alias("tickets"))
+    if total is None:
+        return named.select("*", F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("total"))
+    waiting, parts = None, []
+    for low in range(0, total, chunk_slots):
+        done = _chunk(named, waiting, total, low, min(low + chunk_slots, total), batch_slots)
+        if total > chunk_slots:
+            done = stored(spark, done)
+        waiting = done.select("waiting")
+        parts.append(done.select(F.explode("out").alias("e")).select("e.*"))
+    slots = reduce(DataFrame.unionByName, parts)
+    return slots.select("source", "tickets", "k", "slot", F.lit(total).cast("long").alias("total"))
+
+
+_JOB = "struct<d:bigint,source:string,r:bigint,k:bigint,tickets:bigint>"
+_SLOT = "struct<source:string,tickets:bigint,k:bigint,slot:bigint>"
 
-    def step(state, t):
-        def share(i):
-            return F.element_at(s, i + 1)["tickets"]
 
-        def done(i):
-            return F.element_at(state["done"], i + 1)
+def _bound(value, use):
+    """``use(value)`` with the value computed once and then used by name."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-        ready = F.filter(
-            every, lambda i: (done(i) < share(i)) & (F.call_function("div", done(i) * q, share(i)) <= t)
+
+def _chunk(sources: DataFrame, waiting: DataFrame | None, total: int, low: int, high: int, batch: int) -> DataFrame:
+    """Slots ``low`` to before ``high`` in one row: ``out``, and the blocks ``waiting`` for the next chunk.
+
+    A batch looks at the blocks released in it and at as many of the waiting
+    ones, by deadline, as it has slots: no other can have its turn.
+    """
+    q, n = F.lit(total).cast("long"), F.col("tickets")
+
+    def div(x, y):
+        return F.call_function("div", x, y)
+
+    def released_before(slot):
+        return div(F.lit(slot).cast("long") * n + q - 1, q)
+
+    first, last = released_before(low), released_before(high) - 1
+    k = F.col("k")
+    jobs = sources.where(first <= last).select("source", "tickets", F.explode(F.sequence(first, last)).alias("k"))
+    job = F.struct(
+        div((k + 1) * q + n - 1, n).alias("d"), "source", div(k * q, n).alias("r"), "k", "tickets"
+    ).alias("job")
+    batches = jobs.select(job).groupBy(div(F.col("job.r") - low, F.lit(batch)).alias("b")).agg(F.array_sort(F.collect_list("job")).alias("jobs"))
+    one = batches.agg(F.map_from_entries(F.collect_list(F.struct("b", "jobs"))).alias("released"))
+    if waiting is None:
+        one = one.withColumn("waiting", F.array().cast(f"array<{_JOB}>"))
+    else:
+        both = one.withColumn("waiting", F.lit(None).cast(f"array<{_JOB}>")).unionByName(waiting, allowMissingColumns=True)
+        one = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("released", "waiting")])
+    none = F.array().cast(f"array<{_JOB}>")
+
+    def slot_step(state, t):
+        pick = F.get(F.filter(state["ready"], lambda x: x["r"] <= t), F.lit(0))
+        return _bound(
+            pick,
+            lambda p: F.struct(
+                F.filter(state["ready"], lambda x: (x["d"] != p["d"]) | (x["source"] != p["source"])).alias("ready"),
+                F.concat(state["out"], F.array(F.struct(p["source"].alias("source"), p["tickets"].alias("tickets"), p["k"].alias("k"), t.alias("slot")))).alias("out"),
+            ),
         )
-        pick = F.array_min(
-            F.transform(
-                ready,
-                lambda i: F.struct(F.call_function("div", (done(i) + 1) * q + share(i) - 1, share(i)).alias("d"), i.alias("i")),
-            )
-        )["i"]
-        # Through an array of one, so that the choice is made once and then used by name.
-        return F.get(
-            F.transform(
-                F.array(pick),
-                lambda p: F.struct(
-                    F.transform(state["done"], lambda x, i: x + F.when(i == p, 1).otherwise(0)).alias("done"),
-                    F.concat(state["out"], F.array(F.struct(p.alias("i"), done(p).alias("k"), t.alias("t")))).alias("out"),
-                ),
+
+    def batch_step(state, b):
+        start = F.lit(low).cast("long") + b * batch
+        slots = F.sequence(start, F.least(start + batch, F.lit(high).cast("long")) - 1)
+        come = F.coalesce(F.element_at(F.col("released"), b), none)
+        ready = F.array_sort(F.concat(F.slice(state["waiting"], 1, batch), come))
+        ran = F.aggregate(slots, F.struct(ready.alias("ready"), F.array().cast(f"array<{_SLOT}>").alias("out")), slot_step)
+        rest = F.slice(state["waiting"], F.lit(batch + 1), F.greatest(F.size(state["waiting"]), F.lit(1)))
+        return _bound(
+            ran,
+            lambda x: F.struct(
+                F.array_sort(F.concat(x["ready"], rest)).alias("waiting"), F.concat(state["out"], x["out"]).alias("out")
             ),
-            F.lit(0),
         )
 
-    start = F.struct(
-        F.transform(s, lambda _: F.lit(0).cast("long")).alias("done"),
-        F.array().cast("array<struct<i:int,k:bigint,t:bigint>>").alias("out"),
-    )
-    slots = F.aggregate(F.sequence(F.lit(0).cast("long"), q - 1), start, step, lambda x: x["out"])
-    return (
-        one.select("s", "q", F.explode(slots).alias("e"))
-        .select(F.element_at("s", F.col("e.i") + 1).alias("x"), "e.k", F.col("e.t").alias("slot"), F.col("q").alias("total"))
-        .select("x.source", "x.tickets", "k", "slot", "total")
-    )
+    start = F.struct("waiting", F.array().cast(f"array<{_SLOT}>").alias("out"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit((high - low - 1) // batch).cast("long"))
+    return one.select(F.aggregate(every, start, batch_step).alias("s")).select("s.waiting", "s.out")
 
 
 def schedule(
@@ -103,24 +143,28 @@ def schedule(
     named = packed(docs, *keep).withColumn("_source", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
     rows = dense_index(spark, named, ["_source", *order], "_row")
     sources = rows.groupBy("_source").agg(F.min("_row").alias("_first"))
-    weight = F.lit(default).cast("long")
+    # Tickets with a common divisor give the same order as without it.
+    unit = gcd(default, *tickets.values())
+    weight = F.lit(default // unit).cast("long")
     for name, n in sorted(tickets.items()):
-        weight = F.when(F.col("_source") == name, F.lit(n).cast("long")).otherwise(weight)
-    sources = sources.withColumn("_tickets", weight)
+        weight = F.when(F.col("_source") == name, F.lit(n // unit).cast("long")).otherwise(weight)
+    sources = stored(spark, sources.withColumn("_tickets", weight))
     cycle = period(sources.select(F.col("_source").alias("source"), F.col("_tickets").alias("tickets")))
-    # At most MAX_TICKETS rows, or the job has stopped.
     slots = cycle.select(
         F.col("source").alias("_source"), F.col("k").alias("_k"), F.col("slot").alias("_at"), F.col("total").alias("_total")
     )
-    firsts = sources.select("_source", "_first", "_tickets")
     inside = F.col("_row") - F.col("_first")
     block = F.call_function("div", inside, F.lit(block_rows).cast("long"))
-    return (
-        rows.join(F.broadcast(firsts), "_source")
-        .withColumn("_in_source", inside)
+    few = (sources.agg(F.sum("_tickets")).first()[0] or 0) <= BROADCAST_TICKETS
+    known = rows.join(F.broadcast(sources), "_source") if few else join_summary(rows, sources, "_source")
+    blocks = (
+        known.withColumn("_in_source", inside)
         .withColumn("_block", block)
         .withColumn("_k", F.pmod(F.col("_block"), F.col("_tickets")))
-        .join(F.broadcast(slots), ["_source", "_k"])
+    )
+    # Blocks of a hot source are spread by their numbers; with few tickets the schedule goes to the rows.
+    return (
+        blocks.join(F.broadcast(slots) if few else slots, ["_source", "_k"])
         .withColumn("_slot", F.call_function("div", F.col("_block"), F.col("_tickets")) * F.col("_total") + F.col("_at"))
         .drop("_row", "_first", "_tickets", "_k", "_at", "_total")
     )

@@ -156,6 +156,24 @@ def test_every_prefix_is_within_one_block(spark, tickets):
         assert all(abs(seen[x] - Fraction(n * t, q)) < 1 for x, n in tickets.items())
 
 
+@pytest.mark.parametrize("chunk, batch", [(1, 1), (7, 3), (50, 8), (1000, 16)])
+def test_period_in_rows_and_batches(spark, chunk, batch):
+    tickets = {"a": 17, "b": 5, "c": 1, "": 3, **{f"s{k}": 1 for k in range(9)}}
+    table = spark.createDataFrame(list(tickets.items()), "source string, tickets long")
+    got = [(r.source, r.k) for r in mixing.period(table, chunk, batch).orderBy("slot").collect()]
+    assert got == plain_period(tickets)
+
+
+def test_fifty_thousand_sources(spark):
+    """Each has its share, within a block of it, at any length of the period."""
+    table = spark.range(50_000).selectExpr("cast(id AS string) AS source", "1 + id % 3 AS tickets")
+    got = mixing.period(table).toPandas()
+    q = int(got.total[0])
+    assert q == len(got) == got.slot.nunique() == 99_999
+    assert (got.slot >= got.k * q // got.tickets).all() and (got.slot < -(-(got.k + 1) * q // got.tickets)).all()
+    assert not got.duplicated(["source", "k"]).any() and mixing.period(table.limit(0)).count() == 0
+
+
 def test_mixture_of_whole_table_against_plain_code(spark):
     rows = QUERIES["op3_pfair_mix"](spark, SF).orderBy("position").collect()
     by = defaultdict(list)
@@ -179,6 +197,8 @@ def test_mixing_edges(spark):
     assert sorted(r.p for r in out.collect()) == list(range(5))
     assert mixing.mixed_order(spark, df, {"s": 2}).columns == df.columns
     assert mixing.mix(spark, df.limit(0), {}).count() == 0
+    order = lambda out: [(r.source, r.position) for r in out.orderBy("position").collect()]
+    assert order(mixing.mix(spark, df, {"s": 40}, 20)) == order(mixing.mix(spark, df, {"s": 2}))
     with pytest.raises(ValueError):
         mixing.mix(spark, df, {"s": 0})
 
