@@ -16,13 +16,13 @@ from orbgrid.operators.mapping import FieldRule, VariableSpec, inventory
 from orbgrid.operators.timeline import snapshot
 from orbgrid.operators.weights import build_weights, explode_corners
 from orbgrid.plans import jobs
-from orbgrid.plans.inputs import CELLS_SQL, GRID, SOURCES_SQL, ZOOM, cells, lonlat_sql, sources, table, weights_sql
-from orbgrid.plans.queries_checks import _DEMO, _K, _SNAP_SQL, NPIX, _stored
+from orbgrid.plans.inputs import ARRIVALS_SQL, CELLS_SQL, GRID, SOURCES_SQL, ZOOM, arrivals, cells, lonlat_sql, sources, table, weights_sql
+from orbgrid.plans.queries_checks import _DEMO, _K, _SNAP_SQL, NPIX, STREAMS, _stored
 from orbgrid.plans.queries_grid import _chain_sql
 from orbgrid.plans.registry import register
 from orbgrid.session import scratch_root
 from orbgrid.sources import manifest as mf
-from orbgrid.sources.store import CellStore, cached_weights
+from orbgrid.sources.store import CellStore, Region, cached_weights
 
 _BOX = (330.5, 401.0, -33.0, 47.0)
 _BOX_SQL = "(lon > 330.5 OR lon < 41) AND lat > -33 AND lat < 47"
@@ -175,3 +175,43 @@ def discovered_cycles(spark: SparkSession, d: str) -> DataFrame:
     ev.select(F.lit("x").alias("value"), stem.alias("stem")).distinct().write.partitionBy("stem").text(root)
     found = mf.list_files(spark, root, "*.txt", folders="stem=run*").withColumn("stem", F.regexp_extract("path", "stem=([^/]+)/", 1))
     return mf.file_cycles(found).groupBy("cycle").agg(F.count_distinct("stem").alias("n_files"))
+
+
+@register(
+    f"""WITH {ARRIVALS_SQL}, f AS (SELECT sim, cycle, sim || '/' || strftime(cycle, '%Y%m%dT%H') || '/' || stream || '.pp' AS path FROM man)
+SELECT sim, cycle, string_agg(path, ';' ORDER BY path) AS paths FROM f GROUP BY ALL HAVING count(*) = {STREAMS}"""
+)
+def sorted_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """The files of each complete cycle, in order."""
+    stamp = F.date_format("cycle", "yyyyMMdd'T'HH")
+    path = F.concat_ws("/", "sim", stamp, F.concat("stream", F.lit(".pp")))
+    found = mf.complete_files(arrivals(spark, d).withColumn("path", path), STREAMS, ["sim", "cycle"])
+    return found.select("sim", "cycle", F.concat_ws(";", "paths").alias("paths"))
+
+
+@register(
+    f"""WITH {CELLS_SQL}, b AS (SELECT variable, date_diff('day', DATE '2024-01-01', "time"::DATE)::BIGINT AS block, v FROM ev)
+SELECT variable, block, count(v) AS n_values FROM b WHERE NOT (variable = 'click' AND block BETWEEN 7 AND 13) GROUP BY ALL"""
+)
+def emptied_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """A rerun that has no values for a week of one variable: its blocks leave the store, the others stay."""
+    store, rows = CellStore(spark, scratch_root(spark)), _stored(spark, d)
+    store.write_region(rows)
+    week = rows.filter(F.col("block").between(7, 13))
+    rerun = week.withColumn("value", F.when(F.col("variable") != "click", F.col("value")))
+    store.write_region(rerun, Region("demo", "P1D", ZOOM, ["click"], range(7, 14)))
+    return store.scan().groupBy("variable", "block").agg(F.count("value").alias("n_values"))
+
+
+@register(
+    f"""WITH {CELLS_SQL} SELECT variable, date_diff('day', DATE '2024-01-01', "time"::DATE)::BIGINT AS block, count(v) AS n_values,
+'v1/cells/sim=demo/freq=P1D/zoom={ZOOM}/variable=' || variable || '/block=' || date_diff('day', DATE '2024-01-01', "time"::DATE) AS folder
+FROM ev GROUP BY ALL"""
+)
+def store_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Where the store keeps each variable and block."""
+    store = CellStore(spark, scratch_root(spark))
+    store.write_region(_stored(spark, d))
+    folder = F.regexp_extract(F.input_file_name(), "(v1/cells/.*)/[^/]+$", 1)
+    rows = store.scan().select("variable", "block", "value", folder.alias("folder"))
+    return rows.groupBy("variable", "block", "folder").agg(F.count("value").alias("n_values"))
