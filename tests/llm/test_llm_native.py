@@ -189,6 +189,14 @@ def test_mixture_of_whole_table_against_plain_code(spark):
     assert [r.position for r in rows] == list(range(len(order)))
 
 
+def test_mixture_without_broadcast(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source")
+    rows = lambda: mixing.mix(spark, docs, TICKETS, block_rows=4).orderBy("position").collect()
+    want = rows()
+    monkeypatch.setattr(mixing, "BROADCAST_TICKETS", 0)
+    assert rows() == want
+
+
 def test_mixing_edges(spark):
     rows = [(1, None, None), (1, None, "x"), (None, "s", "x"), (2, "s", ""), (2, "s", "")]
     df = spark.createDataFrame(rows, "doc_id long, source string, _slot string")
