@@ -126,13 +126,16 @@ def store_checks(
     cells: DataFrame,
     regional: bool = False,
     ranges: dict[str, tuple[float | None, float | None]] = VALUE_RANGES,
+    registered: DataFrame | None = None,
 ) -> DataFrame:
     """All checks of stored cells: one row per dataset, variable and check, with ``ok``.
 
     ``loads``: the dataset has a second step; ``missing``: the share of missing
     cells in that step keeps the rules; ``range``: all values lie within the
     variable's limits; ``series`` (zoom 0 only): no cell is missing between the
-    first and the last step.  Cells are aggregated once.
+    first and the last step.  With ``registered`` (sim, freq, zoom, variable),
+    ``present``: a registered variable has cells; one without them has this row
+    alone.  Cells are aggregated once.
     """
     by = ["sim", "freq", "zoom"]
     steps = cells.select(*by, "time").distinct()
@@ -165,6 +168,11 @@ def store_checks(
     )
     series = F.when(F.col("zoom") == 0, F.col("n_inner") == F.greatest(F.col("_nt") - 2, F.lit(0)) * n_cells)
     checks = {"loads": F.col("n_steps") >= 2, "missing": F.col("failure").isNull(), "range": within, "series": series}
+    if registered is not None:
+        wanted = registered.select(*by, "variable").distinct().withColumn("_wanted", F.lit(True))
+        ruled = ruled.join(wanted, [*by, "variable"], "full")
+        there = F.col("n_steps").isNotNull()
+        checks = {k: F.when(there, v) for k, v in checks.items()} | {"present": F.when(F.col("_wanted"), there)}
     pairs = F.array(*[F.struct(F.lit(k).alias("check"), v.alias("ok")) for k, v in checks.items()])
     return ruled.select(*by, "variable", F.inline(pairs)).filter(F.col("ok").isNotNull())
 

@@ -215,3 +215,19 @@ def store_paths(spark: SparkSession, d: str) -> DataFrame:
     folder = F.regexp_extract(F.input_file_name(), "(v1/cells/.*)/[^/]+$", 1)
     rows = store.scan().select("variable", "block", "value", folder.alias("folder"))
     return rows.groupBy("variable", "block", "folder").agg(F.count("value").alias("n_values"))
+
+
+@register(
+    f"""WITH {CELLS_SQL}, {_check_sql(ZOOM).replace(f'z{ZOOM}', 'ev')}
+SELECT 'demo' AS sim, variable, "check", ok FROM c{ZOOM} UNION ALL SELECT DISTINCT 'demo', event_type, 'present', TRUE FROM events
+UNION ALL SELECT r_name, 'click', 'present', FALSE FROM region"""
+)
+def registered_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Checks of a store against its registry; datasets that are not there fail."""
+    store = CellStore(spark, scratch_root(spark))
+    store.write_region(_stored(spark, d))
+    named = [F.lit("P1D").alias("freq"), F.lit(ZOOM).alias("zoom")]
+    there = table(spark, d, "events").select(F.lit("demo").alias("sim"), *named, F.col("event_type").alias("variable"))
+    absent = table(spark, d, "region").select(F.col("r_name").alias("sim"), *named, F.lit("click").alias("variable"))
+    out = ql.store_checks(store.scan(), ranges=_RANGES, registered=there.union(absent))
+    return out.select("sim", "variable", "check", "ok")
