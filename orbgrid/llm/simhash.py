@@ -146,6 +146,13 @@ def golay_keys(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, (segment[rows] ^ errors[syndrome[rows], nth]) >> 11
 
 
+def golay_codewords() -> np.ndarray:
+    """The 4,096 words of the extended code [24, 12, 8]: those of the perfect code with a parity bit above."""
+    words = np.arange(1 << 12) << 11
+    words ^= _syndromes(words)
+    return words | (np.bitwise_count(words).astype(np.int64) & 1) << 23
+
+
 def link_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and 64-bit keys of unsigned fingerprints; see the module."""
     parts = [((fps >> np.uint64(at)) & np.uint64((1 << wide) - 1)).astype(np.int64) for at, wide in SEGMENTS]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orbgrid.llm import line_dedup, prefix_forest, simhash
+from orbgrid.llm import line_dedup, near_texts, prefix_forest, simhash
 from orbgrid.llm.common import stored
 from orbgrid.llm.queries import GOOD, QUERIES
 
@@ -161,6 +161,36 @@ def test_near_duplicate_stage_against_brute_force(spark):
     assert sum(found) >= 0.95 * sum(pairs) > 0
 
 
+def test_near_duplicates_come_through_golay_keys(spark):
+    """Every Golay codeword is decoded, with up to three wrong bits; alike texts share a key and stay within the radius."""
+    words = simhash.golay_codewords()
+    assert np.unique(np.bitwise_count(words[1:] ^ words[0])).tolist() == [8, 12, 16, 24]
+    rng = np.random.default_rng(3)
+    signs = np.where(words[:, None] >> np.arange(24) & 1, 1, -1)
+    right = near_texts.decoded(signs)
+    assert len(np.unique(right)) == 4096
+    for row in signs:
+        row[rng.choice(24, 3, replace=False)] *= -1
+    assert (near_texts.decoded(signs) == right).all()
+
+    found, close, n = 0, 0, 0
+    for _ in range(300):
+        text = [f"w{x}" for x in rng.integers(0, 3000, 120)]
+        at = rng.integers(0, 112)
+        a, b = (near_texts.shingles(" ".join(t))[1] for t in (text, [*text[:at], *["new"] * 8, *text[at + 8 :]]))
+        if not near_texts.alike(a, b):
+            continue
+        v, w = near_texts.votes(a), near_texts.votes(b)
+        x, y = (near_texts.segment_keys(near_texts.decoded(k[: 24 * near_texts.SEGMENTS])[None])[0] for k in (v, w))
+        found, close, n = found + bool((x == y).any()), close + (((v > 0) != (w > 0))[:64].sum() <= near_texts.RADIUS), n + 1
+    assert n > 250 and found >= 0.97 * n and close >= 0.98 * n
+
+    # Votes of more shingles than one byte lane holds.
+    hashes = rng.integers(0, 1 << 63, 700).astype(np.uint64)
+    plain = [((near_texts._mixed(h ^ near_texts._SALTS)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).ravel() for h in hashes]
+    assert (near_texts.votes(hashes) == 2 * np.sum(plain, axis=0, dtype=np.int64) - 700).all()
+
+
 def test_mixture_keeps_all_and_pieces_decode(steps):
     assert by_id(steps[3]) == by_id(steps[4])
     last = by_id(steps[5])
