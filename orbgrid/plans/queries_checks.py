@@ -504,6 +504,13 @@ def source_fields(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def stored_fields(fields: DataFrame, root: str) -> DataFrame:
+    """``fields`` written by cycle and read back: the table behind them is read once, and files don't rise with it."""
+    path = f"{root}/fields"
+    fields.hint("rebalance", "sim", "cycle").write.partitionBy("sim", "cycle").parquet(path)
+    return fields.sparkSession.read.schema(fields.schema).parquet(path)
+
+
 _RUN_SQL = f"""WITH {latlon_sql('month').replace('avg(sqrt(l_quantity)) AS v', 'avg(sqrt(l_quantity)) AS qty, avg(sqrt(l_quantity)) + avg(l_tax) AS "sum"')},
 fld AS (SELECT TIMESTAMP '2020-01-20' + to_hours(((year("time") - 1995) * 12 + month("time") - 1)::INT) AS "time", {src_id_sql(GRID)} AS src_id, qty, "sum" FROM ll),
 {weights_sql(GRID, ZOOM)},
@@ -523,11 +530,11 @@ def incremental_rerun(spark: SparkSession, d: str) -> DataFrame:
     """Cycles that arrive in two batches, ingested, coarsened and run once more."""
     root = scratch_root(spark)
     store = CellStore(spark, root)
-    fields = source_fields(spark, d)
+    fields = stored_fields(source_fields(spark, d), root)
     early = F.col("cycle") < F.lit(_START + timedelta(hours=48)).cast("timestamp_ntz")
 
     def arrive(rows: DataFrame) -> None:
-        rows.write.mode("append").partitionBy("sim", "stream").parquet(f"{root}/incoming")
+        rows.hint("rebalance", "sim", "stream").write.mode("append").partitionBy("sim", "stream").parquet(f"{root}/incoming")
 
     def ingest() -> None:
         run_available(
@@ -562,8 +569,7 @@ def late_cycle_rerun(spark: SparkSession, d: str) -> DataFrame:
     store = CellStore(spark, root)
     shifted = F.col("time") + F.make_dt_interval(mins=F.lit(30))
     fields = source_fields(spark, d).withColumns({"sim": F.lit("late"), "time": shifted.cast("timestamp_ntz")})
-    fields.write.partitionBy("sim", "cycle").parquet(f"{root}/fields")
-    fields = spark.read.schema(fields.schema).parquet(f"{root}/fields")
+    fields = stored_fields(fields, root)
     cycles = fields.select("sim", "cycle").distinct()
     late = F.col("cycle") == F.lit(_START + timedelta(hours=12)).cast("timestamp_ntz")
     for part in (cycles.filter(~late), cycles.filter(late)):
@@ -591,8 +597,7 @@ def corrected_cycle(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_root(spark)
     store = CellStore(spark, root)
     fields = source_fields(spark, d).withColumn("sim", F.lit("mended"))
-    fields.write.partitionBy("sim", "cycle").parquet(f"{root}/fields")
-    fields = spark.read.schema(fields.schema).parquet(f"{root}/fields")
+    fields = stored_fields(fields, root)
     cycles = fields.select("sim", "cycle").distinct()
     second = _START + timedelta(hours=12)
     is_second = F.col("cycle") == F.lit(second).cast("timestamp_ntz")

@@ -13,6 +13,7 @@ from orbgrid.operators.quality import QualityError
 from orbgrid.operators.regional import active_cells
 from orbgrid.plans import config, jobs
 from orbgrid.plans.config import Experiment, GroupSpec
+from orbgrid.plans.queries_checks import stored_fields
 from orbgrid.sources import manifest as mf
 from orbgrid.sources.store import CellStore, cached_weights, dataset_metadata
 from orbgrid.streaming.incremental import complete_in_stream, pending_cycles, record_arrivals
@@ -375,3 +376,14 @@ def test_total_chunks_counts_both_stores():
     exp = config.EXPERIMENTS["glm.n1280_CoMA9"]
     want = sum(-(-n // config.work_chunk(z)) for n in (9745, 3249) for z in range(9))
     assert jobs.total_chunks(exp) == want
+
+
+def test_source_fields_are_stored_once_in_few_files(spark, tmp_path):
+    """However many tasks make the fields, each cycle is one file, and later steps read those alone."""
+    start = datetime(2020, 1, 20)
+    rows = [("demo", start + timedelta(hours=12 * (k % 3)), float(k)) for k in range(600)]
+    many = spark.createDataFrame(rows, "sim string, cycle timestamp_ntz, value double").repartition(40)
+    out = stored_fields(many, str(tmp_path))
+    files = out.inputFiles()
+    assert len(files) == 3 and all(str(tmp_path) in f for f in files)
+    assert sorted(tuple(r) for r in out.select("sim", "cycle", "value").collect()) == sorted(rows)
