@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -252,6 +253,55 @@ def test_lines_with_changed_words_are_found(spark, n):
     assert {2 * k for k in range(60)} <= left and sum(2 * k + 1 not in left for k in range(60)) >= 0.85 * 60
 
 
+def test_band_keys_travel_in_blocks(monkeypatch):
+    """A few rows for all keys of a batch of lines, and the same teams from them as from all pairs; hot runs come out whole."""
+    rng = np.random.default_rng(5)
+    sims = rng.integers(-(1 << 63), 1 << 63, 900)
+    sims[600:] = sims[:300] ^ (1 << rng.integers(0, 63, 300))
+    bands = rng.integers(0, 1 << 32, (900, line_dedup.BANDS)).astype(np.uint32)
+    bands[600:, ::3] = bands[:300, ::3]
+    bands[:40, 1] = 7
+    batch = pa.RecordBatch.from_arrays([pa.array(sims), line_dedup._binaries(bands)], ["sim", "bands"])
+    want = set()
+    for band in range(line_dedup.BANDS):
+        for i in range(900):
+            for j in np.flatnonzero(bands[:i, band] == bands[i, band]):
+                if np.bitwise_count((sims[i : i + 1] ^ sims[j]).view(np.uint64))[0] <= line_dedup.RADIUS and (band != 1 or bands[i, 1] != 7):
+                    want.add((band, *sorted((int(sims[i]), int(sims[j])))))
+    for parts, held in ((1, 1 << 22), (3, 1 << 22), (3, 50)):
+        monkeypatch.setattr(line_dedup, "HELD_KEYS", held)
+        blocks = [b for at in (0, 450) for b in line_dedup._blocks(parts)(iter([batch.slice(at, 450)]))]
+        assert sum(b.num_rows for b in blocks) <= 2 * line_dedup.BANDS * parts
+        rows = pa.Table.from_batches(blocks).sort_by("part")
+        found = [r for b in line_dedup._met_in_blocks(parts, 20)(iter(rows.to_batches())) for r in b.to_pylist()]
+        assert {(r["band"], *sorted(r["fps"])) for r in found if not r["hot"]} == want
+        hot = [r for r in found if r["hot"]]
+        assert {r["key"] for r in hot} == {1 << 32 | 7} and {x for r in hot for x in r["fps"]} == set(sims[:40].tolist())
+
+
+def test_groups_of_lines_are_linked_as_by_pairs():
+    """Many groups at once, small and large: connected as by comparing each pair by itself."""
+    rng = random.Random(8)
+    texts, group = [], []
+    for g, size in enumerate([2, 3, 8, 9, 40, 2, 5, 17]):
+        heads = [[f"{''.join(rng.choices('abcdé漢', k=rng.randint(2, 9)))}" for _ in range(rng.choice([5, 12, 60]))] for _ in range(2)]
+        for _ in range(size):
+            own = list(rng.choice(heads))
+            for k in rng.sample(range(len(own)), rng.randint(0, len(own) // 3)):
+                own[k] = "".join(rng.choices("abcdé漢", k=rng.randint(1, 9)))
+            texts.append(" ".join(own))
+            group.append(g)
+    sims = np.zeros(len(texts), np.int64)
+    links = [
+        (i, j) for i in range(len(texts)) for j in range(i) if group[i] == group[j]
+        and plain_distance(texts[i], texts[j]) <= 0.2 * max(len(texts[i]), len(texts[j])) + 1e-9
+    ]
+    a, b = line_dedup.link_groups(sims, texts, np.array(group))
+    found = list(zip(a.tolist(), b.tolist()))
+    assert links and {tuple(sorted(x)) for x in found} <= {tuple(sorted(x)) for x in links}
+    assert groups_of(len(texts), found) == groups_of(len(texts), links)
+
+
 def test_lines_that_differ_in_digits_or_marks_stay(spark):
     lines = [
         "12 45 30 18 77", "99 81 26 64 13", "12 45 30 18 77", "a + b * c - d / e", "a=b;c(d){e}[]", "a & b | c ^ d % e",
